@@ -76,7 +76,7 @@ def message_statements(raw: DataFrame, users: DataFrame, keep_millis: bool = Tru
     """One row per query attachment, in its place, whether or not it has a statement id."""
     ran = F.col("attachment.query")
     ran_at_all = F.coalesce(
-        ran["query"], ran["statement_id"], ran["description"], ran["query_result_metadata.row_count"].cast("string")
+        ran["query"], ran["statement_id"], ran["description"], ran["query_result_metadata"]["row_count"].cast("string")
     ).isNotNull()
     rows = (
         raw.select(
@@ -95,7 +95,7 @@ def message_statements(raw: DataFrame, users: DataFrame, keep_millis: bool = Tru
             filled(ran["statement_id"]).alias("statement_id"),
             F.coalesce(ran["query"], F.lit("")).alias("sql_query"),
             ran["description"].alias("query_description"),
-            ran["query_result_metadata.row_count"].alias("row_count"),
+            ran["query_result_metadata"]["row_count"].alias("row_count"),
         )
     )
     return conform(resolve_users(rows, users), schemas.entity("message_statements"))

@@ -63,7 +63,7 @@ def upsert_partitions(
         raise ValueError(f"partition column {partition!r} must be one of the keys")
     spark = incoming.sparkSession
     merged = incoming
-    if _has_rows(spark, path):
+    if _exists(spark, path):
         touched = incoming.select(partition).distinct()
         before = spark.read.schema(incoming.schema).parquet(path).join(touched, partition, "left_semi")
         merged = before.unionByName(incoming)
@@ -96,6 +96,6 @@ def read_partial_sums(spark: SparkSession, target: str, keys: Sequence[str], nam
     return spark.read.parquet(target).groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names])
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
+def _exists(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
