@@ -69,6 +69,9 @@ def apportion_by_hour(work: DataFrame, precision: str = "microsecond") -> DataFr
     ``precision="microsecond"`` measures overlap and duration alike, so the parts add up
     to the whole, and work without any duration stays in its hour.  ``"second"`` cuts the
     overlap, but not the duration, to whole seconds; work without duration is lost.
+
+    There is one row per row of ``work`` and hour, and nothing is shuffled: sums over the
+    hour or the statement combine these rows where they are made.
     """
     if precision not in ("microsecond", "second"):
         raise ValueError(f"unknown precision {precision!r}")
@@ -77,10 +80,8 @@ def apportion_by_hour(work: DataFrame, precision: str = "microsecond") -> DataFr
     hours = F.sequence(hour_of(begin), F.greatest(hour_of(begin), hour_of(finish)), hour)
     duration = seconds_between(begin, finish)
     elapsed = seconds_between if precision == "microsecond" else whole_seconds_between
-    overlap = F.greatest(
-        F.lit(0),
-        elapsed(F.greatest(begin, F.col("hour_bucket")), F.least(finish, F.col("hour_bucket") + hour)),
-    )
+    until = F.least(finish, F.col("hour_bucket") + hour)
+    overlap = F.greatest(F.lit(0), elapsed(F.greatest(begin, F.col("hour_bucket")), until))
     without_duration = F.col("query_work_task_time") if precision == "microsecond" else F.lit(0.0)
     part = F.when(duration > 0, F.col("query_work_task_time") * (overlap / duration)).otherwise(without_duration)
     return (
@@ -92,11 +93,12 @@ def apportion_by_hour(work: DataFrame, precision: str = "microsecond") -> DataFr
             "query_work_task_time",
             F.explode(hours).alias("hour_bucket"),
         )
-        .withColumns({"overlap_duration": overlap.cast("double"), "attributed_query_work": part.cast("double")})
-        .groupBy("statement_id", "warehouse_id", "hour_bucket")
-        .agg(
-            F.sum("overlap_duration").alias("overlap_duration"),
-            F.sum("attributed_query_work").alias("attributed_query_work"),
+        .select(
+            "statement_id",
+            "warehouse_id",
+            "hour_bucket",
+            overlap.cast("double").alias("overlap_duration"),
+            part.cast("double").alias("attributed_query_work"),
         )
     )
 
@@ -128,17 +130,21 @@ def hour_cost(priced_usage: DataFrame, utilization: DataFrame, key: str = "wareh
     return billed.join(used, [key, "hour_bucket"], "left")
 
 
-def attribute_cost(work_by_hour: DataFrame, cost: DataFrame, spread_idle: bool = False) -> DataFrame:
+def attribute_cost(
+    work_by_hour: DataFrame, cost: DataFrame, latest: Column | None = None, spread_idle: bool = False
+) -> DataFrame:
     """Dollars and units of each statement and hour: its share of the hour's used cost.
 
-    All hour-level figures (total work, cost, utilization, latest billed hour) are put
-    together at hour grain, so the statements meet them in a single join.  Idle cost
-    stays with the hour unless ``spread_idle`` is set.
+    All hour-level figures (total work, cost, utilization) are put together at hour grain,
+    so the statements meet them in a single join.  ``latest`` is the latest billed hour;
+    without it it is looked up in ``cost``.  Idle cost stays with the hour unless
+    ``spread_idle`` is set.
     """
     hour = ["warehouse_id", "hour_bucket"]
     totals = work_by_hour.groupBy(*hour).agg(F.sum("attributed_query_work").alias("total_work_done_on_warehouse"))
     hours = totals.join(cost.withColumn("__billed", F.lit(True)), hour, "left")
-    latest = hours.filter("__billed").agg(F.max("hour_bucket")).scalar()
+    if latest is None:
+        latest = cost.agg(F.max("hour_bucket")).scalar()
     used = F.col("utilization_proportion").cast("double")
     if spread_idle:
         used = F.when(used > 0, F.lit(1.0)).otherwise(used)

@@ -58,55 +58,73 @@ def cluster_state(count: Column) -> Column:
     return F.when(count > 0, ON).otherwise(OFF)
 
 
-def state_intervals(
-    events: DataFrame, key: str, ts: str, state: Column, lo: Instant, hi: Instant
-) -> DataFrame:
-    """Runs of equal state per key: ``(key, window_state, start, end)``.
+def state_marks(events: DataFrame, key: str, ts: str, state: Column, lo: Instant, hi: Instant) -> DataFrame:
+    """State per key from a second on: ``(key, at, window_state)``.
 
-    A run ends where the next one starts, the last at ``hi``.  Everything before ``lo``
-    folds into the state held at ``lo``, however long ago it was set.  Within a second
-    the last event counts.
+    Within a second the last event counts.  Everything before ``lo`` folds into the state
+    held at ``lo``, however long ago it was set.
     """
     lower, upper = as_column(lo), as_column(hi)
-    by_second = (
+    return (
         events.filter((F.col(ts) < upper) & F.col(key).isNotNull())
-        .select(key, F.greatest(lower, second_of(ts)).alias("start"), F.struct(ts, state.alias("state")).alias("__last"))
-        .groupBy(key, "start")
+        .select(key, F.greatest(lower, second_of(ts)).alias("at"), F.struct(ts, state.alias("state")).alias("__last"))
+        .groupBy(key, "at")
         .agg(F.max("__last")["state"].alias("window_state"))
-        .withColumn("__day", day_of("start"))
-    )
-    seen = previous_value(by_second, [key], "__day", "start", "window_state", "__before")
-    changes = seen.filter(F.col("__before").isNull() | (F.col("__before") != F.col("window_state"))).drop("__before")
-    return next_order(changes, [key], "__day", "start", "end").select(
-        key, "window_state", "start", F.coalesce("end", upper).alias("end")
     )
 
 
-def active_intervals(work: DataFrame, key: str, start: str, end: str, lo: Instant, hi: Instant) -> DataFrame:
-    """Periods of constant concurrency per key: ``(key, start, end, queries_active)``.
+def activity_steps(work: DataFrame, key: str, start: str, end: str, lo: Instant, hi: Instant) -> DataFrame:
+    """Net change of the number at work per key and second: ``(key, at, step)``.
 
-    Each row of ``work`` counts from the second of its start to the second of its end,
-    at least one second.  Starts and ends are netted per second, summed in order, and
-    each instant holds until the next; the last ends at ``hi``.
+    A row of ``work`` counts from the second of its start to the second of its end, at
+    least one second, inside ``[lo, hi]``.
     """
     lower, upper = as_column(lo), as_column(hi)
     begin = second_of(start)
     finish = F.greatest(second_of(end), begin + F.expr("interval 1 second"))
     edges = F.array(
-        F.struct(clip(begin, lower, upper).alias("start"), F.lit(1).alias("step")),
-        F.struct(clip(finish, lower, upper).alias("start"), F.lit(-1).alias("step")),
+        F.struct(clip(begin, lower, upper).alias("at"), F.lit(1).alias("step")),
+        F.struct(clip(finish, lower, upper).alias("at"), F.lit(-1).alias("step")),
     )
-    net = (
+    return (
         work.filter(F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull())
         .select(key, F.inline(edges))
-        .groupBy(key, "start")
+        .groupBy(key, "at")
         .agg(F.sum("step").alias("step"))
-        .withColumn("__day", day_of("start"))
+    )
+
+
+def state_intervals(
+    events: DataFrame, key: str, ts: str, state: Column, lo: Instant, hi: Instant
+) -> DataFrame:
+    """Runs of equal state per key: ``(key, window_state, start, end)``.
+
+    A run ends where the next one starts, the last at ``hi``.  See :func:`state_marks`
+    for what holds within a second and before ``lo``.
+    """
+    by_second = state_marks(events, key, ts, state, lo, hi).select(
+        key, F.col("at").alias("start"), "window_state", day_of("at").alias("__day")
+    )
+    seen = previous_value(by_second, [key], "__day", "start", "window_state", "__before")
+    changes = seen.filter(F.col("__before").isNull() | (F.col("__before") != F.col("window_state"))).drop("__before")
+    return next_order(changes, [key], "__day", "start", "end").select(
+        key, "window_state", "start", F.coalesce("end", as_column(hi)).alias("end")
+    )
+
+
+def active_intervals(work: DataFrame, key: str, start: str, end: str, lo: Instant, hi: Instant) -> DataFrame:
+    """Periods of constant concurrency per key: ``(key, start, end, queries_active)``.
+
+    The steps of :func:`activity_steps` are summed in order and each instant holds until
+    the next; the last ends at ``hi``.
+    """
+    net = activity_steps(work, key, start, end, lo, hi).select(
+        key, F.col("at").alias("start"), "step", day_of("at").alias("__day")
     )
     summed = running_total(net, [key], "__day", "start", "step", "queries_active")
     return (
         next_order(summed, [key], "__day", "start", "end")
-        .select(key, "start", F.coalesce("end", upper).alias("end"), "queries_active")
+        .select(key, "start", F.coalesce("end", as_column(hi)).alias("end"), "queries_active")
         .filter(F.col("start") < F.col("end"))
     )
 
@@ -160,16 +178,60 @@ def segment_timeline(
     )
 
 
+def utilization_sweep(steps: DataFrame, states: DataFrame, key: str, lo: Instant, hi: Instant) -> DataFrame:
+    """Seconds per key, hour and flag UTILIZED, ON_IDLE or OFF, in one sweep.
+
+    ``steps`` and ``states`` come from :func:`activity_steps` and :func:`state_marks`.  A
+    period is OFF without a state or in state OFF, UTILIZED while something runs and
+    ON_IDLE otherwise.  No intervals are built or joined: each (key, hour) starts from an
+    opening mark with the balance and the state that earlier hours left behind, and is
+    swept on its own.  Keys without any activity are left out.
+    """
+    marks = (
+        steps.unionByName(states, allowMissingColumns=True)
+        .filter(F.col("at") < as_column(hi))
+        .withColumns({"hour": hour_of("at"), "__own": F.lit(1)})
+    )
+    of_hour = marks.groupBy(key, "hour").agg(
+        F.sum("step").alias("step"),
+        F.max_by("window_state", F.when(F.col("window_state").isNotNull(), F.col("at"))).alias("window_state"),
+    )
+    busy = of_hour.filter(F.col("step").isNotNull()).select(key).distinct()
+    earlier = Window.partitionBy(key).orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
+    opening = (
+        hour_ticks(busy, lo, hi)
+        .join(of_hour, [key, "hour"], "left")
+        .select(
+            key,
+            "hour",
+            F.col("hour").alias("at"),
+            F.sum("step").over(earlier).alias("step"),
+            F.last("window_state", ignorenulls=True).over(earlier).alias("window_state"),
+            F.lit(0).alias("__own"),
+        )
+    )
+    ordered = Window.partitionBy(key, "hour").orderBy("at", "__own")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
+    until = F.coalesce(F.lead("at").over(ordered), F.col("hour") + F.expr("interval 1 hour"))
+    swept = marks.unionByName(opening).select(
+        key,
+        "hour",
+        F.last("window_state", ignorenulls=True).over(so_far).alias("__state"),
+        F.sum("step").over(so_far).alias("__active"),
+        F.min("__own").over(so_far).alias("__opened"),
+        whole_seconds_between(F.col("at"), until).alias("duration"),
+    )
+    return _seconds_by_flag(swept.filter(F.col("__opened") == 0), key)
+
+
 def classify_periods(
     keys: DataFrame, key: str, states: DataFrame, activity: DataFrame, lo: Instant, hi: Instant
 ) -> DataFrame:
-    """Seconds per key, hour and flag UTILIZED, ON_IDLE or OFF.
+    """The result of :func:`utilization_sweep` from interval tables.
 
-    A period is OFF without a state or in state OFF, UTILIZED while something runs and
-    ON_IDLE otherwise.  Instead of joining periods to the intervals they overlap, both
-    interval tables become marks on one timeline and the values in force are carried
-    forward: inside each (key, hour), from an opening mark that holds what earlier hours
-    left behind.
+    Instead of joining periods to the intervals they overlap, both interval tables become
+    marks on one timeline and the values in force are carried forward: inside each (key,
+    hour), from an opening mark that holds what earlier hours left behind.
     """
     marks = _marks(states, key, "window_state").unionByName(
         _marks(activity, key, "queries_active"), allowMissingColumns=True
@@ -203,22 +265,15 @@ def classify_periods(
     so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     value = {c: F.last(F.col(c), ignorenulls=True).over(so_far)["value"] for c in ("window_state", "queries_active")}
     until = F.coalesce(F.lead("at").over(ordered), F.col("hour") + F.expr("interval 1 hour"))
-    flag = (
-        F.when(F.coalesce(F.col("__state"), F.lit(OFF)) == OFF, "OFF")
-        .when(F.col("__active") > 0, "UTILIZED")
-        .otherwise("ON_IDLE")
-    )
-    return (
+    return _seconds_by_flag(
         line.select(
             key,
             "hour",
             whole_seconds_between(F.col("at"), until).alias("duration"),
             value["window_state"].alias("__state"),
             value["queries_active"].alias("__active"),
-        )
-        .filter(F.col("duration") > 0)
-        .groupBy(key, "hour", flag.alias("utilization_flag"))
-        .agg(F.sum("duration").alias("duration"))
+        ),
+        key,
     )
 
 
@@ -240,6 +295,20 @@ def hourly_utilization(periods: DataFrame, key: str, decimal: str | None = None)
     )
 
 
+def _seconds_by_flag(swept: DataFrame, key: str) -> DataFrame:
+    """Durations of swept periods summed by key, hour and flag; empty periods drop out."""
+    flag = (
+        F.when(F.coalesce(F.col("__state"), F.lit(OFF)) == OFF, "OFF")
+        .when(F.col("__active") > 0, "UTILIZED")
+        .otherwise("ON_IDLE")
+    )
+    return (
+        swept.filter(F.col("duration") > 0)
+        .groupBy(key, "hour", flag.alias("utilization_flag"))
+        .agg(F.sum("duration").alias("duration"))
+    )
+
+
 def _marks(intervals: DataFrame, key: str, value: str) -> DataFrame:
     """A mark where an interval starts and one where it ends; at one instant starts win.
 

@@ -22,12 +22,14 @@ from ledgerlight.operators.allocation import (
 )
 from ledgerlight.operators.intervals import (
     active_intervals,
-    classify_periods,
+    activity_steps,
     cluster_state,
     completeness_window,
     hourly_utilization,
     resolve_window,
     state_intervals,
+    state_marks,
+    utilization_sweep,
 )
 from ledgerlight.operators.pricing import PRICE_KEYS, price_usage
 
@@ -99,25 +101,36 @@ def query_activity(feeds: QueryFeeds, lo: Instant, hi: Instant) -> DataFrame:
 
 def period_utilization(feeds: QueryFeeds, lo: Instant, hi: Instant) -> DataFrame:
     """Seconds of each warehouse and hour that were used, idle or off."""
-    busy = warehouse_queries(feeds.history, lo, hi).select("warehouse_id").distinct()
-    return classify_periods(
-        busy, "warehouse_id", query_states(feeds, lo, hi), query_activity(feeds, lo, hi), lo, hi
-    )
+    key = "warehouse_id"
+    work = query_work(warehouse_queries(feeds.history, lo, hi))
+    steps = activity_steps(work, key, "query_work_start_time", "query_work_end_time", lo, hi)
+    states = state_marks(feeds.events, key, "event_time", cluster_state(F.col("cluster_count")), lo, hi)
+    return utilization_sweep(steps, states, key, lo, hi)
 
 
-def warehouse_hour_cost(feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rules = Rules()) -> DataFrame:
-    """Billed cost of each warehouse and hour inside the window, with its utilization."""
-    usage = (
-        feeds.usage.withColumn("warehouse_id", F.col("usage_metadata.warehouse_id"))
-        .filter(
-            F.col("warehouse_id").isNotNull()
+def warehouse_usage(feeds: QueryFeeds, lo: Instant, hi: Instant) -> DataFrame:
+    """Billing rows of warehouses inside the window."""
+    return (
+        feeds.usage.filter(
+            F.col("usage_metadata.warehouse_id").isNotNull()
             & (F.col("usage_start_time") >= as_column(lo))
             & (F.col("usage_end_time") <= as_column(hi))
         )
+        .withColumn("warehouse_id", F.col("usage_metadata.warehouse_id"))
         .select("warehouse_id", "usage_start_time", "usage_end_time", "usage_quantity", "usage_unit", "sku_name", "cloud")
     )
+
+
+def warehouse_hour_cost(feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rules = Rules()) -> DataFrame:
+    """Billed cost of each warehouse and hour inside the window, with its utilization."""
     priced = price_usage(
-        usage, feeds.prices, rules.price_keys, rules.price_at, rules.price_closed, on_missing=None, span=(lo, hi)
+        warehouse_usage(feeds, lo, hi),
+        feeds.prices,
+        rules.price_keys,
+        rules.price_at,
+        rules.price_closed,
+        on_missing=None,
+        span=(lo, hi),
     )
     used = hourly_utilization(period_utilization(feeds, lo, hi), "warehouse_id", rules.utilization_decimal)
     return hour_cost(priced, used)
@@ -126,8 +139,12 @@ def warehouse_hour_cost(feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rule
 def attributed_hours(feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rules = Rules()) -> DataFrame:
     """Attributed cost at the grain of statement and hour."""
     work = query_work(warehouse_queries(feeds.history, lo, hi))
+    latest = warehouse_usage(feeds, lo, hi).agg(hour_of(F.max("usage_start_time"))).scalar()
     return attribute_cost(
-        apportion_by_hour(work, rules.precision), warehouse_hour_cost(feeds, lo, hi, rules), rules.spread_idle
+        apportion_by_hour(work, rules.precision),
+        warehouse_hour_cost(feeds, lo, hi, rules),
+        latest,
+        rules.spread_idle,
     )
 
 

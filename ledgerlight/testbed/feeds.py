@@ -246,7 +246,7 @@ class Feeds:
             )
         )
         change = "2024-01-15 12:00:00"
-        steps = [("WH_0", 700, 770), ("WH_1", 220, 250), ("APP_STD", 950, 1000), ("SERVE_STD", 70, 80)]
+        steps = [("WH_0", 704, 784), ("WH_1", 224, 256), ("APP_STD", 950, 1000), ("SERVE_STD", 70, 80)]
         rows = [(sku, "2023-01-01 00:00:00", change, old) for sku, old, _ in steps]
         rows += [(sku, change, None, new) for sku, _, new in steps]
         stepped = self.spark.createDataFrame(rows, "sku_name string, s string, e string, thousandths int").select(

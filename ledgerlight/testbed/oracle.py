@@ -103,15 +103,14 @@ FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_
 PARTS["prices"] = """
 SELECT prefix || p_brand AS sku_name, 'C' || c AS cloud, make_timestamp(y, 1, 1, 0, 0, 0.0) AS price_start,
        CASE WHEN y < 2001 THEN make_timestamp(y + 1, 1, 1, 0, 0, 0.0) END AS price_end,
-       CAST(100 + (y - 1995) * 10 + c AS DECIMAL(18,6)) / 1000 AS price_double,
        CAST((100 + (y - 1995) * 10 + c) * 0.001 AS DECIMAL(9,6)) AS price
 FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand <> 'Brand#25')
 CROSS JOIN range(0, 3) AS clouds(c) CROSS JOIN range(1995, 2002) AS years(y)
 CROSS JOIN (VALUES (''), ('REALTIME_INFERENCE_')) AS prefixes(prefix)
 UNION ALL
-SELECT sku, 'C0', CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), p, CAST(p AS DECIMAL(9,6))
-FROM (VALUES ('WH_0', '2023-01-01', '2024-01-15 12:00:00', 0.70), ('WH_0', '2024-01-15 12:00:00', NULL, 0.77),
-             ('WH_1', '2023-01-01', '2024-01-15 12:00:00', 0.22), ('WH_1', '2024-01-15 12:00:00', NULL, 0.25),
+SELECT sku, 'C0', CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), CAST(p AS DECIMAL(9,6))
+FROM (VALUES ('WH_0', '2023-01-01', '2024-01-15 12:00:00', 0.704), ('WH_0', '2024-01-15 12:00:00', NULL, 0.784),
+             ('WH_1', '2023-01-01', '2024-01-15 12:00:00', 0.224), ('WH_1', '2024-01-15 12:00:00', NULL, 0.256),
              ('APP_STD', '2023-01-01', '2024-01-15 12:00:00', 0.95), ('APP_STD', '2024-01-15 12:00:00', NULL, 1.00),
              ('SERVE_STD', '2023-01-01', '2024-01-15 12:00:00', 0.07),
              ('SERVE_STD', '2024-01-15 12:00:00', NULL, 0.08)) AS stepped(sku, s, e, p)"""
@@ -265,7 +264,7 @@ PARTS["hours_cost"] = PARTS["hours_cost"].replace(
 
 PARTS["hours_cost_closed"] = """
 SELECT p.warehouse_id, hour_bucket, units, dollars,
-       CASE WHEN used + idle > 0 THEN CAST(used / (used + idle) AS DECIMAL(3,2)) END AS share_used
+       CASE WHEN used + idle > 0 THEN (200 * used + used + idle) // (2 * (used + idle)) / 100.0 END AS share_used
 FROM priced_hours_closed p LEFT JOIN utilization u ON u.warehouse_id = p.warehouse_id AND u.hour = p.hour_bucket"""
 
 PARTS["touched"] = """
@@ -292,7 +291,7 @@ SELECT w.statement_id, w.warehouse_id, w.hour_bucket, w.part, SUM(w.part) OVER h
        CASE WHEN SUM(w.part) OVER h <> 0 THEN w.part / SUM(w.part) OVER h END AS share,
        share_used * dollars * CASE WHEN SUM(w.part) OVER h <> 0 THEN w.part / SUM(w.part) OVER h END AS cost,
        share_used * units * CASE WHEN SUM(w.part) OVER h <> 0 THEN w.part / SUM(w.part) OVER h END AS units,
-       max(c.hour_bucket) OVER () AS latest
+       (SELECT max(hour_bucket) FROM {hours}) AS latest
 FROM {work} w LEFT JOIN {hours} c ON c.warehouse_id = w.warehouse_id AND c.hour_bucket = w.hour_bucket
 WINDOW h AS (PARTITION BY w.warehouse_id, w.hour_bucket)"""
 
@@ -475,6 +474,7 @@ FROM (SELECT *, unnest(generate_series(date_trunc('day', "start"), date_trunc('d
 S["timeline_segments"] = """
 SELECT warehouse_id, "start", "end", date_trunc('hour', "start") AS hour FROM segments"""
 S["period_utilization"] = "SELECT * FROM periods"
+S["classify_periods"] = S["period_utilization"]
 S["hourly_utilization"] = """
 SELECT warehouse_id, hour, used AS utilized_seconds, idle AS idle_seconds, off_time AS off_seconds,
        used + idle + off_time AS total_seconds,

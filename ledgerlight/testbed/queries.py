@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -43,7 +45,13 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _bind(make: Query) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: comparable(make(Feeds(spark, folder)))
+    return lambda spark, folder: comparable(make(_feeds(spark, folder)))
+
+
+@lru_cache(maxsize=4)
+def _feeds(spark: SparkSession, folder: str) -> Feeds:
+    """The lazy feeds of a folder; only plans are kept, no rows."""
+    return Feeds(spark, folder)
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -142,6 +150,20 @@ def period_utilization(feeds: Feeds) -> DataFrame:
     return query_cost.period_utilization(feeds.query_feeds, *_window(feeds))
 
 
+@query
+def classify_periods(feeds: Feeds) -> DataFrame:
+    lo, hi = _window(feeds)
+    busy = allocation.warehouse_queries(feeds.query_history, lo, hi).select("warehouse_id").distinct()
+    return intervals.classify_periods(
+        busy,
+        "warehouse_id",
+        query_cost.query_states(feeds.query_feeds, lo, hi),
+        query_cost.query_activity(feeds.query_feeds, lo, hi),
+        lo,
+        hi,
+    )
+
+
 @query
 def hourly_utilization(feeds: Feeds) -> DataFrame:
     return intervals.hourly_utilization(
@@ -578,7 +600,7 @@ def observed_values(feeds: Feeds) -> DataFrame:
 def incremental_usage(feeds: Feeds) -> DataFrame:
     """Daily sums kept by a file stream over the events."""
     spark = feeds.spark
-    folder = f"{shared_dir(spark)}/incremental-{spark.sparkContext.applicationId}-{id(feeds)}"
+    folder = f"{shared_dir(spark)}/incremental-{uuid4().hex}"
     stream = (
         spark.readStream.schema(feeds.table("events").schema)
         .option("pathGlobFilter", "events.parquet")
