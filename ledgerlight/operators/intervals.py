@@ -185,35 +185,48 @@ def utilization_sweep(steps: DataFrame, states: DataFrame, key: str, lo: Instant
     period is OFF without a state or in state OFF, UTILIZED while something runs and
     ON_IDLE otherwise.  No intervals are built or joined: each (key, hour) starts from an
     opening mark with the balance and the state that earlier hours left behind, and is
-    swept on its own.  Keys without any activity are left out.
+    swept on its own.  The opening marks of all hours up to the next one with marks come
+    from the summary of the hour before them.  Keys without any activity are left out.
     """
+    lower, upper, hour = as_column(lo), as_column(hi), F.expr("interval 1 hour")
     marks = (
         steps.unionByName(states, allowMissingColumns=True)
-        .filter(F.col("at") < as_column(hi))
-        .withColumns({"hour": hour_of("at"), "__own": F.lit(1)})
+        .filter((F.col("at") < upper) & hour_of("at").isNotNull() & F.col(key).isNotNull())
+        .withColumn("hour", hour_of("at"))
     )
     of_hour = marks.groupBy(key, "hour").agg(
         F.sum("step").alias("step"),
         F.max_by("window_state", F.when(F.col("window_state").isNotNull(), F.col("at"))).alias("window_state"),
     )
-    busy = of_hour.filter(F.col("step").isNotNull()).select(key).distinct()
-    earlier = Window.partitionBy(key).orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
-    opening = (
-        hour_ticks(busy, lo, hi)
-        .join(of_hour, [key, "hour"], "left")
-        .select(
-            key,
-            "hour",
-            F.col("hour").alias("at"),
-            F.sum("step").over(earlier).alias("step"),
-            F.last("window_state", ignorenulls=True).over(earlier).alias("window_state"),
-            F.lit(0).alias("__own"),
-        )
+    whole, by_hour = Window.partitionBy(key), Window.partitionBy(key).orderBy("hour")
+    passed = by_hour.rowsBetween(Window.unboundedPreceding, 0)
+    left_behind = of_hour.select(
+        key,
+        "hour",
+        F.sum("step").over(passed).alias("step"),
+        F.last("window_state", ignorenulls=True).over(passed).alias("window_state"),
+        F.lag("hour").over(by_hour).isNull().alias("__first"),
+        F.lead("hour", 1).over(by_hour).alias("__next"),
+        F.max("step").over(whole).isNotNull().alias("__busy"),
+    ).filter("__busy")
+    last_hour = upper - hour
+    before = F.when(F.col("__first"), F.sequence(lower, F.col("hour"), hour))
+    after = F.when(
+        F.col("hour") < last_hour, F.sequence(F.col("hour") + hour, F.coalesce("__next", last_hour), hour)
+    )
+    nothing = F.array().cast("array<timestamp>")
+    carried = F.struct("step", "window_state")
+    openings = F.concat(
+        F.transform(F.coalesce(before, nothing), lambda h: F.struct(h.alias("at"), F.when(F.lit(False), carried).alias("c"))),
+        F.transform(F.coalesce(after, nothing), lambda h: F.struct(h.alias("at"), carried.alias("c"))),
+    )
+    opening = left_behind.select(key, F.inline(openings)).select(
+        key, "at", F.col("c.step"), F.col("c.window_state"), F.col("at").alias("hour"), F.lit(0).alias("__own")
     )
     ordered = Window.partitionBy(key, "hour").orderBy("at", "__own")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     until = F.coalesce(F.lead("at").over(ordered), F.col("hour") + F.expr("interval 1 hour"))
-    swept = marks.unionByName(opening).select(
+    swept = marks.withColumn("__own", F.lit(1)).unionByName(opening).select(
         key,
         "hour",
         F.last("window_state", ignorenulls=True).over(so_far).alias("__state"),

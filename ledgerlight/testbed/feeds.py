@@ -44,7 +44,7 @@ class Feeds:
             F.col("user_id").alias("uid"),
             "event_type",
             "value",
-            F.get_json_object("props", "$.k").cast("int").alias("k"),
+            F.expr("substring(props, 7, length(props) - 7)").cast("int").alias("k"),
             "props",
         )
 
@@ -249,13 +249,17 @@ class Feeds:
         steps = [("WH_0", 704, 784), ("WH_1", 224, 256), ("APP_STD", 950, 1000), ("SERVE_STD", 70, 80)]
         rows = [(sku, "2023-01-01 00:00:00", change, old) for sku, old, _ in steps]
         rows += [(sku, change, None, new) for sku, _, new in steps]
-        stepped = self.spark.createDataFrame(rows, "sku_name string, s string, e string, thousandths int").select(
-            "sku_name",
-            F.lit("C0").alias("cloud"),
-            F.col("s").cast("timestamp").alias("price_start_time"),
-            F.col("e").cast("timestamp").alias("price_end_time"),
-            "thousandths",
-        )
+        listed = F.array(*[
+            F.struct(
+                F.lit(sku).alias("sku_name"),
+                F.lit("C0").alias("cloud"),
+                F.lit(start).cast("timestamp").alias("price_start_time"),
+                F.lit(end).cast("timestamp").alias("price_end_time"),
+                F.lit(price).alias("thousandths"),
+            )
+            for sku, start, end, price in rows
+        ])
+        stepped = self.spark.range(1, numPartitions=1).select(F.inline(listed))
         price = (F.col("thousandths") * F.col("times")).cast("decimal(18,6)") / 1000
         return (
             yearly.unionByName(stepped)
