@@ -287,7 +287,7 @@ def classify_periods(
             value["queries_active"].alias("__active"),
         ),
         key,
-    )
+    ).join(keys.select(key), key, "left_semi")
 
 
 def hourly_utilization(periods: DataFrame, key: str, decimal: str | None = None) -> DataFrame:
