@@ -46,6 +46,15 @@ def lookback(as_of: Instant, days: int) -> Column:
     return F.date_sub(F.lit(as_of).cast("date"), days).cast("timestamp")
 
 
+def on_days_since(day: Column | str, since: Column) -> Column:
+    """Rows whose day can hold times after ``since``: a hint that scans prune by.
+
+    A day may have been cut in any time zone, so one day before counts, as does NULL.
+    The exact filter on the time itself still has to follow.
+    """
+    return _col(day).isNull() | (_col(day) >= F.date_sub(since.cast("date"), 1))
+
+
 def from_epoch_ms(ms: Column | str, keep_millis: bool = True) -> Column:
     """Epoch milliseconds to a timestamp; not positive or not a number gives NULL."""
     number = _col(ms).try_cast("bigint")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.functions.time import Instant, lookback
+from ledgerlight.functions.time import Instant, lookback, on_days_since
 from ledgerlight.operators.pricing import billed_measures, price_usage
 from ledgerlight.operators.versions import crosswalk
 from ledgerlight.plans.billing_facts import name_workspaces, price_span, product_usage
@@ -41,8 +41,13 @@ def app_events(audit: DataFrame, as_of: Instant, days: int = 365, service: str =
 
     The name stands under a key that depends on the action, once inside JSON.
     """
+    since = lookback(as_of, days)
     return (
-        audit.filter((F.col("service_name") == service) & (F.col("event_time") >= lookback(as_of, days)))
+        audit.filter(
+            (F.col("service_name") == service)
+            & on_days_since("event_date", since)
+            & (F.col("event_time") >= since)
+        )
         .withColumns({"app_name": _app_name(), "usage_date": F.col("event_date"), "email": F.col("user_identity.email")})
         .filter(F.col("app_name").isNotNull())
         .groupBy("workspace_id", "app_name", "usage_date", "email")

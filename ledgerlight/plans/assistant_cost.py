@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.classify import activity_category, activity_class
+from ledgerlight.operators.joins import lookup_or_null
 from ledgerlight.operators.reconcile import reconcile
 
 SPACE = "ASSISTANT SPACE"
@@ -18,9 +19,8 @@ def cost_per_message(statements: DataFrame, cost: DataFrame, messages: DataFrame
     This is the part of a space's cost that can be tied to listed conversations, not all
     of it.
     """
-    priced = statements.join(
-        cost.select("statement_id", DOLLARS, UNITS, F.lit(True).alias("__costed")), "statement_id", "left"
-    )
+    costed = cost.select("statement_id", DOLLARS, UNITS, F.lit(True).alias("__costed"))
+    priced = lookup_or_null(statements, costed, "statement_id", ["message_id"])
     rolled = priced.groupBy("space_id", "space_name", "conversation_id", "message_id").agg(
         F.max("user_email").alias("user_email"),
         F.count("statement_id").alias("num_statements"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.functions.time import Instant, lookback
+from ledgerlight.functions.time import Instant, lookback, on_days_since
 from ledgerlight.operators.pricing import PRICE_KEYS, billed_measures, price_usage
 
 #: Label of index cost that billing does not tie to an endpoint.
@@ -17,7 +17,10 @@ UNATTRIBUTED = "(unattributed: index maintenance)"
 def product_usage(usage: DataFrame, product: str, as_of: Instant, days: int | None) -> DataFrame:
     """Billing rows of one product, from ``days`` before ``as_of`` on; all of them for None."""
     rows = usage.filter(F.col("billing_origin_product") == product)
-    return rows if days is None else rows.filter(F.col("usage_start_time") >= lookback(as_of, days))
+    if days is None:
+        return rows
+    since = lookback(as_of, days)
+    return rows.filter(on_days_since("usage_date", since) & (F.col("usage_start_time") >= since))
 
 
 def price_span(as_of: Instant, days: int | None) -> tuple[Instant, Instant] | None:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.functions.time import Instant, as_column
+from ledgerlight.functions.time import Instant, as_column, on_days_since
 from ledgerlight.plans.billing_facts import name_workspaces
 
 VIEW_ACTIONS = ("getSpace", "assistantGetSpace")
@@ -16,8 +16,11 @@ DRAFT_VIEW, PUBLISHED_VIEW = "getDashboard", "getPublishedDashboard"
 
 
 def recent_audit(audit: DataFrame, service: str, as_of: Instant, days: int) -> DataFrame:
+    """Audit rows of one service, less than ``days`` before ``as_of``."""
     since = as_column(as_of) - F.make_interval(days=F.lit(days))
-    return audit.filter((F.col("service_name") == service) & (F.col("event_time") > since))
+    return audit.filter(
+        (F.col("service_name") == service) & on_days_since("event_date", since) & (F.col("event_time") > since)
+    )
 
 
 def reach_fact(

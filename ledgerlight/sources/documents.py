@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas
 from ledgerlight.functions.text import filled, join_filled
 from ledgerlight.functions.time import from_epoch_ms, from_iso
+from ledgerlight.operators.joins import lookup_or_null
 from ledgerlight.sources.tables import conform
 
 UNRATED = "NONE"
@@ -28,13 +29,10 @@ def resolve_users(df: DataFrame, users: DataFrame, user: str = "user_id", out: s
     ``users`` has one row per ``user_id`` with its ``user_email``.
     """
     known = users.select(F.col("user_id").alias("__user"), F.col("user_email").alias("__email"))
-    real = F.col(user).isNotNull() & ~F.col(user).isin(*NO_USER)
-    address = F.coalesce("__email", F.concat(F.lit("ID_"), F.col(user)))
-    return (
-        df.join(known, F.when(real, F.col(user)) == F.col("__user"), "left")
-        .withColumn(out, F.when(real, address))
-        .drop("__user", "__email")
-    )
+    real = F.when(~F.col(user).isin(*NO_USER), F.col(user))
+    address = F.coalesce("__email", F.concat(F.lit("ID_"), F.col("__user")))
+    found = lookup_or_null(df.withColumn("__user", real), known, "__user", df.columns)
+    return found.withColumn(out, address).drop("__user", "__email")
 
 
 def flatten_messages(raw: DataFrame, users: DataFrame, keep_millis: bool = True) -> DataFrame:

@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from pyspark.sql.window import Window
 
 from ledgerlight import schemas
 from ledgerlight.plans.query_cost import QueryFeeds
-from ledgerlight.session import use_utc
+from ledgerlight.session import shared_dir, use_utc
 
 #: Day the event feeds and the line-item feeds are looked at from.
 EVENTS_AS_OF = "2024-02-01"
@@ -32,10 +34,19 @@ class Feeds:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = use_utc(spark)
         self.folder = folder.rstrip("/")
+        self._stored: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A result written once to the shared folder, as later jobs would read it."""
+        if name not in self._stored:
+            path = f"{shared_dir(self.spark)}/stored-{uuid4().hex}/{name}"
+            make().write.parquet(path)
+            self._stored[name] = path
+        return self.spark.read.parquet(self._stored[name])
+
     @cached_property
     def events(self) -> DataFrame:
         return self.table("events").select(

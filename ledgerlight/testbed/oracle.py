@@ -441,7 +441,7 @@ LEFT JOIN endpoint_main d USING (endpoint_id, workspace_id) LEFT JOIN workspaces
 
 def money(*names: str, table: str = "") -> str:
     prefix = f"{table}." if table else ""
-    return ", ".join(f"round(CAST({prefix}{n} AS DOUBLE), 6) AS {n}" for n in names)
+    return ", ".join(f"round(CAST({prefix}{n} AS DOUBLE) + 1e-9, 6) AS {n}" for n in names)
 
 
 # -- statements --------------------------------------------------------------------------
@@ -449,18 +449,18 @@ def money(*names: str, table: str = "") -> str:
 S = STATEMENTS
 S["completeness_window"] = "SELECT lo, hi FROM bounds"
 S["price_usage_half_open"] = f"""
-SELECT workspace_id, u.sku_name, u.cloud, usage_start_time, round(CAST(price AS DOUBLE), 6) AS unit_price,
-       round(CAST(quantity AS DOUBLE), 6) AS units,
-       round(CAST(quantity * coalesce(price, 0) AS DOUBLE), 6) AS dollars
+SELECT workspace_id, u.sku_name, u.cloud, usage_start_time, round(CAST(price AS DOUBLE) + 1e-9, 6) AS unit_price,
+       round(CAST(quantity AS DOUBLE) + 1e-9, 6) AS units,
+       round(CAST(quantity * coalesce(price, 0) AS DOUBLE) + 1e-9, 6) AS dollars
 FROM lines u LEFT JOIN prices p ON {_OPEN}"""
 S["price_usage_closed"] = f"""
-SELECT workspace_id, u.sku_name, usage_end_time, round(CAST(price AS DOUBLE), 6) AS unit_price,
-       round(CAST(quantity AS DOUBLE), 6) AS units, round(CAST(quantity * price AS DOUBLE), 6) AS dollars
+SELECT workspace_id, u.sku_name, usage_end_time, round(CAST(price AS DOUBLE) + 1e-9, 6) AS unit_price,
+       round(CAST(quantity AS DOUBLE) + 1e-9, 6) AS units, round(CAST(quantity * price AS DOUBLE) + 1e-9, 6) AS dollars
 FROM bill_events u LEFT JOIN prices p ON {_CLOSED}"""
 S["query_work"] = """
 SELECT statement_id, start_time + to_milliseconds(queue_ms + compute_ms + compile_ms) AS query_work_start_time,
        end_time + to_milliseconds(fetch_ms) AS query_work_end_time,
-       round((task_ms + fetch_ms + compile_ms) / 1000.0, 6) AS query_work_task_time FROM history"""
+       round((task_ms + fetch_ms + compile_ms) / 1000.0 + 1e-9, 6) AS query_work_task_time FROM history"""
 S["source_type"] = """
 SELECT statement_id, source_type AS query_source_type, source_id AS query_source_id, client_application FROM labelled"""
 S["deep_links"] = "SELECT statement_id, link AS url_helper, profile AS query_profile_url FROM labelled"
@@ -478,28 +478,28 @@ S["classify_periods"] = S["period_utilization"]
 S["hourly_utilization"] = """
 SELECT warehouse_id, hour, used AS utilized_seconds, idle AS idle_seconds, off_time AS off_seconds,
        used + idle + off_time AS total_seconds,
-       round(CASE WHEN used + idle > 0 THEN used / (used + idle) END, 6) AS utilization_proportion FROM utilization"""
+       round(CASE WHEN used + idle > 0 THEN used / (used + idle) END + 1e-9, 6) AS utilization_proportion FROM utilization"""
 S["hour_cost"] = f"""
 SELECT warehouse_id, hour_bucket, {money("units", "dollars")}, used AS utilized_seconds, idle AS idle_seconds,
-       total AS total_seconds, round(share_used, 6) AS utilization_proportion FROM hours_cost"""
+       total AS total_seconds, round(share_used + 1e-9, 6) AS utilization_proportion FROM hours_cost"""
 S["apportion_by_hour"] = """
-SELECT statement_id, warehouse_id, hour_bucket, round(overlap, 6) AS overlap_duration,
-       round(part, 6) AS attributed_query_work FROM parts_of_work"""
+SELECT statement_id, warehouse_id, hour_bucket, round(overlap + 1e-9, 6) AS overlap_duration,
+       round(part + 1e-9, 6) AS attributed_query_work FROM parts_of_work"""
 S["work_share"] = """
-SELECT statement_id, warehouse_id, hour_bucket, round(part, 6) AS attributed_query_work,
-       round(SUM(part) OVER h, 6) AS total_work_done_on_warehouse,
-       round(CASE WHEN part <> 0 THEN part / SUM(part) OVER h END, 6) AS proportion_of_warehouse_time_used_by_query
+SELECT statement_id, warehouse_id, hour_bucket, round(part + 1e-9, 6) AS attributed_query_work,
+       round(SUM(part) OVER h + 1e-9, 6) AS total_work_done_on_warehouse,
+       round(CASE WHEN part <> 0 THEN part / SUM(part) OVER h END + 1e-9, 6) AS proportion_of_warehouse_time_used_by_query
 FROM parts_of_work WINDOW h AS (PARTITION BY warehouse_id, hour_bucket)"""
 S["attribute_cost"] = f"""
-SELECT statement_id, warehouse_id, hour_bucket, round(part, 6) AS attributed_query_work,
-       round(total, 6) AS total_work_done_on_warehouse, {_CHECK.format(billed="billed")} AS billing_record_check,
-       round(share, 6) AS query_task_time_proportion, round(cost, 6) AS query_attributed_dollars_estimation,
-       round(units, 6) AS query_attributed_units_estimation, latest AS most_recent_billing_hour FROM attributed"""
+SELECT statement_id, warehouse_id, hour_bucket, round(part + 1e-9, 6) AS attributed_query_work,
+       round(total + 1e-9, 6) AS total_work_done_on_warehouse, {_CHECK.format(billed="billed")} AS billing_record_check,
+       round(share + 1e-9, 6) AS query_task_time_proportion, round(cost + 1e-9, 6) AS query_attributed_dollars_estimation,
+       round(units + 1e-9, 6) AS query_attributed_units_estimation, latest AS most_recent_billing_hour FROM attributed"""
 S["idle_residual"] = """
-SELECT c.warehouse_id, c.hour_bucket, round(c.dollars, 6) AS billed_dollars, round(c.units, 6) AS billed_units,
-       round(a.cost, 6) AS attributed_dollars, round(a.units, 6) AS attributed_units,
-       round(c.dollars - coalesce(a.cost, 0), 6) AS residual_dollars,
-       round(c.units - coalesce(a.units, 0), 6) AS residual_units
+SELECT c.warehouse_id, c.hour_bucket, round(c.dollars + 1e-9, 6) AS billed_dollars, round(c.units + 1e-9, 6) AS billed_units,
+       round(a.cost + 1e-9, 6) AS attributed_dollars, round(a.units + 1e-9, 6) AS attributed_units,
+       round(c.dollars - coalesce(a.cost, 0) + 1e-9, 6) AS residual_dollars,
+       round(c.units - coalesce(a.units, 0) + 1e-9, 6) AS residual_units
 FROM hours_cost c LEFT JOIN (SELECT warehouse_id, hour_bucket, SUM(cost) AS cost, SUM(units) AS units
                              FROM attributed GROUP BY ALL) a
   ON a.warehouse_id = c.warehouse_id AND a.hour_bucket = c.hour_bucket"""
@@ -507,20 +507,20 @@ S["cost_per_query"] = f"""
 SELECT statement_id, source_id AS query_source_id, source_type AS query_source_type, client_application, executed_by,
        warehouse_id, statement_text, workspace_id, start_time, end_time, work_start AS query_work_start_time,
        work_end AS query_work_end_time,
-       round(date_diff('microsecond', start_time, end_time) // 1000 / 1000.0, 6) AS duration_seconds,
-       round(CAST(trunc(date_diff('microsecond', work_start, work_end) / 1000) AS BIGINT) / 1000.0, 6)
+       round(date_diff('microsecond', start_time, end_time) // 1000 / 1000.0 + 1e-9, 6) AS duration_seconds,
+       round(CAST(trunc(date_diff('microsecond', work_start, work_end) / 1000) AS BIGINT) / 1000.0 + 1e-9, 6)
          AS query_work_duration_seconds,
-       round(task_seconds, 6) AS query_work_task_time_seconds, round(cost, 6) AS query_attributed_dollars_estimation,
-       round(units, 6) AS query_attributed_units_estimation, link AS url_helper, profile AS query_profile_url,
+       round(task_seconds + 1e-9, 6) AS query_work_task_time_seconds, round(cost + 1e-9, 6) AS query_attributed_dollars_estimation,
+       round(units + 1e-9, 6) AS query_attributed_units_estimation, link AS url_helper, profile AS query_profile_url,
        latest AS most_recent_billing_hour, {_CHECK.format(billed="billed")} AS billing_record_check,
        date_trunc('hour', start_time) AS query_start_hour, hours FROM costs"""
 S["cost_per_query_hours"] = """
-SELECT statement_id, hour_bucket, round(cost, 6) AS hour_attributed_cost, round(units, 6) AS hour_attributed_units
+SELECT statement_id, hour_bucket, round(cost + 1e-9, 6) AS hour_attributed_cost, round(units + 1e-9, 6) AS hour_attributed_units
 FROM attributed"""
 S["cost_per_query_closed"] = f"""
-SELECT a.statement_id, round(max(w.task_seconds), 6) AS query_work_task_time_seconds,
-       round(SUM(a.cost), 6) AS query_attributed_dollars_estimation,
-       round(SUM(a.units), 6) AS query_attributed_units_estimation,
+SELECT a.statement_id, round(max(w.task_seconds) + 1e-9, 6) AS query_work_task_time_seconds,
+       round(SUM(a.cost) + 1e-9, 6) AS query_attributed_dollars_estimation,
+       round(SUM(a.units) + 1e-9, 6) AS query_attributed_units_estimation,
        {_CHECK.format(billed="bool_and(billed)")} AS billing_record_check
 FROM attributed_closed a JOIN work w USING (statement_id) GROUP BY a.statement_id"""
 
@@ -529,8 +529,8 @@ SELECT u.workspace_id, run_as AS user_email, surface, channel, agent_id, space_n
        CASE WHEN u.sku_name = 'ASSISTANT_FREE_USAGE' THEN 'FREE' ELSE 'PAID' END AS tier, u.sku_name,
        CASE WHEN u.sku_name <> 'ASSISTANT_FREE_USAGE'
             THEN regexp_replace(u.sku_name, '^REALTIME_INFERENCE_', '') END AS cloud_region,
-       CAST(usage_start_time AS DATE) AS usage_date, round(CAST(SUM(quantity) AS DOUBLE), 6) AS token_units,
-       round(CAST(SUM(quantity * coalesce(price, 0)) AS DOUBLE), 6) AS token_cost, count(*) AS usage_records
+       CAST(usage_start_time AS DATE) AS usage_date, round(CAST(SUM(quantity) AS DOUBLE) + 1e-9, 6) AS token_units,
+       round(CAST(SUM(quantity * coalesce(price, 0)) AS DOUBLE) + 1e-9, 6) AS token_cost, count(*) AS usage_records
 FROM lines u LEFT JOIN prices p ON {match} LEFT JOIN spaces ON space_id = agent_id
 WHERE NOT is_index AND is_token AND is_original {since} GROUP BY ALL"""
 S["token_usage_fact"] = _TOKENS.format(match=_OPEN, since=f"AND usage_start_time >= {LINES_SINCE}")
@@ -577,22 +577,22 @@ S["cost_per_message"] = f"""
 SELECT space_id, space_name, conversation_id, message_id, user_email, num_statements, num_statements_missing_cost,
        {money("message_cost", "message_units")}, user_question, created_datetime, feedback_rating FROM message_costs"""
 S["cost_category"] = """
-SELECT statement_id, source_id AS query_source_id, workspace_id, round(cost, 6) AS query_attributed_dollars_estimation,
+SELECT statement_id, source_id AS query_source_id, workspace_id, round(cost + 1e-9, 6) AS query_attributed_dollars_estimation,
        cost_category, cost_class FROM categories"""
 S["space_cost"] = """
-SELECT source_id AS space_id, round(SUM(cost), 6) AS space_cost FROM costs WHERE source_type = 'ASSISTANT SPACE'
+SELECT source_id AS space_id, round(SUM(cost) + 1e-9, 6) AS space_cost FROM costs WHERE source_type = 'ASSISTANT SPACE'
 GROUP BY source_id"""
 S["space_cost_by_category"] = """
-SELECT space_name, cost_category, count(*) AS statements, round(SUM(cost), 6) AS cost
+SELECT space_name, cost_category, count(*) AS statements, round(SUM(cost) + 1e-9, 6) AS cost
 FROM categories LEFT JOIN spaces ON space_id = source_id GROUP BY ALL"""
 S["reconcile_space_cost"] = """
-SELECT space_id, round(coalesce(total, 0), 6) AS total, round(coalesce(detail, 0), 6) AS detail,
-       round(coalesce(total, 0) - coalesce(detail, 0), 6) AS gap,
+SELECT space_id, round(coalesce(total, 0) + 1e-9, 6) AS total, round(coalesce(detail, 0) + 1e-9, 6) AS detail,
+       round(coalesce(total, 0) - coalesce(detail, 0) + 1e-9, 6) AS gap,
        abs(coalesce(total, 0) - coalesce(detail, 0)) <= 0.005 AS reconciles
 FROM (SELECT source_id AS space_id, SUM(cost) AS total FROM costs WHERE source_type = 'ASSISTANT SPACE' GROUP BY ALL)
 FULL JOIN (SELECT space_id, SUM(message_cost) AS detail FROM message_costs GROUP BY ALL) USING (space_id)"""
 S["space_statements"] = """
-SELECT statement_id, source_id AS query_source_id, start_time, round(cost, 6) AS query_attributed_dollars_estimation
+SELECT statement_id, source_id AS query_source_id, start_time, round(cost + 1e-9, 6) AS query_attributed_dollars_estimation
 FROM costs WHERE source_id IN (SELECT space_id FROM messages)
   AND start_time BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'"""
 S["error_mix"] = """
@@ -696,7 +696,7 @@ SELECT 'serving_usage', count(*) - count(DISTINCT (endpoint_id, usage_date, work
 UNION ALL
 SELECT 'index_cost', count(*) - count(DISTINCT (endpoint_id, usage_date, workspace_id, sku_name)) FROM index_fact"""
 S["dq_non_negative"] = """
-SELECT c_custkey, round(c_acctbal, 6) AS c_acctbal, c_nationkey FROM customer WHERE c_acctbal < 0 OR c_nationkey < 0"""
+SELECT c_custkey, round(c_acctbal + 1e-9, 6) AS c_acctbal, c_nationkey FROM customer WHERE c_acctbal < 0 OR c_nationkey < 0"""
 S["dq_not_null"] = """
 SELECT statement_id, client AS client_application, statement_type FROM history
 WHERE client IS NULL OR statement_type IS NULL"""
@@ -708,7 +708,7 @@ S["observed_values"] = f"""
 SELECT DISTINCT sku_name FROM lines WHERE usage_start_time >= {LINES_AS_OF} - 30 AND usage_start_time <= {LINES_AS_OF}"""
 S["incremental_usage"] = """
 SELECT CAST(ts AS DATE) AS usage_date, event_type, count(*) AS events,
-       round(CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE), 6) AS amount FROM events GROUP BY ALL"""
+       round(CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DOUBLE) + 1e-9, 6) AS amount FROM events GROUP BY ALL"""
 S["incremental_marks"] = """
 SELECT workspace_id, CASE WHEN start_time <= TIMESTAMP '2024-01-15' THEN 'first' ELSE 'second' END AS step,
        count(*) AS rows FROM history GROUP BY ALL"""
@@ -719,8 +719,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY order_key ORDER BY changed_at DE
             FROM orders
             UNION ALL SELECT l_orderkey, CAST(l_shipdate AS TIMESTAMP), l_linestatus FROM lineitem)) WHERE rn = 1"""
 S["measures_by_dim"] = """
-SELECT workspace_name, sku_name, round(CAST(SUM(units) AS DOUBLE), 6) AS units,
-       round(CAST(SUM(dollars) AS DOUBLE), 6) AS dollars, count(*) AS rows FROM index_fact
+SELECT workspace_name, sku_name, round(CAST(SUM(units) AS DOUBLE) + 1e-9, 6) AS units,
+       round(CAST(SUM(dollars) AS DOUBLE) + 1e-9, 6) AS dollars, count(*) AS rows FROM index_fact
 GROUP BY workspace_name, sku_name"""
 S["crosswalk_by_brand"] = """
 SELECT s_nationkey, p_brand, l_suppkey

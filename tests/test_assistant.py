@@ -189,3 +189,13 @@ def test_other_entities(spark, rows):
     spaces = documents.entity_table(spark.createDataFrame([{"space_id": "s", "title": "T"}], schemas.document("space")), "spaces")
     assert rows(spaces, "space_id", "name") == [("s", "T")]
     assert spaces.select(F.col("warehouse_id")).first()[0] is None
+
+
+def test_rows_without_a_key_are_kept_and_spread(frame, rows):
+    from ledgerlight.operators.joins import lookup_or_null
+
+    left = frame("id int, k string", *[(i, None) for i in range(50)], (50, "a"), (51, "b"))
+    right = frame("k string, v string", ("a", "x"), (None, "never"))
+    got = lookup_or_null(left, right, "k", ["id"])
+    assert rows(got.filter("k is not null"), "id", "v") == [(50, "x"), (51, None)]
+    assert got.count() == 52 and got.filter("v is not null").count() == 1
