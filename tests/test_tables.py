@@ -124,3 +124,14 @@ def test_stream_sums_survive_reruns_and_take_late_files(spark, tmp_path, rows):
     assert run() == [("d1", 2, 3), ("d2", 1, 3)]
     land(("d1", 10))  # late for a day already summed
     assert run() == [("d1", 3, 13), ("d2", 1, 3)]
+
+
+def test_cut_lineage_reads_from_the_shared_folder(spark):
+    from ledgerlight.session import cut_lineage, shared_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == configured
+    cut = cut_lineage(spark.range(10).filter("id > 3"))
+    assert cut.count() == 6
+    assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert spark.sparkContext.getCheckpointDir().removeprefix("file:").startswith(configured)
