@@ -50,7 +50,9 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
         getattr(feeds, name).write.parquet(str(tmp_path / name))
         stored[name] = spark.read.parquet(str(tmp_path / name))
     fact = index_cost_fact(stored["billing_lines"], stored["list_prices"], stored["workspaces"], LINES_AS_OF)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     plan = fact._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     scans = [line for line in plan.split("== Physical Plan ==")[1].split("\n") if "FileScan" in line]
     billing = next(line for line in scans if "billing_lines" in line or "billing_origin_product" in line)
     assert "EqualTo(billing_origin_product,VECTOR_INDEX)" in billing
