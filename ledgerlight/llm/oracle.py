@@ -2,6 +2,35 @@
 
 from __future__ import annotations
 
+CHAT = r"""
+WITH told AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS who, replace(coalesce(text, ''), '<|', '< |') AS said,
+         CAST(floor(coalesce(turn, 0) / 512) AS BIGINT) AS block
+  FROM conversations
+), speakers AS (
+  SELECT DISTINCT conv_id, who AS speaker FROM told WHERE who <> 'system'
+), seen AS (
+  SELECT t.*, s.speaker,
+         CASE WHEN who = 'system' THEN '<|im_start|>system' || chr(10)
+              WHEN who = s.speaker THEN '<|im_start|>assistant' || chr(10)
+              ELSE '<|im_start|>user name=' || who || chr(10) END AS head
+  FROM told t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+), placed AS (
+  SELECT *, head || said || '<|im_end|>' || chr(10) AS piece, length(said) + 11 AS rest,
+         coalesce(sum(length(head) + length(said) + 11) OVER (
+           PARTITION BY conv_id, speaker, block ORDER BY turn NULLS FIRST, who, said
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start
+  FROM seen
+)
+SELECT conv_id, speaker, block,
+       string_agg(piece, '' ORDER BY turn NULLS FIRST, who, said) AS text,
+       coalesce(string_agg(CASE WHEN who = speaker THEN CAST(start AS BIGINT) || ':' || CAST(start + rest AS BIGINT) END, ','
+                           ORDER BY turn NULLS FIRST, who, said), '') AS mask,
+       count(*) AS n_turns,
+       CAST(coalesce(sum(CASE WHEN who = speaker THEN rest END), 0) AS BIGINT) AS n_target_chars
+FROM placed GROUP BY conv_id, speaker, block
+"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op6_chat_format": CHAT}

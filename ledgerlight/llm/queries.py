@@ -4,17 +4,80 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlight.llm import minhash_dedup, quality_rules
+from ledgerlight.llm import (
+    chat_format,
+    class_lm,
+    cover_tree,
+    html_text,
+    minhash_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+)
 from ledgerlight.llm.common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suffix-array dedup over all documents."""
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["end"] - x["start"])
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").cast("bigint").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main texts of all pages."""
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-based n-gram scores of all documents."""
+    return class_lm.scored(table(spark, sf_dir, "documents"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents to the weights of their sources."""
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations from the perspective of each participant."""
+    return chat_format.perspectives(table(spark, sf_dir, "conversations"))
+
+
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MinHash near-duplicates over all documents."""
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embedding near-duplicates over all vectors."""
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum-of-squares packing of all documents."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Risk-controlled quality rules over all documents."""
     rows = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
