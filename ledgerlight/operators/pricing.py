@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgerlight.functions.time import Instant, as_column
 
 PRICE_KEYS = ("sku_name", "cloud")
-#: Priced in decimals narrow enough that quantity * price keeps every digit.
-EXACT = "decimal(18,6)"
+#: Quantities and prices with all 18 digits of the feeds.  Their whole parts are narrow
+#: enough that a product keeps 17 digits; a wider value is an error, never cut.
+UNITS, PRICE = "decimal(31,18)", "decimal(25,18)"
 
 
 def unit_prices(
@@ -27,7 +28,7 @@ def unit_prices(
     """
     return (
         prices.filter(F.col("currency_code") == currency)
-        .select(*keys, "price_start_time", "price_end_time", F.col(price).cast(EXACT).alias("unit_price"))
+        .select(*keys, "price_start_time", "price_end_time", F.col(price).cast(PRICE).alias("unit_price"))
         .distinct()
     )
 
@@ -91,9 +92,10 @@ def price_usage(
     span: tuple[Instant, Instant] | None = None,
     currency: str = "USD",
 ) -> DataFrame:
-    """Usage with ``unit_price``, ``units`` and ``dollars`` in exact decimals.
+    """Usage with ``unit_price``, ``units`` and ``dollars``, unrounded.
 
-    Usage without a price counts as ``on_missing``; None leaves its dollars NULL.
+    Sum them before they are cast to fewer digits: many small amounts may each round
+    to nothing.  Usage without a price counts as ``on_missing``; None leaves its dollars NULL.
     """
     priced = interval_lookup(
         usage,
@@ -107,8 +109,8 @@ def price_usage(
     )
     rate = F.col("unit_price")
     if on_missing is not None:
-        rate = F.coalesce(rate, F.lit(on_missing).cast(EXACT))
-    units = F.col("usage_quantity").cast(EXACT)
+        rate = F.coalesce(rate, F.lit(on_missing).cast(PRICE))
+    units = F.col("usage_quantity").cast(UNITS)
     return priced.withColumns({"units": units, "dollars": units * rate})
 
 

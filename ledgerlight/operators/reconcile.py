@@ -23,6 +23,24 @@ def reconcile(
     )
 
 
+def totals_against_billing(fact: DataFrame, priced: DataFrame) -> DataFrame:
+    """One row: billed_units, billed_dollars and whether the totals of a fact equal them.
+
+    A fact keeps six digits a row, so its total may be off by half of the last a row.
+    """
+    none = F.lit(None).cast("decimal(38,6)")
+    sides = fact.select(
+        F.col("units").alias("own_units"), F.col("dollars").alias("own_dollars"), none.alias("units"), none.alias("dollars")
+    ).unionByName(priced.select(none.alias("own_units"), none.alias("own_dollars"), "units", "dollars"))
+    names = ("own_units", "own_dollars", "units", "dollars")
+    sums = sides.agg(F.count("own_dollars").alias("rows"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    slack = F.col("rows") * F.lit("0.0000005").cast("decimal(10,7)") + F.lit("0.000001").cast("decimal(10,7)")
+    close = [F.abs(F.col(f"own_{c}") - F.col(c)) <= slack for c in ("units", "dollars")]
+    return sums.select(
+        F.col("units").alias("billed_units"), F.col("dollars").alias("billed_dollars"), (close[0] & close[1]).alias("equal_to_billing")
+    )
+
+
 def measure(df: DataFrame, dims: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
     """Named aggregates of a fact by the chosen dimensions.
 

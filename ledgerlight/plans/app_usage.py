@@ -32,7 +32,7 @@ def app_billing(
 
 def name_crosswalk(usage: DataFrame, as_of: Instant, days: int = 365, product: str = "APPS") -> DataFrame:
     """App id of each (workspace, app name): the one with the most units."""
-    rows = app_rows(usage, as_of, days, product).withColumn("units", F.col("usage_quantity").cast("decimal(38,6)"))
+    rows = app_rows(usage, as_of, days, product).withColumn("units", F.col("usage_quantity"))
     return crosswalk(rows, ["workspace_id"], "app_name", "app_id", "units")
 
 

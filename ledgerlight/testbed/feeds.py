@@ -150,12 +150,12 @@ class Feeds:
     def billing_usage(self) -> DataFrame:
         """Warehouse, app and serving usage, derived from events."""
         uid, day = F.col("uid"), F.date_trunc("day", "ts")
-        exact = F.col("value").cast("decimal(18,6)")
+        exact = F.col("value").cast("decimal(18,6)") + F.lit("0.000000123").cast("decimal(18,9)")
         hour, one_hour, one_day = F.date_trunc("hour", "ts"), F.expr("interval 1 hour"), F.expr("interval 1 day")
         warehouse = (
             self.events.filter(F.col("event_type") != "signup")
             .groupBy((uid % 5).alias("wh"), (uid % 2).alias("kind"), hour.alias("start"))
-            .agg((F.count("*") * F.lit(0.5).cast("decimal(3,1)")).alias("quantity"))
+            .agg((F.count("*") * F.lit("0.500000123").cast("decimal(10,9)")).alias("quantity"))
         )
         apps = (
             self._kinds("purchase", "error")
@@ -223,7 +223,7 @@ class Feeds:
             cloud=text("C", supp % 3),
             usage_start_time=start,
             usage_end_time=start + F.expr("interval 1 hour"),
-            usage_quantity=F.col("l_quantity").cast("decimal(18,6)"),
+            usage_quantity=F.col("l_quantity").cast("decimal(18,9)") + F.lit("0.000000123").cast("decimal(18,9)"),
             endpoint_id=F.when(attributed, text("ep-", supp)),
             endpoint_name=F.when(attributed, text("index ", supp)),
             surface=F.when(assistant, surface),
@@ -271,7 +271,8 @@ class Feeds:
             for sku, start, end, price in rows
         ])
         stepped = self.spark.range(1, numPartitions=1).select(F.inline(listed))
-        price = (F.col("thousandths") * F.col("times")).cast("decimal(18,6)") / 1000
+        odd = F.lit("0.000000321").cast("decimal(10,9)")
+        price = ((F.col("thousandths") * F.col("times")).cast("decimal(12,3)") / 1000).cast("decimal(18,9)") + odd
         return (
             yearly.unionByName(stepped)
             .withColumn("currency", F.explode(F.array(

@@ -58,14 +58,14 @@ FROM ev WHERE event_type = 'signup'"""
 PARTS["bill_wh"] = """
 SELECT CAST(uid % 5 AS VARCHAR) AS workspace_id, 'WH_' || uid % 2 AS sku_name, 'C0' AS cloud,
        date_trunc('hour', ts) AS usage_start_time, date_trunc('hour', ts) + INTERVAL 1 HOUR AS usage_end_time,
-       CAST(count(*) * 0.5 AS DECIMAL(28,6)) AS quantity, 'wh-' || uid % 5 AS warehouse_id
+       CAST(count(*) * CAST(0.500000123 AS DECIMAL(10,9)) AS DECIMAL(18,9)) AS quantity, 'wh-' || uid % 5 AS warehouse_id
 FROM ev WHERE event_type <> 'signup' GROUP BY uid % 5, uid % 2, date_trunc('hour', ts)"""
 
 PARTS["bill_app"] = """
 SELECT CAST(uid % 25 AS VARCHAR) AS workspace_id,
        CASE WHEN uid % 40 = 39 THEN 'APP_UNPRICED' ELSE 'APP_STD' END AS sku_name, 'C0' AS cloud,
        date_trunc('day', ts) AS usage_start_time, date_trunc('day', ts) + INTERVAL 1 DAY AS usage_end_time,
-       CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DECIMAL(28,6)) AS quantity,
+       CAST(SUM(CAST(value AS DECIMAL(18,6)) + CAST(0.000000123 AS DECIMAL(18,9))) AS DECIMAL(18,9)) AS quantity,
        'a-' || uid % 40 AS app_id, 'n-' || uid % 5 AS app_name
 FROM ev WHERE event_type IN ('purchase', 'error')
 GROUP BY uid % 40, uid % 25, uid % 5, date_trunc('day', ts)"""
@@ -73,7 +73,7 @@ GROUP BY uid % 40, uid % 25, uid % 5, date_trunc('day', ts)"""
 PARTS["bill_serve"] = """
 SELECT CAST(uid % 40 % 25 AS VARCHAR) AS workspace_id, 'SERVE_STD' AS sku_name, 'C0' AS cloud,
        date_trunc('day', ts) AS usage_start_time, date_trunc('day', ts) + INTERVAL 1 DAY AS usage_end_time,
-       CAST(SUM(CAST(value AS DECIMAL(18,6))) AS DECIMAL(28,6)) AS quantity,
+       CAST(SUM(CAST(value AS DECIMAL(18,6)) + CAST(0.000000123 AS DECIMAL(18,9))) AS DECIMAL(18,9)) AS quantity,
        'ep-' || uid % 40 AS endpoint_id, 'endpoint ' || uid % 40 AS endpoint_name
 FROM ev WHERE event_type IN ('view', 'error') GROUP BY uid % 40, date_trunc('day', ts)"""
 
@@ -88,7 +88,7 @@ SELECT CAST(s_nationkey AS VARCHAR) AS workspace_id,
             ELSE 'REALTIME_INFERENCE_' || p_brand END AS sku_name,
        'C' || l_suppkey % 3 AS cloud, CAST(l_shipdate AS TIMESTAMP) AS usage_start_time,
        CAST(l_shipdate AS TIMESTAMP) + INTERVAL 1 HOUR AS usage_end_time,
-       CAST(l_quantity AS DECIMAL(28,6)) AS quantity,
+       CAST(l_quantity AS DECIMAL(18,9)) + CAST(0.000000123 AS DECIMAL(18,9)) AS quantity,
        CASE WHEN l_linenumber % 2 = 0 AND l_partkey % 20 <> 0 THEN 'ep-' || l_suppkey END AS endpoint_id,
        CASE WHEN l_linenumber % 2 = 0 AND l_partkey % 20 <> 0 THEN 'index ' || l_suppkey END AS endpoint_name,
        CASE l_suppkey % 3 WHEN 0 THEN 'CODE' WHEN 1 THEN 'ONE' ELSE 'AGENTS' END AS surface,
@@ -103,12 +103,12 @@ FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_
 PARTS["prices"] = """
 SELECT prefix || p_brand AS sku_name, 'C' || c AS cloud, make_timestamp(y, 1, 1, 0, 0, 0.0) AS price_start,
        CASE WHEN y < 2001 THEN make_timestamp(y + 1, 1, 1, 0, 0, 0.0) END AS price_end,
-       CAST((100 + (y - 1995) * 10 + c) * 0.001 AS DECIMAL(9,6)) AS price
+       CAST((100 + (y - 1995) * 10 + c) * 0.001 AS DECIMAL(18,9)) + CAST(0.000000321 AS DECIMAL(18,9)) AS price
 FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand <> 'Brand#25')
 CROSS JOIN range(0, 3) AS clouds(c) CROSS JOIN range(1995, 2002) AS years(y)
 CROSS JOIN (VALUES (''), ('REALTIME_INFERENCE_')) AS prefixes(prefix)
 UNION ALL
-SELECT sku, 'C0', CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), CAST(p AS DECIMAL(9,6))
+SELECT sku, 'C0', CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), CAST(p AS DECIMAL(18,9)) + CAST(0.000000321 AS DECIMAL(18,9))
 FROM (VALUES ('WH_0', '2023-01-01', '2024-01-15 12:00:00', 0.704), ('WH_0', '2024-01-15 12:00:00', NULL, 0.784),
              ('WH_1', '2023-01-01', '2024-01-15 12:00:00', 0.224), ('WH_1', '2024-01-15 12:00:00', NULL, 0.256),
              ('APP_STD', '2023-01-01', '2024-01-15 12:00:00', 0.95), ('APP_STD', '2024-01-15 12:00:00', NULL, 1.00),
@@ -441,7 +441,7 @@ LEFT JOIN endpoint_main d USING (endpoint_id, workspace_id) LEFT JOIN workspaces
 
 def money(*names: str, table: str = "") -> str:
     prefix = f"{table}." if table else ""
-    return ", ".join(f"round(CAST({prefix}{n} AS DOUBLE) + 1e-9, 6) AS {n}" for n in names)
+    return ", ".join(f"round(CAST(CAST({prefix}{n} AS DECIMAL(38,6)) AS DOUBLE) + 1e-9, 6) AS {n}" for n in names)
 
 
 # -- statements --------------------------------------------------------------------------
@@ -480,7 +480,8 @@ SELECT warehouse_id, hour, used AS utilized_seconds, idle AS idle_seconds, off_t
        used + idle + off_time AS total_seconds,
        round(CASE WHEN used + idle > 0 THEN used / (used + idle) END + 1e-9, 6) AS utilization_proportion FROM utilization"""
 S["hour_cost"] = f"""
-SELECT warehouse_id, hour_bucket, {money("units", "dollars")}, used AS utilized_seconds, idle AS idle_seconds,
+SELECT warehouse_id, hour_bucket, round(CAST(units AS DOUBLE) + 1e-9, 6) AS units,
+       round(CAST(dollars AS DOUBLE) + 1e-9, 6) AS dollars, used AS utilized_seconds, idle AS idle_seconds,
        total AS total_seconds, round(share_used + 1e-9, 6) AS utilization_proportion FROM hours_cost"""
 S["apportion_by_hour"] = """
 SELECT statement_id, warehouse_id, hour_bucket, round(overlap + 1e-9, 6) AS overlap_duration,
@@ -538,6 +539,18 @@ S["token_usage_fact_closed"] = _TOKENS.format(match=_CLOSED, since="")
 S["index_cost_fact"] = f"""
 SELECT endpoint_id, endpoint_name, usage_date, workspace_id, workspace_name, sku_name, {money("units", "dollars")}
 FROM index_fact"""
+S["fact_totals"] = """
+SELECT fact, round(CAST(SUM(quantity) AS DOUBLE), 3) AS billed_units,
+       round(CAST(SUM(quantity * price) AS DOUBLE), 3) AS billed_dollars, true AS equal_to_billing
+FROM (
+  SELECT 'index_cost' AS fact, quantity, coalesce(price, 0) AS price FROM lines u LEFT JOIN prices p ON {match}
+  WHERE is_index AND usage_start_time >= {since}
+  UNION ALL
+  SELECT 'token_usage', quantity, coalesce(price, 0) FROM lines u LEFT JOIN prices p ON {match}
+  WHERE NOT is_index AND is_token AND is_original AND usage_start_time >= {since}
+  UNION ALL SELECT 'app_usage', quantity, coalesce(price, 0) FROM bill_app u LEFT JOIN prices p ON {match}
+  UNION ALL SELECT 'serving_usage', quantity, coalesce(price, 0) FROM bill_serve u LEFT JOIN prices p ON {match}
+) billed GROUP BY fact""".format(match=_OPEN, since=LINES_SINCE)
 S["app_billing"] = f"SELECT app_id, usage_date, workspace_id, app_name, {money('units', 'dollars')} FROM app_bill"
 S["name_crosswalk"] = "SELECT * FROM xwalk"
 S["app_audit"] = """

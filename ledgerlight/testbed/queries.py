@@ -570,6 +570,42 @@ def dq_unique_facts(feeds: Feeds) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def fact_totals(feeds: Feeds) -> DataFrame:
+    """Billed totals of each fact, and whether the fact's own totals equal them.
+
+    A fact rounds each of its rows to six digits, so it may differ by half of the last
+    digit a row.
+    """
+    lines, since = feeds.billing_lines, billing_facts.price_span(LINES_AS_OF, LINES_DAYS)
+    origin = (F.col("usage_type") == "TOKEN") & (F.col("record_type") == "ORIGINAL")
+    year = billing_facts.price_span(EVENTS_AS_OF, 365)
+    sides = [
+        ("index_cost", _index_cost(feeds), billing_facts.product_usage(lines, "VECTOR_INDEX", LINES_AS_OF, LINES_DAYS), since),
+        (
+            "token_usage",
+            token_usage_fact(feeds).withColumnsRenamed({"token_units": "units", "token_cost": "dollars"}),
+            billing_facts.product_usage(lines, "ASSISTANT", LINES_AS_OF, LINES_DAYS).where(origin),
+            since,
+        ),
+        ("app_usage", app_usage_fact(feeds), app_usage.app_rows(feeds.billing_usage, EVENTS_AS_OF, 365), year),
+        (
+            "serving_usage",
+            serving_usage_fact(feeds),
+            billing_facts.product_usage(feeds.billing_usage, "MODEL_SERVING", EVENTS_AS_OF, 365),
+            year,
+        ),
+    ]
+    rows = [
+        reconcile.totals_against_billing(fact, pricing.price_usage(rows, feeds.list_prices, span=span)).withColumn("fact", F.lit(name))
+        for name, fact, rows, span in sides
+    ]
+    merged = rows[0]
+    for more in rows[1:]:
+        merged = merged.unionByName(more)
+    return merged.withColumns({c: F.round(F.col(c).cast("double"), 3) for c in ("billed_units", "billed_dollars")})
+
+
 @query
 def dq_non_negative(feeds: Feeds) -> DataFrame:
     balances = feeds.table("customer").select("c_custkey", "c_acctbal", "c_nationkey")
