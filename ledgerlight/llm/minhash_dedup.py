@@ -18,6 +18,10 @@ HASHES = BANDS * ROWS
 #: Least equal minima of a candidate that is confirmed on full sets: at a similarity of
 #: 0.75 the expected 84 lie six standard deviations above.
 LEAST_EQUAL = 56
+#: Up to so many ids of texts with a bucket-mate are broadcast; beyond, a join finds them.
+BROADCAST_IDS = 2_000_000
+#: Texts and shingles of a part of a bucket.
+PART_ROWS, PART_SHINGLES = 512, 250_000
 _FACTORS = np.random.default_rng(7).integers(0, 2**31, (HASHES, 2), dtype=np.uint32)
 SKETCH = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, minima binary, bands array<bigint>"
 
@@ -72,17 +76,23 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "packed"])
 
 
+def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share ``percent`` of their union."""
+    small, large = (one, two) if len(one) <= len(two) else (two, one)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
 def _similar(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("set_x"), batch.column("set_y"), strict=True):
-                one, two = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                small, large = (one, two) if len(one) <= len(two) else (two, one)
-                at = np.searchsorted(large, small)
-                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                keep.append(100 * both >= percent * (len(one) + len(two) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y")], names=["x", "y"]).filter(pa.array(keep))
+            sets = [[np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in ("set_x", "set_y")]
+            keep = [similar(x, y, percent) for x, y in zip(*sets, strict=True)]
+            pair = pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y")], names=["x", "y"])
+            yield pair.filter(pa.array(keep, pa.bool_()))
 
     return confirm
 
@@ -96,19 +106,61 @@ def _equal_minima(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y")], names=["x", "y"]).filter(keep)
 
 
-def _confirmed(pairs: DataFrame, heads: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _hub_links(pairs: DataFrame, heads: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (x, y) whose sizes, minima and then full sets say that they are similar."""
-    side = {c: heads.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("minima").alias(f"low_{c}")) for c in "xy"}
-    near = pairs.join(side["x"], "x").join(side["y"], "y")
+    near = pairs
+    for c in "xy":
+        columns = [F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("minima").alias(f"low_{c}")]
+        near = near.join(heads.select(*columns), c)
     near = near.where(F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * percent)
     near = stored(near.select("x", "y", "low_x", "low_y").mapInArrow(_equal_minima, "x bigint, y bigint"))
-    ids = near.select(F.col("x").alias("doc_id")).union(near.select(F.col("y").alias("doc_id"))).distinct()
-    sets = stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets, "doc_id bigint, packed binary"))
     for c in "xy":
         near = near.join(sets.select(F.col("doc_id").alias(c), F.col("packed").alias(f"set_{c}")), c)
     return stored(near.select("x", "y", "set_x", "set_y").mapInArrow(_similar(percent), "x bigint, y bigint"))
 
 
+def _missed_links(percent: int):
+    """Links that join components within a pair of parts of a bucket."""
+
+    def of_parts(group: pa.Table) -> pa.Table:
+        bucket, i, j = (group.column(c)[0].as_py() for c in ("bucket", "i", "j"))
+        part = np.array(group.column("part").to_pylist())
+        ids, component, size = (np.array(group.column(c).to_pylist(), np.int64) for c in ("rep", "component", "n_shingles"))
+        minima = np.frombuffer(b"".join(group.column("minima").to_pylist()), np.uint8).reshape(-1, HASHES)
+        bands = np.array(group.column("bands").to_pylist(), np.int64)
+        packed = group.column("packed").to_pylist()
+        root = {c: c for c in component.tolist()}
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        right = np.flatnonzero(part == j)
+        links = []
+        for at in np.flatnonzero(part == i).tolist():
+            fits = np.minimum(size[right], size[at]) * 100 >= np.maximum(size[right], size[at]) * percent
+            fits &= component[right] != component[at]
+            if i == j:
+                fits &= ids[right] > ids[at]
+            others = right[fits]
+            equal = (minima[others] == minima[at]).sum(axis=1)
+            others = others[equal >= LEAST_EQUAL]
+            # two texts are compared in the first of their common buckets alone
+            common = bands[others] == bands[at]
+            others = others[bands[at][np.argmax(common, axis=1)] == bucket] if len(others) else others
+            mine = np.frombuffer(packed[at], np.uint64)
+            for other in others.tolist():
+                a, b = find(int(component[at])), find(int(component[other]))
+                if a != b and similar(mine, np.frombuffer(packed[other], np.uint64), percent):
+                    root[max(a, b)] = min(a, b)
+                    links.append((ids[at], ids[other]))
+        x, y = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
+
+    return of_parts
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document.
 
@@ -118,10 +170,11 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     Columns but doc_id and text are ignored, and an empty table gives an empty result.
 
     Equal sets are one class, found by an aggregate, and only its smallest id goes on.
-    The members of a band bucket are first compared with its smallest id alone, so a
-    bucket of any size costs a comparison a member.  Where the components found so
-    differ within a bucket, its members of different components are compared too:
-    then every bucket-mate of another component has been looked at, and none is lost.
+    The members of a band bucket are first compared with its smallest id alone, a
+    comparison a member.  Where the components found so differ within a bucket, the
+    members of different components are compared too, part by part of the bucket, by
+    their minima and then by their sets.  Only links that join components leave such a
+    comparison, so no bucket yields its pairs, and none between components is missed.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sketches = stored(docs.mapInArrow(_sketches, SKETCH))
@@ -131,24 +184,31 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     heads = stored(heads.select(*key, F.col("head.doc_id").alias("rep"), "head.minima", "head.bands"))
 
     spread = heads.select("rep", "n_shingles", F.explode("bands").alias("bucket"))
-    hubs = spread.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("size")).where("size > 1")
-    shared = stored(spread.join(hubs.drop("size"), "bucket"))
+    hubs = spread.groupBy("bucket").agg(
+        F.min("rep").alias("hub"), F.count("*").alias("size"), F.sum("n_shingles").alias("shingles")
+    )
+    shared = stored(spread.join(hubs.where("size > 1"), "bucket"))
+    ids = stored(shared.select(F.col("rep").alias("doc_id")).distinct())
+    listed = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    sets = stored(docs.join(listed, "doc_id", "left_semi").mapInArrow(_sets, "doc_id bigint, packed binary"))
     first = shared.where("rep <> hub").select(F.col("rep").alias("x"), F.col("hub").alias("y")).distinct()
-    links = _confirmed(first, heads, docs, percent)
+    links = _hub_links(first, heads, sets, percent)
 
     known = components(links, "x", "y").select(F.col("node").alias("rep"), "component_id")
     placed = shared.join(known, "rep", "left").withColumn("component", F.coalesce("component_id", "rep"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = stored(placed.join(mixed.where("low < high"), "bucket").select("bucket", "rep", "hub", "n_shingles", "component"))
-    one, two = placed.alias("one"), placed.alias("two")
-    rest = (
-        one.join(two, F.col("one.bucket") == F.col("two.bucket"))
-        .where("one.component <> two.component and one.rep > two.rep and two.rep <> one.hub")
-        .where(F.least("one.n_shingles", "two.n_shingles") * 100 >= F.greatest("one.n_shingles", "two.n_shingles") * percent)
-        .select(F.col("one.rep").alias("x"), F.col("two.rep").alias("y"))
-        .distinct()
+    parts = F.ceil(F.greatest(F.col("size") / PART_ROWS, F.col("shingles") / PART_SHINGLES)).cast("int")
+    placed = placed.join(mixed.where("low < high").select("bucket"), "bucket").select(
+        "bucket", "rep", "component", parts.alias("parts"), F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part")
+    )
+    # each row goes to the pairs of parts that its part is in
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "bucket", "rep", "component", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")
     )
-    links = links.union(_confirmed(rest, heads, docs, percent))
+    placed = placed.join(heads.select("rep", "n_shingles", "minima", "bands"), "rep")
+    placed = placed.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    missed = placed.groupBy("bucket", "i", "j").applyInArrow(_missed_links(percent), "x bigint, y bigint")
+    links = links.union(stored(missed))
 
     known = components(links, "x", "y").select(F.col("node").alias("rep"), "component_id")
     roots = heads.select(*key, "rep").join(known, "rep", "left")
