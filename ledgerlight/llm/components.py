@@ -8,19 +8,25 @@ from pyspark.sql import functions as F
 from ledgerlight.llm.common import stored
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: Edges that a task of a round takes at least, so that a small graph has few tasks.
+EDGES_A_TASK = 200_000
+
+
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Link the larger neighbours of each node to its smallest neighbour or itself."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    linked = both.where("v > u").join(least, "u").coalesce(tasks)
+    return linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     """Link the smaller neighbours of each node, and the node, to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    linked = down.join(least, "u").coalesce(tasks)
+    moved = F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+    return linked.select(F.inline(moved)).where("u > v").distinct().coalesce(tasks)
 
 
 def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataFrame:
@@ -39,7 +45,8 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 60) -> DataF
         if got == mark or not got[0]:
             break
         mark = got
-        now = stored(_small_star(_large_star(now)))
+        tasks = max(4, got[0] // EDGES_A_TASK)
+        now = stored(_small_star(_large_star(now, tasks), tasks))
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
