@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +19,6 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -39,14 +42,21 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and staged tables.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset, as
-    in a local test, a temporary folder stands in.
+    in a local test, a temporary folder stands in, which goes with the process.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="ledgerlight-")
+    return _own_folder()
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="ledgerlight-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas
 from ledgerlight.functions.text import filled, join_filled
 from ledgerlight.functions.time import from_epoch_ms, from_iso
 from ledgerlight.operators.joins import lookup_or_null
+from ledgerlight.operators.versions import latest_version
 from ledgerlight.sources.tables import conform
 
 UNRATED = "NONE"
@@ -26,12 +27,14 @@ ERROR = "type string, message string, error string"
 def resolve_users(df: DataFrame, users: DataFrame, user: str = "user_id", out: str = "user_email") -> DataFrame:
     """The address of each user id; ``ID_<id>`` where it is unknown, NULL where there is none.
 
-    ``users`` has one row per ``user_id`` with its ``user_email``.
+    ``users`` has one row per ``user_id`` with its ``user_email``.  Rows without a user
+    are spread by their ids.
     """
     known = users.select(F.col("user_id").alias("__user"), F.col("user_email").alias("__email"))
     real = F.when(~F.col(user).isin(*NO_USER), F.col(user))
     address = F.coalesce("__email", F.concat(F.lit("ID_"), F.col("__user")))
-    found = lookup_or_null(df.withColumn("__user", real), known, "__user", df.columns)
+    spread = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and f.name.endswith("id")]
+    found = lookup_or_null(df.withColumn("__user", real), known, "__user", spread or [user])
     return found.withColumn(out, address).drop("__user", "__email")
 
 
@@ -42,7 +45,9 @@ def flatten_messages(raw: DataFrame, users: DataFrame, keep_millis: bool = True)
     questions = F.flatten(
         F.filter(F.transform(attachments, lambda a: a["suggested_questions"]["questions"]), F.isnotnull)
     )
-    error = F.from_json(F.when(F.startswith(F.col("error"), F.lit("{")), F.col("error")), ERROR)
+    parsed = F.from_json(F.when(F.startswith(F.col("error"), F.lit("{")), F.col("error")), ERROR)
+    # text that only looks like JSON has none of the fields and stays text
+    error = F.when(F.coalesce(parsed["type"], parsed["message"], parsed["error"]).isNotNull(), parsed)
     plain_error = filled(F.col("error"))
     rows = raw.select(
         "space_id",
@@ -102,8 +107,9 @@ def message_statements(raw: DataFrame, users: DataFrame, keep_millis: bool = Tru
 def message_comments(raw: DataFrame, messages: DataFrame, keep_millis: bool = True) -> DataFrame:
     """One row per comment with text, of messages that were rated.
 
-    ``raw`` has the comments of one message per document; a message read twice counts
-    once.  Ids a comment lacks come from its message.
+    ``raw`` has comments of one message per document.  A message may have landed several
+    times, each with more comments: all of them count, each comment once and as it was
+    written last.  Ids a comment lacks come from its message.
     """
     rated = messages.filter(F.coalesce("feedback_rating", F.lit(UNRATED)) != UNRATED).select("message_id")
     complete = F.col("message_id").isNotNull() & F.col("conversation_id").isNotNull() & F.col("space_id").isNotNull()
@@ -112,7 +118,6 @@ def message_comments(raw: DataFrame, messages: DataFrame, keep_millis: bool = Tr
     rows = (
         raw.filter(complete)
         .join(rated, "message_id", "left_semi")
-        .dropDuplicates(["message_id"])
         .withColumn("comment", F.explode("comments"))
         .select(
             F.col("comment.message_comment_id").alias("message_comment_id"),
@@ -124,7 +129,9 @@ def message_comments(raw: DataFrame, messages: DataFrame, keep_millis: bool = Tr
         )
         .filter(F.col("comment_text") != "")
     )
-    return conform(rows, schemas.entity("message_comments"))
+    named = latest_version(rows.filter("message_comment_id is not null"), ["message_comment_id"], ["created_timestamp"])
+    nameless = rows.filter("message_comment_id is null").distinct()
+    return conform(named.unionByName(nameless), schemas.entity("message_comments"))
 
 
 def with_child_count(parent: DataFrame, child: DataFrame, key: str, out: str = "num_comments") -> DataFrame:

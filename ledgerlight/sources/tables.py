@@ -8,9 +8,32 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 
+BAD_LINE = "bad_line"
+
+
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Landed JSON documents, one per line, under a declared schema."""
-    return spark.read.schema(schema).json(path)
+    """Landed JSON documents, one per line, under a declared schema; broken lines are left out."""
+    return split_documents(spark.read.text(path), schema)[0]
+
+
+def read_bad_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The lines, as ``bad_line``, that are no documents of the schema."""
+    return split_documents(spark.read.text(path), schema)[1]
+
+
+def split_documents(lines: DataFrame, schema: T.StructType, line: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Documents from lines of JSON, and the lines that are none.
+
+    A line that does not parse, or a value in it that its column cannot hold, makes it a
+    bad line; blank lines are neither.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+    filled = lines.where(F.trim(F.col(line)) != "")
+    parsed = filled.select(F.from_json(F.col(line), whole, options).alias("d"), F.col(line).alias("l"))
+    broken = F.col("d").isNull() | F.col(f"d.{BAD_LINE}").isNotNull()
+    good = parsed.where(~broken).select(*[F.col(f"d.`{f.name}`").alias(f.name) for f in schema.fields])
+    return good, parsed.where(broken).select(F.col("l").alias(BAD_LINE))
 
 
 def rows_to_frame(spark: SparkSession, rows: Iterable, schema: T.StructType | str) -> DataFrame:
@@ -73,10 +96,21 @@ def declare_table(
         replace_table(conform(empty_table(spark, schema), schema), table, partition_by, comment=comment)
 
 
-def insert_overwrite(df: DataFrame, table: str) -> None:
-    """Replace the rows of a declared table; columns are matched by name and cast."""
-    declared = df.sparkSession.table(table).schema
-    conform(df, declared).write.insertInto(table, overwrite=True)
+def insert_overwrite(df: DataFrame, table: str, touched_only: bool = False) -> None:
+    """Replace the rows of a declared table; columns are matched by name and cast.
+
+    All rows go, those of partitions that ``df`` has no rows of too.  With
+    ``touched_only`` the partitions that ``df`` does not touch stay.  The session's own
+    overwrite mode does not count.
+    """
+    spark = df.sparkSession
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode, None)
+    spark.conf.set(mode, "dynamic" if touched_only else "static")
+    try:
+        conform(df, spark.table(table).schema).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.unset(mode) if before is None else spark.conf.set(mode, before)
 
 
 def write_partitions(

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlight.functions.time import Instant, as_column
 from ledgerlight.operators.versions import latest_version
+from ledgerlight.session import cut_lineage
 from ledgerlight.sources.tables import write_partitions
 
 MARKS = "source string, workspace_id string, high_mark timestamp"
@@ -20,18 +21,18 @@ def no_marks(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], MARKS)
 
 
-def rows_after_marks(
-    df: DataFrame, marks: DataFrame, source: str, at: str, overlap: str = "0 seconds"
-) -> DataFrame:
-    """Rows of a source beyond the mark of their workspace; all of a workspace without one.
+def rows_after_marks(df: DataFrame, marks: DataFrame, source: str, at: str, overlap: str) -> DataFrame:
+    """Rows of a source from the mark of their workspace on; all of a workspace without one.
 
-    ``overlap`` reads that much again, for rows that arrive late; pair it with an upsert.
+    ``at`` should be the time a row arrived.  Where it is the time something happened,
+    ``overlap`` has to be as long as rows can be late.  Rows at the mark and within the
+    overlap are read again, so the load must be an upsert.
     """
     own = marks.filter(F.col("source") == source).select("workspace_id", "high_mark")
     since = F.col("high_mark") - F.expr(f"interval {overlap}")
     return (
         df.join(own, "workspace_id", "left")
-        .filter(F.col("high_mark").isNull() | (F.col(at) > since))
+        .filter(F.col("high_mark").isNull() | (F.col(at) >= since))
         .drop("high_mark")
     )
 
@@ -57,17 +58,26 @@ def upsert_partitions(
 ) -> None:
     """Upsert into a partitioned parquet folder, rewriting only the partitions touched.
 
-    ``partition`` must be among the keys: a row then never changes partition.
+    A key is one row in the whole folder.  The partitions touched are those of the
+    incoming rows and those where their keys are now, which a read of keys alone finds;
+    their values become a filter of the scan.  A partition that its last row has left is
+    removed.
     """
-    if partition not in keys:
-        raise ValueError(f"partition column {partition!r} must be one of the keys")
     spark = incoming.sparkSession
-    merged = incoming
-    if _exists(spark, path):
-        touched = incoming.select(partition).distinct()
-        before = spark.read.schema(incoming.schema).parquet(path).join(touched, partition, "left_semi")
-        merged = before.unionByName(incoming)
-    write_partitions(latest_version(merged, keys, order), path, [partition])
+    if not _exists(spark, path):
+        write_partitions(latest_version(incoming, keys, order), path, [partition])
+        return
+    # the partition column is read from folder names: as text first, cast on the way
+    stored = spark.read.schema(incoming.schema).parquet(path)
+    held = stored.select(*dict.fromkeys([*keys, partition])).join(incoming.select(*keys).distinct(), list(keys), "left_semi")
+    values = [r[0] for r in incoming.select(partition).union(held.select(partition)).distinct().collect()]
+    chosen = F.col(partition).isin([v for v in values if v is not None])
+    if None in values:
+        chosen = chosen | F.col(partition).isNull()
+    merged = cut_lineage(latest_version(stored.filter(chosen).unionByName(incoming), keys, order))
+    write_partitions(merged, path, [partition])
+    left = {r[0] for r in merged.select(partition).distinct().collect()}
+    _drop_partitions(spark, path, partition, [v for v in values if v not in left])
 
 
 def stream_partial_sums(
@@ -96,6 +106,15 @@ def read_partial_sums(spark: SparkSession, target: str, keys: Sequence[str], nam
     return spark.read.parquet(target).groupBy(*keys).agg(*[F.sum(name).alias(name) for name in names])
 
 
+def _drop_partitions(spark: SparkSession, path: str, partition: str, values: Sequence[object]) -> None:
+    """Remove the folders of partitions, named as Spark names them."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for value in values:
+        text = None if value is None else str(value)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path, names.getPartitionPathString(partition, text))
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)

@@ -5,9 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import cached_property
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +13,7 @@ from pyspark.sql.window import Window
 
 from ledgerlight import schemas
 from ledgerlight.plans.query_cost import QueryFeeds
-from ledgerlight.session import shared_dir, use_utc
+from ledgerlight.session import use_utc
 
 #: Day the event feeds and the line-item feeds are looked at from.
 EVENTS_AS_OF = "2024-02-01"
@@ -34,19 +32,10 @@ class Feeds:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = use_utc(spark)
         self.folder = folder.rstrip("/")
-        self._stored: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """A result written once to the shared folder, as later jobs would read it."""
-        if name not in self._stored:
-            path = f"{shared_dir(self.spark)}/stored-{uuid4().hex}/{name}"
-            make().write.parquet(path)
-            self._stored[name] = path
-        return self.spark.read.parquet(self._stored[name])
-
     @cached_property
     def events(self) -> DataFrame:
         return self.table("events").select(
@@ -402,7 +391,8 @@ class Feeds:
         turns = self.table("conversations").withColumns(
             {"next_role": F.lead("role").over(following), "next_text": F.lead("text").over(following)}
         )
-        answer = F.when(F.col("next_role") == "assistant", F.col("next_text"))
+        asked = (F.col("role") == "user") & (F.col("next_role") == "assistant")
+        answer = F.when(asked, F.col("next_text"))
         schema = schemas.document("message")
         attachment = schema["attachments"].dataType.elementType.simpleString()
 
@@ -436,7 +426,7 @@ class Feeds:
         created = F.lit(1704067200123) + conv * 3600000 + turn * 60000
         failed = F.col("answer").isNull()
         return (
-            turns.filter(F.col("role") == "user")
+            turns.filter(F.col("role") != "assistant")  # a system turn is a message without answer
             .withColumn("answer", answer)
             .select(
                 text("sp-", conv % 7).alias("space_id"),
@@ -451,7 +441,8 @@ class Feeds:
                 (created + 5000).alias("last_updated_timestamp"),
                 attachments.alias("attachments"),
                 F.struct(F.when(conv % 3 == 0, "POSITIVE").when(conv % 3 == 1, "NEGATIVE").alias("rating")).alias("feedback"),
-                F.when(failed & (conv % 2 == 0), "timeout")
+                F.when(failed & (conv % 4 == 0), "{timeout} while running")
+                .when(failed & (conv % 2 == 0), "timeout")
                 .when(failed, '{"type":"QUERY_ERROR","message":"bad statement"}')
                 .alias("error"),
             )
@@ -459,7 +450,10 @@ class Feeds:
 
     @cached_property
     def raw_comments(self) -> DataFrame:
-        """Three comments per message: one padded, one blank, one with the whole question."""
+        """Three comments per message, one padded, one blank, one with the whole question.
+
+        Each message has landed twice, the first time with two of them.
+        """
         base = self.raw_messages.withColumn("message_id", F.col("id"))
         def comment(n: int, content: Column, own_ids: bool) -> Column:
             missing = F.lit(None).cast("string")
@@ -472,14 +466,15 @@ class Feeds:
                 content.alias("content"),
                 (F.col("created_timestamp") + n * 1000).alias("created_timestamp"),
             )
-        return base.select(
-            "space_id", "space_name", "conversation_id", "message_id",
-            F.array(
-                comment(1, F.concat(F.lit("  fine "), F.col("user_id"), F.lit(" \n")), True),
-                comment(2, F.lit("   "), True),
-                comment(3, F.col("content"), False),
-            ).alias("comments"),
-        )
+        first = F.array(comment(1, F.lit("not yet"), True), comment(2, F.lit("   "), True))
+        again = F.array(
+            comment(1, F.concat(F.lit("  fine "), F.col("user_id"), F.lit(" \n")), True),
+            comment(2, F.lit("   "), True),
+            comment(3, F.col("content"), False),
+        )
+        earlier = F.transform(first, lambda c: c.withField("created_timestamp", c["created_timestamp"] - 500))
+        landed = F.explode(F.array(earlier, again)).alias("comments")
+        return base.select("space_id", "space_name", "conversation_id", "message_id", landed)
 
     @cached_property
     def acl_documents(self) -> DataFrame:

@@ -333,12 +333,12 @@ PARTS["asked"] = """
 SELECT 'sp-' || conv_id % 7 AS space_id, 'Space ' || conv_id % 7 AS space_name, conv_id || '-' || turn AS message_id,
        'cv-' || conv_id AS conversation_id, CAST(conv_id AS VARCHAR) AS user_id,
        CASE WHEN conv_id <> 0 THEN coalesce(u.address, 'ID_' || conv_id) END AS user_email,
-       CASE WHEN next_role = 'assistant' THEN next_text END AS answer, conv_id, turn, text AS question,
+       CASE WHEN role = 'user' AND next_role = 'assistant' THEN next_text END AS answer, conv_id, turn, text AS question,
        make_timestamp((1704067200123 + conv_id * 3600000 + turn * 60000) * 1000) AS created,
        'st-' || (conv_id * 31 + turn * 7) % 1000 AS first_statement,
        CASE WHEN turn % 3 = 0 AND conv_id % 5 <> 0 THEN 'st-' || (conv_id * 17 + turn * 3) % 1000 END AS second_statement,
        CASE conv_id % 3 WHEN 0 THEN 'POSITIVE' WHEN 1 THEN 'NEGATIVE' ELSE 'NONE' END AS rating
-FROM turns LEFT JOIN users u ON u.user_id = CAST(conv_id AS VARCHAR) WHERE role = 'user'"""
+FROM turns LEFT JOIN users u ON u.user_id = CAST(conv_id AS VARCHAR) WHERE role <> 'assistant'"""
 
 PARTS["messages"] = """
 SELECT space_id, space_name, message_id, conversation_id, user_id, user_email,
@@ -352,7 +352,8 @@ SELECT space_id, space_name, message_id, conversation_id, user_id, user_email,
        2 + CASE WHEN answer IS NULL THEN 0 ELSE 1 END + CASE WHEN turn % 3 = 0 THEN 1 ELSE 0 END AS num_attachments,
        rating AS feedback_rating, 0 AS num_comments,
        CASE WHEN answer IS NULL AND conv_id % 2 = 0 THEN 'Unknown' WHEN answer IS NULL THEN 'QUERY_ERROR' END AS error_type,
-       CASE WHEN answer IS NULL AND conv_id % 2 = 0 THEN 'timeout'
+       CASE WHEN answer IS NULL AND conv_id % 4 = 0 THEN '{timeout} while running'
+            WHEN answer IS NULL AND conv_id % 2 = 0 THEN 'timeout'
             WHEN answer IS NULL THEN 'bad statement' END AS error_message
 FROM asked"""
 

@@ -86,7 +86,7 @@ def _work(feeds: Feeds) -> DataFrame:
 
 def _cost(feeds: Feeds) -> DataFrame:
     """The finished fact, which reports read from storage."""
-    return feeds.stored("cost_per_query", lambda: query_cost.cost_per_query(feeds.query_feeds))
+    return query_cost.cost_per_query(feeds.query_feeds)
 
 
 @query
@@ -657,10 +657,11 @@ def incremental_usage(feeds: Feeds) -> DataFrame:
 @query
 def incremental_marks(feeds: Feeds) -> DataFrame:
     """Rows that a first load and the load after its marks read, by workspace."""
-    history = feeds.query_history.select("workspace_id", "start_time")
+    history = feeds.query_history.select("workspace_id", "statement_id", "start_time")
     first = incremental.load_up_to(history, "start_time", FIRST_LOAD)
     marks = incremental.advance_marks(incremental.no_marks(feeds.spark), first, "query_history", "start_time")
-    second = incremental.rows_after_marks(history, marks, "query_history", "start_time")
+    again = incremental.rows_after_marks(history, marks, "query_history", "start_time", overlap="1 hour")
+    second = again.join(first.select("statement_id"), "statement_id", "left_anti")
     steps = first.withColumn("step", F.lit("first")).unionByName(second.withColumn("step", F.lit("second")))
     return steps.groupBy("workspace_id", "step").agg(F.count("*").alias("rows"))
 

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlight.operators.pricing import interval_lookup, price_usage, unit_prices
+from ledgerlight.operators.pricing import billed_measures, interval_lookup, price_usage, unit_prices
 
 USAGE = "id string, sku_name string, cloud string, usage_unit string, usage_start_time timestamp, usage_end_time timestamp, usage_quantity string"
 PRICES = "sku_name string, cloud string, usage_unit string, currency_code string, price_start_time timestamp, price_end_time timestamp, price string"
@@ -83,3 +83,17 @@ def test_products_keep_every_digit(frame, prices):
 def test_unknown_bounds_are_refused(usage, prices):
     with pytest.raises(ValueError, match="closed"):
         interval_lookup(usage, "usage_start_time", prices, "price_start_time", "price_end_time", ["cloud"], "right")
+
+
+@pytest.mark.parametrize(("quantity", "price"), [("0.0000004", "1000000"), ("1000000", "0.0000004")])
+def test_many_small_amounts_do_not_round_to_nothing(spark, quantity, price):
+    start = "timestamp'2024-01-01'"
+    usage = spark.sql(
+        f"SELECT 'S' sku_name, 'A' cloud, {start} usage_start_time, CAST('{quantity}' AS DECIMAL(38,18)) usage_quantity FROM range(1000)"
+    )
+    prices = spark.sql(
+        f"SELECT 'S' sku_name, 'A' cloud, 'USD' currency_code, {start} price_start_time, CAST(NULL AS TIMESTAMP) price_end_time,"
+        f" named_struct('effective_list', named_struct('default', CAST('{price}' AS DECIMAL(38,18)))) pricing"
+    )
+    total = price_usage(usage, prices).agg(*billed_measures()).first()
+    assert (total.units, total.dollars) == (1000 * Decimal(quantity), Decimal(400))

@@ -77,22 +77,24 @@ def test_checks_and_enforcement(spark, rows):
     assert quality.assert_empty(df.filter("false"), "fine").collect()[0].passed is None
 
 
-def test_marks_read_every_row_once(frame, spark, rows):
+def test_marks_miss_neither_tied_nor_late_rows(frame, spark, rows):
     feed = frame("workspace_id string, t timestamp, v int", ("a", "2024-01-01", 1), ("a", "2024-01-03", 2), ("b", "2024-01-02", 3), ("c", "2024-01-05", 4))
     first = incremental.load_up_to(feed, "t", "2024-01-02")
     marks = incremental.advance_marks(incremental.no_marks(spark), first, "feed", "t")
     assert rows(marks) == [("feed", "a", "2024-01-01 00:00:00"), ("feed", "b", "2024-01-02 00:00:00")]
-    second = incremental.rows_after_marks(feed, marks, "feed", "t")
-    assert rows(second, "v") == [(2,), (4,)]
+    tied_and_late = frame("workspace_id string, t timestamp, v int", ("b", "2024-01-02", 5), ("b", "2024-01-01 23:00:00", 6))
+    second = incremental.rows_after_marks(feed.union(tied_and_late), marks, "feed", "t", overlap="1 hour")
+    assert rows(second, "v") == [(1,), (2,), (3,), (4,), (5,), (6,)]
+    whole = incremental.upsert_latest(first, second, ["v"], ["t"])
+    assert rows(whole, "v") == [(1,), (2,), (3,), (4,), (5,), (6,)]
     marks = incremental.advance_marks(marks, second, "feed", "t")
-    assert incremental.rows_after_marks(feed, marks, "feed", "t").count() == 0
-    assert rows(incremental.rows_after_marks(feed, marks, "feed", "t", overlap="2 days"), "v") == [(2,), (3,), (4,)]
+    assert rows(incremental.rows_after_marks(feed, marks, "feed", "t", overlap="0 seconds"), "v") == [(2,), (3,), (4,)]
 
 
 def test_upserts_touch_their_partitions_and_repeat_safely(spark, tmp_path, rows):
     path = str(tmp_path / "u")
     ddl = "k string, day string, at int, v string"
-    args = (path, ["k", "day"], ["at"], "day")
+    args = (path, ["k"], ["at"], "day")
     incremental.upsert_partitions(spark.createDataFrame([("a", "d1", 1, "old"), ("b", "d2", 1, "kept")], ddl), *args)
     untouched = {p.name for p in (tmp_path / "u" / "day=d2").iterdir()}
     change = spark.createDataFrame([("a", "d1", 2, "new"), ("c", "d1", 1, "added")], ddl)
@@ -102,8 +104,42 @@ def test_upserts_touch_their_partitions_and_repeat_safely(spark, tmp_path, rows)
     incremental.upsert_partitions(late, *args)
     assert rows(spark.read.parquet(path), "k", "v") == [("a", "new"), ("b", "kept"), ("c", "added")]
     assert {p.name for p in (tmp_path / "u" / "day=d2").iterdir()} == untouched
-    with pytest.raises(ValueError, match="keys"):
-        incremental.upsert_partitions(change, path, ["k"], ["at"], "day")
+    # a key moves to another partition, and the partition it leaves is empty
+    incremental.upsert_partitions(spark.createDataFrame([("b", "d1", 2, "moved")], ddl), *args)
+    assert rows(spark.read.parquet(path), "k", "day", "v") == [("a", "d1", "new"), ("b", "d1", "moved"), ("c", "d1", "added")]
+    assert not (tmp_path / "u" / "day=d2").exists()
+
+
+def test_overwriting_replaces_all_partitions_in_either_session_mode(spark, rows):
+    for n, mode in enumerate(("static", "dynamic")):
+        table = f"overwritten_{n}"
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+        schema = schemas.struct("v int, p string")
+        tables.declare_table(spark, table, schema, ["p"])
+        tables.insert_overwrite(spark.createDataFrame([(1, "x"), (2, "y")], schema), table)
+        tables.insert_overwrite(spark.createDataFrame([(3, "x")], schema), table)
+        assert rows(spark.table(table), "v", "p") == [(3, "x")]
+        tables.insert_overwrite(spark.createDataFrame([(4, "y")], schema), table, touched_only=True)
+        assert rows(spark.table(table), "v", "p") == [(3, "x"), (4, "y")]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+        tables.drop_tables(spark, [table])
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_broken_lines_are_told_from_documents(spark, tmp_path, rows):
+    (tmp_path / "lines.json").write_text('{"k": 1, "s": "a"}\n{"k": \n\n{"k": "x"}\nnull\n{"s": "b"}\n')
+    schema = schemas.struct("k int, s string")
+    path = str(tmp_path / "lines.json")
+    assert rows(tables.read_documents(spark, path, schema)) == [(1, "a"), (None, "b")]
+    assert rows(tables.read_bad_lines(spark, path, schema)) == [("null",), ('{"k": "x"}',), ('{"k": ',)]
+
+
+def test_the_latest_of_rows_with_maps(spark, rows):
+    from ledgerlight.operators.versions import latest_version
+
+    data = [("a", 1, {"x": "1"}), ("a", 2, {"x": "2"}), ("a", 2, {"x": "3"}), ("b", None, None)]
+    best = latest_version(spark.createDataFrame(data, "k string, at int, m map<string,string>"), ["k"], ["at"])
+    assert sorted((r.k, r["at"], r.m) for r in best.collect()) == [("a", 2, {"x": "3"}), ("b", None, None)]
 
 
 def test_stream_sums_survive_reruns_and_take_late_files(spark, tmp_path, rows):
