@@ -23,7 +23,7 @@ from ledgerlight.functions.time import (
     second_of,
     whole_seconds_between,
 )
-from ledgerlight.operators.ordered import next_order, previous_value, running_total
+from ledgerlight.operators.ordered import runs, totals_and_next
 
 OFF, ON = "OFF", "ON"
 
@@ -105,9 +105,7 @@ def state_intervals(
     by_second = state_marks(events, key, ts, state, lo, hi).select(
         key, F.col("at").alias("start"), "window_state", day_of("at").alias("__day")
     )
-    seen = previous_value(by_second, [key], "__day", "start", "window_state", "__before")
-    changes = seen.filter(F.col("__before").isNull() | (F.col("__before") != F.col("window_state"))).drop("__before")
-    return next_order(changes, [key], "__day", "start", "end").select(
+    return runs(by_second, [key], "__day", "start", "window_state", "end").select(
         key, "window_state", "start", F.coalesce("end", as_column(hi)).alias("end")
     )
 
@@ -121,9 +119,8 @@ def active_intervals(work: DataFrame, key: str, start: str, end: str, lo: Instan
     net = activity_steps(work, key, start, end, lo, hi).select(
         key, F.col("at").alias("start"), "step", day_of("at").alias("__day")
     )
-    summed = running_total(net, [key], "__day", "start", "step", "queries_active")
     return (
-        next_order(summed, [key], "__day", "start", "end")
+        totals_and_next(net, [key], "__day", "start", "step", "queries_active", "end")
         .select(key, "start", F.coalesce("end", as_column(hi)).alias("end"), "queries_active")
         .filter(F.col("start") < F.col("end"))
     )

@@ -16,59 +16,67 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def running_total(df: DataFrame, keys: Sequence[str], bucket: str, order: str, value: str, out: str) -> DataFrame:
-    """Running sum of ``value`` per key by ``order``, which must be unique per key."""
+def totals_and_next(
+    df: DataFrame, keys: Sequence[str], bucket: str, order: str, value: str, total: str, following: str
+) -> DataFrame:
+    """Running sum of ``value`` and the next ``order``, per key by ``order``, unique per key.
+
+    ``following`` is NULL on the last row.  One window per (key, bucket) and one summary
+    of the same columns, so that both share the shuffle below them.
+    """
     inside = Window.partitionBy(*keys, bucket).orderBy(order)
     across = Window.partitionBy(*keys).orderBy(bucket)
-    opening = (
+    # stated on both sides of the join below, so that what lies under them stays the same
+    df = df.select(*keys, bucket, order, value).filter(F.col(bucket).isNotNull())
+    edges = (
         df.groupBy(*keys, bucket)
-        .agg(F.sum(value).alias("__sum"))
+        .agg(F.sum(value).alias("__sum"), F.min(order).alias("__first"))
         .select(
             *keys,
             bucket,
-            F.coalesce(
-                F.sum("__sum").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-            ).alias("__opening"),
+            F.coalesce(F.sum("__sum").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__opening"),
+            F.lead("__first").over(across).alias("__following"),
         )
     )
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        df.withColumn("__inside", F.sum(value).over(upto))
-        .join(opening, [*keys, bucket])
-        .withColumn(out, F.col("__opening") + F.col("__inside"))
-        .drop("__opening", "__inside")
+        df.withColumns({"__inside": F.sum(value).over(upto), "__lead": F.lead(order).over(inside)})
+        .join(edges, [*keys, bucket])
+        .withColumns({total: F.col("__opening") + F.col("__inside"), following: F.coalesce("__lead", "__following")})
+        .drop("__opening", "__inside", "__lead", "__following")
     )
 
 
-def previous_value(df: DataFrame, keys: Sequence[str], bucket: str, order: str, value: str, out: str) -> DataFrame:
-    """``value`` of the row before, per key by ``order``; NULL on the first row."""
-    inside = Window.partitionBy(*keys, bucket).orderBy(order)
-    across = Window.partitionBy(*keys).orderBy(bucket)
-    edge = (
-        df.groupBy(*keys, bucket)
-        .agg(F.max_by(value, order).alias("__last"))
-        .select(*keys, bucket, F.lag("__last").over(across).alias("__carried"))
-    )
-    return (
-        df.withColumns({"__row": F.row_number().over(inside), "__lag": F.lag(value).over(inside)})
-        .join(edge, [*keys, bucket])
-        .withColumn(out, F.when(F.col("__row") == 1, F.col("__carried")).otherwise(F.col("__lag")))
-        .drop("__row", "__lag", "__carried")
-    )
+def runs(df: DataFrame, keys: Sequence[str], bucket: str, order: str, value: str, following: str) -> DataFrame:
+    """The rows whose ``value`` is not that of the row before, and where the next such row is.
 
-
-def next_order(df: DataFrame, keys: Sequence[str], bucket: str, order: str, out: str) -> DataFrame:
-    """``order`` of the row after, per key; NULL on the last row."""
+    Per key by ``order``, which must be unique per key; ``value`` is never NULL, and
+    ``following`` is NULL on the last run.  Whether the first row of a bucket begins a
+    run, and where the first run after a bucket begins, comes from its summary row.
+    """
     inside = Window.partitionBy(*keys, bucket).orderBy(order)
     across = Window.partitionBy(*keys).orderBy(bucket)
-    edge = (
-        df.groupBy(*keys, bucket)
-        .agg(F.min(order).alias("__first"))
-        .select(*keys, bucket, F.lead("__first").over(across).alias("__following"))
+    # stated on both sides of the join below, so that what lies under them stays the same
+    df = df.select(*keys, bucket, order, value).filter(F.col(bucket).isNotNull())
+    before = df.withColumn("__before", F.lag(value).over(inside))
+    begins = F.when(F.col("__before") != F.col(value), F.col(order))
+    edges = before.groupBy(*keys, bucket).agg(
+        F.min(order).alias("__at"),
+        F.min_by(value, order).alias("__first"),
+        F.max_by(value, order).alias("__last"),
+        F.min(begins).alias("__inner"),
     )
+    edges = edges.withColumn("__carried", F.lag("__last").over(across))
+    fresh = F.col("__carried").isNull() | (F.col("__carried") != F.col("__first"))
+    edges = edges.withColumn("__begins", F.when(fresh, F.col("__at")).otherwise(F.col("__inner")))
+    later = F.min("__begins").over(across.rowsBetween(1, Window.unboundedFollowing))
+    edges = edges.select(*keys, bucket, "__carried", later.alias("__following"))
+    after = F.min("__begin").over(inside.rowsBetween(1, Window.unboundedFollowing))
     return (
-        df.withColumn("__lead", F.lead(order).over(inside))
-        .join(edge, [*keys, bucket])
-        .withColumn(out, F.coalesce("__lead", "__following"))
-        .drop("__lead", "__following")
+        before.withColumn("__begin", begins)
+        .withColumn("__after", after)
+        .join(edges, [*keys, bucket])
+        .filter(~F.coalesce("__before", "__carried").eqNullSafe(F.col(value)))
+        .withColumn(following, F.coalesce("__after", "__following"))
+        .drop("__before", "__begin", "__after", "__carried", "__following")
     )

@@ -32,6 +32,7 @@ from ledgerlight.operators.intervals import (
     utilization_sweep,
 )
 from ledgerlight.operators.pricing import PRICE_KEYS, price_usage
+from ledgerlight.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -86,6 +87,13 @@ class QueryFeeds:
         )
 
 
+def narrow_work(feeds: QueryFeeds, lo: Instant, hi: Instant) -> DataFrame:
+    """The columns of history that costs are allocated by, without any text."""
+    return query_work(warehouse_queries(feeds.history, lo, hi)).select(
+        "statement_id", "warehouse_id", "query_work_start_time", "query_work_end_time", "query_work_task_time"
+    )
+
+
 def query_states(feeds: QueryFeeds, lo: Instant, hi: Instant) -> DataFrame:
     """ON and OFF intervals of the warehouses that ran queries."""
     busy = warehouse_queries(feeds.history, lo, hi).select("warehouse_id").distinct()
@@ -99,10 +107,13 @@ def query_activity(feeds: QueryFeeds, lo: Instant, hi: Instant) -> DataFrame:
     return active_intervals(work, "warehouse_id", "query_work_start_time", "query_work_end_time", lo, hi)
 
 
-def period_utilization(feeds: QueryFeeds, lo: Instant, hi: Instant) -> DataFrame:
-    """Seconds of each warehouse and hour that were used, idle or off."""
+def period_utilization(feeds: QueryFeeds, lo: Instant, hi: Instant, work: DataFrame | None = None) -> DataFrame:
+    """Seconds of each warehouse and hour that were used, idle or off.
+
+    ``work`` is :func:`narrow_work` where it is stored already.
+    """
     key = "warehouse_id"
-    work = query_work(warehouse_queries(feeds.history, lo, hi))
+    work = narrow_work(feeds, lo, hi) if work is None else work
     steps = activity_steps(work, key, "query_work_start_time", "query_work_end_time", lo, hi)
     states = state_marks(feeds.events, key, "event_time", cluster_state(F.col("cluster_count")), lo, hi)
     return utilization_sweep(steps, states, key, lo, hi)
@@ -121,7 +132,9 @@ def warehouse_usage(feeds: QueryFeeds, lo: Instant, hi: Instant) -> DataFrame:
     )
 
 
-def warehouse_hour_cost(feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rules = Rules()) -> DataFrame:
+def warehouse_hour_cost(
+    feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rules = Rules(), work: DataFrame | None = None
+) -> DataFrame:
     """Billed cost of each warehouse and hour inside the window, with its utilization."""
     priced = price_usage(
         warehouse_usage(feeds, lo, hi),
@@ -132,17 +145,21 @@ def warehouse_hour_cost(feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rule
         on_missing=None,
         span=(lo, hi),
     )
-    used = hourly_utilization(period_utilization(feeds, lo, hi), "warehouse_id", rules.utilization_decimal)
+    used = hourly_utilization(period_utilization(feeds, lo, hi, work), "warehouse_id", rules.utilization_decimal)
     return hour_cost(priced, used)
 
 
 def attributed_hours(feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rules = Rules()) -> DataFrame:
-    """Attributed cost at the grain of statement and hour."""
-    work = query_work(warehouse_queries(feeds.history, lo, hi))
+    """Attributed cost at the grain of statement and hour.
+
+    The narrow columns of history are stored once in the shared folder; utilization,
+    the totals of an hour and the parts of a statement are all read from there.
+    """
+    work = cut_lineage(narrow_work(feeds, lo, hi))
     latest = warehouse_usage(feeds, lo, hi).agg(hour_of(F.max("usage_start_time"))).scalar()
     return attribute_cost(
         apportion_by_hour(work, rules.precision),
-        warehouse_hour_cost(feeds, lo, hi, rules),
+        warehouse_hour_cost(feeds, lo, hi, rules, work),
         latest,
         rules.spread_idle,
     )

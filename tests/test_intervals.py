@@ -1,3 +1,4 @@
+import re
 import random
 
 import pytest
@@ -186,12 +187,54 @@ def test_bucketed_windows_equal_plain_ones(spark):
     w = Window.partitionBy("k").orderBy("at")
     plain = df.withColumns({
         "total": F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        "before": F.lag("v").over(w), "after": F.lead("at").over(w),
+        "after": F.lead("at").over(w),
     })
-    split = ordered.running_total(df, ["k"], "bucket", "at", "v", "total")
-    split = ordered.previous_value(split, ["k"], "bucket", "at", "v", "before")
-    split = ordered.next_order(split, ["k"], "bucket", "at", "after")
-    columns = ["k", "at", "total", "before", "after"]
+    split = ordered.totals_and_next(df, ["k"], "bucket", "at", "v", "total", "after")
+    columns = ["k", "at", "total", "after"]
     assert sorted(map(tuple, plain.select(columns).collect()), key=str) == sorted(
         map(tuple, split.select(columns).collect()), key=str
     )
+
+
+@pytest.mark.parametrize("values", [2, 5])
+def test_bucketed_runs_equal_plain_ones(spark, values):
+    rng = random.Random(values)
+    data = [(rng.choice("xyz"), i, i // rng.choice([7, 7, 7]), rng.randint(1, values)) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, at int, bucket int, v int")
+    w = Window.partitionBy("k").orderBy("at")
+    changes = df.withColumn("before", F.lag("v").over(w)).filter("before is null or before <> v")
+    plain = changes.withColumn("end", F.lead("at").over(w)).select("k", "at", "v", "end")
+    found = ordered.runs(df, ["k"], "bucket", "at", "v", "end").select("k", "at", "v", "end")
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, found.collect()), key=str)
+
+
+def test_feeds_are_read_once(spark, tmp_path):
+    """Scans and shuffles of the sweeps over stored feeds, as at full size."""
+    from ledgerlight.plans.query_cost import QueryFeeds, cost_per_query, query_activity, query_states
+    from ledgerlight.testbed.feeds import Feeds
+
+    feeds = Feeds(spark, "/root/testdata/sf0.001").query_feeds
+    stored = []
+    for name in ("history", "events", "usage", "prices"):
+        getattr(feeds, name).write.parquet(str(tmp_path / name))
+        stored.append(spark.read.parquet(str(tmp_path / name)))
+    feeds = QueryFeeds(*stored)
+    lo, hi = feeds.window()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def plan(df):
+            df.collect()
+            text = df._jdf.queryExecution().executedPlan().toString()
+            return text.split("== Initial Plan ==")[0]
+
+        def counts(text):
+            scans = {n: len(re.findall(rf"FileScan parquet .*{tmp_path.name}/{n}", text)) for n in ("history", "events")}
+            return scans, len(re.findall(r"\bExchange hashpartitioning", text))
+
+        spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+        for df, most in ((query_activity(feeds, lo, hi), (1, 0)), (query_states(feeds, lo, hi), (1, 1)), (cost_per_query(feeds, (lo, hi)), (1, 1))):
+            scans, exchanges = counts(plan(df))
+            assert (scans["history"], scans["events"]) <= most
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
