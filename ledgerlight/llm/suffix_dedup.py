@@ -34,6 +34,8 @@ CHUNK_BYTES, BUCKET_BYTES, MOST_BUCKETS = 1 << 21, 1 << 21, 1 << 16
 #: Up to so many copied ids are broadcast to drop whole copies; beyond, a join does.
 BROADCAST_IDS = 1_000_000
 ENTRY = np.dtype([("rank", "u8"), ("doc", "i8"), ("at", "i4"), ("left", "u1"), ("right", "u1"), ("around", "u1", (CONTEXT,))])
+#: Of an entry, what is sent; the rank is that of its middle bytes.
+SENT = ("doc", "at", "left", "right", "around")
 SPAN = np.dtype([("start", "i4"), ("end", "i4")])
 LAST_ID = 2**63 - 1
 
@@ -44,22 +46,41 @@ _PLACE = _RNG.integers(0, 2**63, CONTEXT, dtype=np.uint64) * U64(2) + U64(1)
 
 
 def ranks(data: np.ndarray, length: int) -> np.ndarray:
-    """A fingerprint for the ``length`` bytes at each position, by doubling."""
+    """A fingerprint for the ``length`` bytes at each position of the last axis, by doubling."""
     made = {1: _BYTE[data]}
     width, level = 1, 0
     while 2 * width <= length:
         one = made[width]
-        made[2 * width] = one[:-width] * _STEP[level] + one[width:]
+        made[2 * width] = one[..., :-width] * _STEP[level] + one[..., width:]
         width, level = 2 * width, level + 1
     have, rank = width, made[width]
     for part in sorted(made, reverse=True):
         if have + part <= length:
-            tail = made[part][have:]
-            rank = rank[: len(tail)] * _STEP[16 + level] + tail
+            tail = made[part][..., have:]
+            rank = rank[..., : tail.shape[-1]] * _STEP[16 + level] + tail
             have, level = have + part, level + 1
     return mix(rank)
 
 
+def sent(entry: np.ndarray) -> bytes:
+    """Entries column by column, compressed, after their number."""
+    columns = b"".join(np.ascontiguousarray(entry[c]).tobytes() for c in SENT)
+    return len(entry).to_bytes(4, "little") + pa.compress(columns, codec="zstd", asbytes=True)
+
+
+def received(blob: bytes) -> np.ndarray:
+    n = int.from_bytes(blob[:4], "little")
+    size = n * sum(ENTRY[c].itemsize for c in SENT)
+    columns = pa.decompress(blob[4:], decompressed_size=size, codec="zstd", asbytes=True)
+    entry, start = np.empty(n, ENTRY), 0
+    for c in SENT:
+        kind, end = ENTRY[c], start + n * ENTRY[c].itemsize
+        entry[c] = np.frombuffer(columns[start:end], kind.base).reshape(n, *kind.shape)
+        start = end
+    entry["rank"] = ranks(entry["around"][:, AROUND : AROUND + GRAM], GRAM)[:, 0]
+    return entry
+
+
 def sliding(values: np.ndarray, width: int, least) -> np.ndarray:
     """Least or largest of each ``width`` neighbours, by doubling."""
     made, have = values, 1
@@ -255,7 +276,7 @@ def _entries(buckets: int):
                 [
                     pa.array(bucket[first[k : k + 256]]),
                     pa.array([chunk] * len(some), pa.int64()),
-                    pa.array([p.tobytes() for p in some], pa.binary()),
+                    pa.array([sent(p) for p in some], pa.binary()),
                     pa.array([spans.tobytes() if k + i == 0 else b"" for i in range(len(some))], pa.binary()),
                 ],
                 names=["bucket", "chunk", "entries", "spans"],
@@ -297,7 +318,7 @@ def covered(entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _compared(group: pa.Table) -> pa.Table:
     """Spans by chunk from all entries of a bucket of ranks."""
-    parts = [np.frombuffer(x, ENTRY) for x in group.column("entries").to_pylist()]
+    parts = [received(x) for x in group.column("entries").to_pylist()]
     chunks = group.column("chunk").to_pylist()
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     entry = np.concatenate(parts)
