@@ -7,9 +7,11 @@ import pytest
 import __spark_entry__ as contract
 import compare
 from conftest import SMALL
+from ledgerlight.testbed import oracle
+from ledgerlight.testbed import queries as registry
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registry.registered()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +23,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry_is_the_flagship(spark):
