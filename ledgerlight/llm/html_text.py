@@ -49,13 +49,13 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "marked", "chars", "tags", "link_chars", "link_tags", "plain", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None, marked: bool = False) -> None:
         self.tag, self.parent, self.marked = tag, parent, marked
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
-        self.density = self.total = 0.0
+        self.plain = self.density = self.total = 0.0
 
     def nodes(self) -> Iterator[Node]:
         return (p for p in self.parts if isinstance(p, Node))
@@ -168,6 +168,7 @@ def _measure(root: Node) -> None:
     for node in order:
         chars, tags = node.chars, max(node.tags, 1)
         links, link_tags, plain = max(node.link_chars, 1), max(node.link_tags, 1), max(chars - node.link_chars, 1)
+        node.plain = (chars - node.link_chars) / tags
         if chars:
             base = math.log(chars / plain * node.link_chars + share * chars + math.e)
             node.density = chars / tags * math.log(max(chars / links * tags / link_tags, 1.0) + 1e-9 + 1) / max(math.log(base + 1), 1e-9)
@@ -184,13 +185,13 @@ def _article(root: Node) -> list[Node]:
         outer = [node for node in path if node.tag == tag]
         if outer:
             return [outer[-1]]
-    threshold = min(node.density for node in path)
+    threshold = min(node.plain for node in path)
     on_path = set(map(id, path[1:]))
     found, todo = [], [root]
     while todo:
         node = todo.pop()
         if id(node) not in on_path:
-            found += [node] if node is best or node.density >= threshold else []
+            found += [node] if node is best or node.chars and node.plain >= threshold else []
             continue
         if any(isinstance(p, str) and p.strip() for p in node.parts):
             found.append(node)  # text of its own on the way: all of it belongs together

@@ -126,10 +126,11 @@ def remixed(docs: DataFrame, **options) -> DataFrame:
     rows = mixed(docs, **options).groupBy(F.col("doc_id").alias("_id"), F.col("same").alias("_same")).agg(
         F.min("size").alias("_size"), F.min("epochs").alias("_epochs"), F.min("rest").alias("_rest")
     )
-    keyed = docs.withColumn("_same_text", F.xxhash64("text"))
-    found = keyed.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_same_text") == F.col("_same")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(whole, F.col("doc_id").cast("bigint").alias("own"), F.xxhash64("text").alias("own_same"))
+    found = keyed.join(rows, F.col("own").eqNullSafe(F.col("_id")) & (F.col("own_same") == F.col("_same")))
     copies = (F.col("_epochs") + F.when(F.col("_rest") > 0, 1).otherwise(0)).cast("int")
     found = found.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
     cut = (F.col("_copy") > F.col("_epochs")) & (F.col("_rest") < F.col("_size"))
-    text = F.when(cut, first_words(F.col("text"), F.col("_rest"))).otherwise(F.col("text"))
-    return found.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    text = F.when(cut, first_words(F.col("row.text"), F.col("_rest"))).otherwise(F.col("row.text"))
+    return found.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
