@@ -108,39 +108,42 @@ def chosen(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, rank[at]
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    task, made, size, parts = TaskContext.get().partitionId(), 0, 0, []
-
-    def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        whole = pa.Table.from_batches(parts).combine_chunks()
-        texts = [t or b"" for t in whole.column("text").combine_chunks().cast(pa.binary()).to_pylist()]
-        data = b"".join(texts)
-        ends = np.cumsum([len(t) for t in texts]).astype(np.int64)
-        rows = whole.column("row").combine_chunks()
-        rows = rows.chunk(0) if isinstance(rows, pa.ChunkedArray) else rows
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([task << 32 | made], pa.int64()),
-                pa.array([pa.compress(data, codec="zstd", asbytes=True)], pa.binary()),
-                pa.array([ends.tobytes()], pa.binary()),
-                pa.array([np.array(whole.column("order").to_pylist(), np.int64).tobytes()], pa.binary()),
-                pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
-            ],
-            names=["chunk", "data", "ends", "ids", "rows"],
-        )
+def _chunks(most_bytes: int):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made, size, parts = TaskContext.get().partitionId(), 0, 0, []
+
+        def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            whole = pa.Table.from_batches(parts).combine_chunks()
+            texts = [t or b"" for t in whole.column("text").combine_chunks().cast(pa.binary()).to_pylist()]
+            data = b"".join(texts)
+            ends = np.cumsum([len(t) for t in texts]).astype(np.int64)
+            rows = whole.column("row").combine_chunks()
+            rows = rows.chunk(0) if isinstance(rows, pa.ChunkedArray) else rows
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([task << 32 | made], pa.int64()),
+                    pa.array([pa.compress(data, codec="zstd", asbytes=True)], pa.binary()),
+                    pa.array([ends.tobytes()], pa.binary()),
+                    pa.array([np.array(whole.column("order").to_pylist(), np.int64).tobytes()], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                ],
+                names=["chunk", "data", "ends", "ids", "rows"],
+            )
 
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-        start = 0
-        for at, length in enumerate(lengths.tolist()):
-            size += length + 32
-            if size >= CHUNK_BYTES:
-                yield packed([*parts, batch.slice(start, at + 1 - start)])
-                made, size, parts, start = made + 1, 0, [], at + 1
-        if start < batch.num_rows:
-            parts.append(batch.slice(start))
-    if parts:
-        yield packed(parts)
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+            start = 0
+            for at, length in enumerate(lengths.tolist()):
+                size += length + 32
+                if size >= most_bytes:
+                    yield packed([*parts, batch.slice(start, at + 1 - start)])
+                    made, size, parts, start = made + 1, 0, [], at + 1
+            if start < batch.num_rows:
+                parts.append(batch.slice(start))
+        if parts:
+            yield packed(parts)
+
+    return emit
 
 
 def _opened(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -378,7 +381,7 @@ def _cleaned():
     return emit
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The rows of ``docs`` without their text, as the struct ``row``, and what is left of the text.
 
     Further columns: n_bytes of the text, ``spans`` (start, end) of the bytes removed,
@@ -414,7 +417,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     chunks = stored(
         hashed.join(small, is_copy, "left_anti")
         .select("order", "text", "row")
-        .mapInArrow(_chunks, f"chunk bigint, data binary, ends binary, ids binary, rows array<{kind}>")
+        .mapInArrow(_chunks(chunk_bytes), f"chunk bigint, data binary, ends binary, ids binary, rows array<{kind}>")
     )
     bare = chunks.select("chunk", "data", "ends", "ids")
     ranked = bare.mapInArrow(_ranked(buckets), "bucket int, chunk bigint, low binary")
