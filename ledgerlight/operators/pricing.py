@@ -91,12 +91,16 @@ def price_usage(
     on_missing: int | None = 0,
     span: tuple[Instant, Instant] | None = None,
     currency: str = "USD",
+    since: Instant | None = None,
 ) -> DataFrame:
     """Usage with ``unit_price``, ``units`` and ``dollars``, unrounded.
 
     Sum them before they are cast to fewer digits: many small amounts may each round
-    to nothing.  Usage without a price counts as ``on_missing``; None leaves its dollars NULL.
+    to nothing.  ``since`` says that no usage is earlier, so older price intervals are
+    left out.  Usage without a price counts as ``on_missing``; None leaves its dollars NULL.
     """
+    if since is not None:
+        prices = prices.filter(F.col("price_end_time").isNull() | (F.col("price_end_time") >= as_column(since)))
     priced = interval_lookup(
         usage,
         at,

@@ -50,6 +50,23 @@ def measure(df: DataFrame, dims: Sequence[str], measures: Mapping[str, Column])
     return df.groupBy(*dims).agg(*[column.alias(name) for name, column in measures.items()])
 
 
+#: Columns of facts that count distinct ids of their own grain.
+DISTINCT_COUNTS = ("distinct_users", "distinct_viewers")
+
+
+def sum_measures(columns: Sequence[str]) -> dict[str, Column]:
+    """Sums of fact columns; those that do not add up are refused."""
+    refused = [c for c in columns if c in DISTINCT_COUNTS]
+    if refused:
+        raise ValueError(f"{refused} do not add up over rows: count their ids with distinct_measure")
+    return {c: F.sum(c) for c in columns}
+
+
+def distinct_measure(ids: str) -> Column:
+    """Distinct ids, over rows that still hold them."""
+    return F.count_distinct(ids)
+
+
 def cost_measures() -> dict[str, Column]:
     """Measures that every cost fact supports."""
     return {"units": F.sum("units"), "dollars": F.sum("dollars"), "rows": F.count("*")}

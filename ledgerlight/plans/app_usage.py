@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight import schemas
 from ledgerlight.functions.time import Instant, lookback, on_days_since
 from ledgerlight.operators.pricing import billed_measures, price_usage
 from ledgerlight.operators.versions import crosswalk
-from ledgerlight.plans.billing_facts import name_workspaces, price_span, product_usage
+from ledgerlight.plans.billing_facts import name_workspaces, price_since, price_span, product_usage
+from ledgerlight.sources.tables import conform
 
 DAY = ["app_id", "usage_date", "workspace_id"]
 
@@ -26,7 +28,7 @@ def app_billing(
     usage: DataFrame, prices: DataFrame, as_of: Instant, days: int = 365, product: str = "APPS"
 ) -> DataFrame:
     """Units and cost by app, day and workspace."""
-    priced = price_usage(app_rows(usage, as_of, days, product), prices, span=price_span(as_of, days))
+    priced = price_usage(app_rows(usage, as_of, days, product), prices, span=price_span(as_of, days), since=price_since(as_of, days))
     return priced.groupBy(*DAY).agg(F.max("app_name").alias("app_name"), *billed_measures())
 
 
@@ -87,10 +89,7 @@ def app_usage_fact(
         F.coalesce("lifecycle_events", F.lit(0)).alias("lifecycle_events"),
         F.coalesce("distinct_users", F.lit(0)).alias("distinct_users"),
     )
-    return name_workspaces(joined, workspaces).select(
-        "app_id", "app_name", "usage_date", "workspace_id", "workspace_name",
-        "units", "dollars", "lifecycle_events", "distinct_users",
-    )
+    return conform(name_workspaces(joined, workspaces), schemas.fact("app_usage"))
 
 
 def _app_name() -> Column:

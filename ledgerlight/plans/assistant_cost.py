@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight import schemas
 from ledgerlight.functions.classify import activity_category, activity_class
 from ledgerlight.operators.joins import lookup_or_null
 from ledgerlight.operators.reconcile import reconcile
+from ledgerlight.sources.tables import conform
 
 SPACE = "ASSISTANT SPACE"
 DOLLARS, UNITS = "query_attributed_dollars_estimation", "query_attributed_units_estimation"
@@ -33,18 +35,18 @@ def cost_per_message(statements: DataFrame, cost: DataFrame, messages: DataFrame
         F.max("created_timestamp").alias("created_datetime"),
         F.max("feedback_rating").alias("feedback_rating"),
     )
-    return rolled.join(described, "message_id", "left")
+    return conform(rolled.join(described, "message_id", "left"), schemas.fact("cost_per_message"))
 
 
 def categorise_cost(cost: DataFrame, statements: DataFrame, source: str = SPACE) -> DataFrame:
     """Statements of assistant spaces with what they were run for.
 
-    The statement text is matched once here; write the result as a table to spare every
-    later report the matching.
+    The statement text is matched once here.  :func:`ledgerlight.sources.tables.replace_table`
+    of the result is the table that later reports read instead of matching again.
     """
     linked = statements.filter(F.col("statement_id").isNotNull()).select("statement_id").distinct()
     text, known = F.col("statement_text"), F.col("__linked").isNotNull()
-    return (
+    categorised = (
         cost.filter(F.col("query_source_type") == source)
         .join(linked.withColumn("__linked", F.lit(True)), "statement_id", "left")
         .withColumns(
@@ -55,6 +57,7 @@ def categorise_cost(cost: DataFrame, statements: DataFrame, source: str = SPACE)
         )
         .drop("__linked")
     )
+    return conform(categorised, schemas.fact("cost_category"))
 
 
 def space_cost(cost: DataFrame, workspace: str | None = None, source: str = SPACE) -> DataFrame:

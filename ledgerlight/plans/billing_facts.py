@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight import schemas
 from ledgerlight.functions.time import Instant, lookback, on_days_since
 from ledgerlight.operators.pricing import PRICE_KEYS, billed_measures, price_usage
+from ledgerlight.sources.tables import conform
 
 #: Label of index cost that billing does not tie to an endpoint.
 UNATTRIBUTED = "(unattributed: index maintenance)"
@@ -28,6 +30,11 @@ def price_span(as_of: Instant, days: int | None) -> tuple[Instant, Instant] | No
     return None if days is None else (lookback(as_of, days), F.lit(as_of).cast("timestamp"))
 
 
+def price_since(as_of: Instant, days: int | None) -> Column | None:
+    """Moment before which :func:`product_usage` keeps no row."""
+    return None if days is None else lookback(as_of, days)
+
+
 def name_workspaces(fact: DataFrame, workspaces: DataFrame, how: str = "left") -> DataFrame:
     """The fact with ``workspace_name``; the dimension has one row per workspace."""
     return fact.join(workspaces.select("workspace_id", "workspace_name"), "workspace_id", how)
@@ -45,16 +52,14 @@ def index_cost_fact(
 
     Usage without an endpoint is kept under a label, so that totals equal billing.
     """
-    priced = price_usage(product_usage(usage, product, as_of, days), prices, span=price_span(as_of, days))
+    priced = price_usage(product_usage(usage, product, as_of, days), prices, span=price_span(as_of, days), since=price_since(as_of, days))
     fact = priced.groupBy(
         F.col("usage_metadata.endpoint_id").alias("endpoint_id"), "usage_date", "workspace_id", "sku_name"
     ).agg(
         F.coalesce(F.max("usage_metadata.endpoint_name"), F.lit(UNATTRIBUTED)).alias("endpoint_name"),
         *billed_measures(),
     )
-    return name_workspaces(fact, workspaces).select(
-        "endpoint_id", "endpoint_name", "usage_date", "workspace_id", "workspace_name", "sku_name", "units", "dollars"
-    )
+    return conform(name_workspaces(fact, workspaces), schemas.fact("index_cost"))
 
 
 def token_usage_fact(
@@ -87,11 +92,11 @@ def token_usage_fact(
         "cloud_region": F.when(~free, F.regexp_replace("sku_name", f"^{region_prefix}", "")),
         "usage_date": F.col("usage_date"),
     }
-    priced = price_usage(rows, prices, price_keys, price_at, price_closed, span=price_span(as_of, days))
+    priced = price_usage(rows, prices, price_keys, price_at, price_closed, span=price_span(as_of, days), since=price_since(as_of, days))
     fact = priced.groupBy(*[column.alias(name) for name, column in grain.items()]).agg(
         F.sum("units").alias("token_units"),
         F.sum("dollars").alias("token_cost"),
         F.count("*").alias("usage_records"),
     )
     names = spaces.select(F.col("space_id").alias("agent_id"), F.col("name").alias("space_name"))
-    return fact.join(names, "agent_id", "left")
+    return conform(fact.join(names, "agent_id", "left"), schemas.fact("token_usage"))

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight import schemas
 from ledgerlight.functions.classify import LINK_PREFIXES, SOURCE_FIELDS, deep_link, profile_link
 from ledgerlight.functions.time import Instant, as_column, hour_of
 from ledgerlight.operators.allocation import (
@@ -33,6 +34,7 @@ from ledgerlight.operators.intervals import (
 )
 from ledgerlight.operators.pricing import PRICE_KEYS, price_usage
 from ledgerlight.session import cut_lineage
+from ledgerlight.sources.tables import conform
 
 
 @dataclass(frozen=True)
@@ -144,6 +146,7 @@ def warehouse_hour_cost(
         rules.price_closed,
         on_missing=None,
         span=(lo, hi),
+        since=lo,
     )
     used = hourly_utilization(period_utilization(feeds, lo, hi, work), "warehouse_id", rules.utilization_decimal)
     return hour_cost(priced, used)
@@ -193,7 +196,7 @@ def cost_per_query(
     described = classify_source(
         query_work(warehouse_queries(feeds.history, lo, hi)), rules.source_fields
     )
-    return described.join(cost, ["statement_id", "warehouse_id"]).select(
+    fact = described.join(cost, ["statement_id", "warehouse_id"]).select(
         "statement_id",
         "query_source_id",
         "query_source_type",
@@ -218,6 +221,7 @@ def cost_per_query(
         F.when(F.col("__billed"), BILLED).otherwise(NOT_BILLED).alias("billing_record_check"),
         hour_of("start_time").alias("query_start_hour"),
     )
+    return conform(fact, schemas.fact("cost_per_query"))
 
 
 def _milli_seconds(start: str, end: str):

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight import schemas
 from ledgerlight.functions.time import Instant, as_column, on_days_since
 from ledgerlight.plans.billing_facts import name_workspaces
+from ledgerlight.sources.tables import conform
 
 VIEW_ACTIONS = ("getSpace", "assistantGetSpace")
 CREATE_ACTIONS = ("assistantCreateSpace",)
@@ -61,7 +63,7 @@ def reach_fact(
             F.sum("spaces_created").alias("spaces_created"),
         )
     )
-    return name_workspaces(fact, workspaces)
+    return conform(name_workspaces(fact, workspaces), schemas.fact("reach"))
 
 
 def dashboard_views(
@@ -90,4 +92,4 @@ def dashboard_views(
     named = counted.join(
         dashboards.select("dashboard_id", F.col("display_name").alias("dashboard_name")), "dashboard_id"
     )
-    return name_workspaces(named, workspaces, "inner")
+    return conform(name_workspaces(named, workspaces, "inner"), schemas.fact("dashboard_views"))

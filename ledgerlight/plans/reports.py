@@ -7,19 +7,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlight.functions.time import Instant, as_column, hour_of
-from ledgerlight.plans.assistant_cost import DOLLARS
+from ledgerlight.plans.assistant_cost import DOLLARS, SPACE
 
 EVERY_SPACE = "ALL"
 
 
 def space_statements(
-    cost: DataFrame, messages: DataFrame, lo: Instant, hi: Instant, space: str = EVERY_SPACE
+    cost: DataFrame,
+    messages: DataFrame,
+    lo: Instant,
+    hi: Instant,
+    space: str = EVERY_SPACE,
+    source: str | None = SPACE,
 ) -> DataFrame:
-    """Statements of spaces that have messages, started in the closed range ``[lo, hi]``."""
+    """Statements of spaces that have messages, started in the closed range ``[lo, hi]``.
+
+    Only statements of the kind ``source`` are looked at, so that the many without a
+    source never meet the messages; None looks at all kinds.
+    """
     rows = cost.filter(F.col("start_time").between(as_column(lo), as_column(hi)))
+    if source is not None:
+        rows = rows.filter(F.col("query_source_type") == source)
     if space != EVERY_SPACE:
         rows = rows.filter(F.col("query_source_id") == space)
-    observed = messages.select(F.col("space_id").alias("query_source_id"))
+    observed = messages.select(F.col("space_id").alias("query_source_id")).distinct()
     return rows.join(observed, "query_source_id", "left_semi")
 
 

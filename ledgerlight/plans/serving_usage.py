@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlight import schemas
 from ledgerlight.functions.time import Instant, lookback
 from ledgerlight.operators.pricing import billed_measures, price_usage
 from ledgerlight.operators.versions import latest_version, representative
-from ledgerlight.plans.billing_facts import name_workspaces, price_span, product_usage
+from ledgerlight.plans.billing_facts import name_workspaces, price_since, price_span, product_usage
+from ledgerlight.sources.tables import conform
 
 DAY = ["endpoint_id", "usage_date", "workspace_id"]
 REQUESTS = ["request_count", "input_tokens", "output_tokens"]
@@ -58,7 +60,7 @@ def serving_billing(
         .filter(F.col("endpoint_id").isNotNull())
     )
     return (
-        price_usage(rows, prices, span=price_span(as_of, days))
+        price_usage(rows, prices, span=price_span(as_of, days), since=price_since(as_of, days))
         .groupBy(*DAY)
         .agg(F.max("usage_metadata.endpoint_name").alias("billed_name"), *billed_measures())
     )
@@ -95,7 +97,7 @@ def serving_usage_fact(
         .filter(F.col("usage_date").isNotNull())
         .join(representative_entity(current, by_entity), ["endpoint_id", "workspace_id"], "left")
     )
-    return name_workspaces(both, workspaces).select(
+    fact = name_workspaces(both, workspaces).select(
         "endpoint_id",
         F.coalesce("endpoint_name", "billed_name").alias("endpoint_name"),
         "served_entity_id",
@@ -109,3 +111,4 @@ def serving_usage_fact(
         *[F.coalesce(c, F.lit(0)).alias(c) for c in REQUESTS],
         *[F.coalesce(c, nothing).alias(c) for c in ("units", "dollars")],
     )
+    return conform(fact, schemas.fact("serving_usage"))

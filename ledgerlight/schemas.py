@@ -157,6 +157,27 @@ DOCUMENTS: dict[str, str] = {
         pause_status string""",
 }
 
+COST_PER_QUERY = """
+        statement_id string COMMENT 'Statement',
+        query_source_id string COMMENT 'Id of what ran it', query_source_type string COMMENT 'Kind of what ran it',
+        client_application string COMMENT 'Client, Unknown where not named',
+        executed_by string COMMENT 'Who ran it', warehouse_id string COMMENT 'Warehouse it worked on',
+        statement_text string COMMENT 'Text of the statement', workspace_id string COMMENT 'Workspace',
+        statement_hour_bucket_costs array<struct<hour_bucket: timestamp,
+            hour_attributed_cost: double, hour_attributed_units: double>> COMMENT 'Cost by hour of work',
+        start_time timestamp COMMENT 'Start', end_time timestamp COMMENT 'End',
+        query_work_start_time timestamp COMMENT 'Start of work, after waiting',
+        query_work_end_time timestamp COMMENT 'End of work, after the fetch',
+        duration_seconds double COMMENT 'End less start',
+        query_work_duration_seconds double COMMENT 'Length of the work',
+        query_work_task_time_seconds double COMMENT 'Task, fetch and compile time',
+        query_attributed_dollars_estimation double COMMENT 'Share of the used cost of its hours',
+        query_attributed_units_estimation double COMMENT 'Share of the used units of its hours',
+        url_helper string COMMENT 'Link to what ran it', query_profile_url string COMMENT 'Link to its profile',
+        most_recent_billing_hour timestamp COMMENT 'Last billed hour of the window',
+        billing_record_check string COMMENT 'Whether all its hours are billed',
+        query_start_hour timestamp COMMENT 'Hour of the start'"""
+
 #: Facts, with the comments written to their columns.
 FACTS: dict[str, str] = {
     "index_cost": f"""
@@ -194,18 +215,50 @@ FACTS: dict[str, str] = {
         output_tokens bigint COMMENT 'Output tokens; zero where not tracked',
         units {MEASURE} COMMENT 'Usage units, reconciling to billing',
         dollars {MEASURE} COMMENT 'List-price cost of the units'""",
-    "cost_per_query": """
-        statement_id string, query_source_id string, query_source_type string,
-        client_application string, executed_by string, warehouse_id string,
-        statement_text string, workspace_id string,
-        statement_hour_bucket_costs array<struct<hour_bucket: timestamp,
-            hour_attributed_cost: double, hour_attributed_units: double>>,
-        start_time timestamp, end_time timestamp, query_work_start_time timestamp,
-        query_work_end_time timestamp, duration_seconds double,
-        query_work_duration_seconds double, query_work_task_time_seconds double,
-        query_attributed_dollars_estimation double, query_attributed_units_estimation double,
-        url_helper string, query_profile_url string, most_recent_billing_hour timestamp,
-        billing_record_check string, query_start_hour timestamp""",
+    "token_usage": f"""
+        workspace_id string COMMENT 'Workspace of the usage',
+        user_email string COMMENT 'Who the usage ran as',
+        surface string COMMENT 'Surface the assistant was used on',
+        channel string COMMENT 'UI or API',
+        agent_id string COMMENT 'Agent or space, NULL outside of one',
+        space_name string COMMENT 'Name of the space',
+        offering string COMMENT 'Offering type',
+        tier string COMMENT 'FREE or PAID, by SKU',
+        sku_name string COMMENT 'Billed SKU',
+        cloud_region string COMMENT 'Region in the SKU name, NULL for free usage',
+        usage_date date COMMENT 'Day of the usage',
+        token_units {MEASURE} COMMENT 'Token units, reconciling to billing',
+        token_cost {MEASURE} COMMENT 'List-price cost of the units',
+        usage_records bigint COMMENT 'Billing records behind the row'""",
+    "reach": """
+        space_id string COMMENT 'Space', space_name string COMMENT 'Name of the space',
+        workspace_id string COMMENT 'Workspace of the activity',
+        workspace_name string COMMENT 'Name from the workspace dimension',
+        activity_date date COMMENT 'Day of the activity',
+        space_views bigint COMMENT 'Views of the space',
+        distinct_viewers bigint COMMENT 'Users who viewed it that day; does not add up over days',
+        spaces_created bigint COMMENT 'Creations of the space'""",
+    "dashboard_views": """
+        dashboard_id string COMMENT 'Dashboard', dashboard_name string COMMENT 'Its name',
+        workspace_id string COMMENT 'Workspace of the views',
+        workspace_name string COMMENT 'Name from the workspace dimension',
+        viewed_date date COMMENT 'Day of the views',
+        num_views bigint COMMENT 'All views', draft_views bigint COMMENT 'Views as draft',
+        published_views bigint COMMENT 'Views as published'""",
+    "cost_per_message": """
+        message_id string COMMENT 'Message', conversation_id string COMMENT 'Its conversation',
+        space_id string COMMENT 'Its space', space_name string COMMENT 'Name of the space',
+        user_email string COMMENT 'Who asked', num_statements bigint COMMENT 'Statements that ran',
+        num_statements_missing_cost bigint COMMENT 'Statements without a cost record',
+        message_cost double COMMENT 'Attributed list-price cost of its statements',
+        message_units double COMMENT 'Attributed units of its statements',
+        user_question string COMMENT 'What was asked', created_datetime timestamp COMMENT 'When',
+        feedback_rating string COMMENT 'How the answer was rated'""",
+    "cost_per_query": COST_PER_QUERY,
+    "cost_category": COST_PER_QUERY
+    + """,
+        cost_category string COMMENT 'What the statement was run for',
+        cost_class string COMMENT 'Chat or other activity of the space'""",
 }
 
 

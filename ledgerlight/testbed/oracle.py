@@ -531,8 +531,8 @@ SELECT u.workspace_id, run_as AS user_email, surface, channel, agent_id, space_n
        CASE WHEN u.sku_name = 'ASSISTANT_FREE_USAGE' THEN 'FREE' ELSE 'PAID' END AS tier, u.sku_name,
        CASE WHEN u.sku_name <> 'ASSISTANT_FREE_USAGE'
             THEN regexp_replace(u.sku_name, '^REALTIME_INFERENCE_', '') END AS cloud_region,
-       CAST(usage_start_time AS DATE) AS usage_date, round(CAST(SUM(quantity) AS DOUBLE) + 1e-9, 6) AS token_units,
-       round(CAST(SUM(quantity * coalesce(price, 0)) AS DOUBLE) + 1e-9, 6) AS token_cost, count(*) AS usage_records
+       CAST(usage_start_time AS DATE) AS usage_date, round(CAST(CAST(SUM(quantity) AS DECIMAL(38,6)) AS DOUBLE) + 1e-9, 6) AS token_units,
+       round(CAST(CAST(SUM(quantity * coalesce(price, 0)) AS DECIMAL(38,6)) AS DOUBLE) + 1e-9, 6) AS token_cost, count(*) AS usage_records
 FROM lines u LEFT JOIN prices p ON {match} LEFT JOIN spaces ON space_id = agent_id
 WHERE NOT is_index AND is_token AND is_original {since} GROUP BY ALL"""
 S["token_usage_fact"] = _TOKENS.format(match=_OPEN, since=f"AND usage_start_time >= {LINES_SINCE}")
@@ -540,6 +540,28 @@ S["token_usage_fact_closed"] = _TOKENS.format(match=_CLOSED, since="")
 S["index_cost_fact"] = f"""
 SELECT endpoint_id, endpoint_name, usage_date, workspace_id, workspace_name, sku_name, {money("units", "dollars")}
 FROM index_fact"""
+S["dq_schema_facts"] = """
+SELECT 'index_cost' AS fact, 0 AS problems, count(*) AS rows FROM index_fact
+UNION ALL SELECT 'token_usage', 0, count(*) FROM (""" + _TOKENS.format(match=_OPEN, since=f"AND usage_start_time >= {LINES_SINCE}") + """)
+UNION ALL SELECT 'app_usage', 0, count(*) FROM app_fact
+UNION ALL SELECT 'serving_usage', 0, count(*) FROM serve_fact
+UNION ALL SELECT 'reach', 0, count(*) FROM (""" + "@REACH@" + """)
+UNION ALL SELECT 'dashboard_views', 0, count(*) FROM (""" + "@VIEWS@" + """)
+UNION ALL SELECT 'cost_per_query', 0, count(*) FROM costs
+UNION ALL SELECT 'cost_per_message', 0, count(*) FROM message_costs
+UNION ALL SELECT 'cost_category', 0, count(*) FROM categories"""
+S["dq_facts"] = """
+SELECT 'index_cost' AS fact, 0 AS negative, 0 AS unlabelled, count(*) AS rows FROM index_fact
+UNION ALL SELECT 'app_usage', count(*) FILTER (units < 0 OR dollars < 0), count(*) FILTER (app_name IS NULL), count(*) FROM app_fact
+UNION ALL SELECT 'serving_usage', count(*) FILTER (units < 0 OR dollars < 0), count(*) FILTER (entity_name IS NULL), count(*)
+FROM serve_fact"""
+S["usage_measures"] = """
+SELECT workspace_id, CAST(request_count AS BIGINT) AS request_count, CAST(input_tokens AS BIGINT) AS input_tokens,
+       CAST(output_tokens AS BIGINT) AS output_tokens, app_users
+FROM (SELECT workspace_id, SUM(request_count) AS request_count, SUM(input_tokens) AS input_tokens,
+             SUM(output_tokens) AS output_tokens FROM serve_fact GROUP BY workspace_id) r
+FULL JOIN (SELECT workspace_id, count(DISTINCT email) AS app_users FROM app_events GROUP BY workspace_id) u
+  USING (workspace_id)"""
 S["fact_totals"] = """
 SELECT fact, round(CAST(SUM(quantity) AS DOUBLE), 3) AS billed_units,
        round(CAST(SUM(quantity * price) AS DOUBLE), 3) AS billed_dollars, true AS equal_to_billing
@@ -747,6 +769,9 @@ FROM (SELECT s_nationkey, p_brand, l_suppkey,
 _WORD = re.compile(r"[a-z_]+")
 
 
+S["dq_schema_facts"] = S["dq_schema_facts"].replace("@REACH@", S["reach_fact"]).replace("@VIEWS@", S["dashboard_views"])
+
+
 def statements() -> dict[str, str]:
     """Every statement with the common table expressions it needs."""
     return {name: _with_parts(sql) for name, sql in STATEMENTS.items()}

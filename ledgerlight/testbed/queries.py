@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable
 from functools import lru_cache
 from uuid import uuid4
@@ -570,6 +572,60 @@ def dq_unique_facts(feeds: Feeds) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def dq_schema_facts(feeds: Feeds) -> DataFrame:
+    """Schema problems of all nine facts, with the rows of each fact."""
+    cost = _cost(feeds)
+    built = {
+        "index_cost": _index_cost(feeds),
+        "token_usage": token_usage_fact(feeds),
+        "app_usage": app_usage_fact(feeds),
+        "serving_usage": serving_usage_fact(feeds),
+        "reach": reach_fact(feeds),
+        "dashboard_views": dashboard_views(feeds),
+        "cost_per_query": cost,
+        "cost_per_message": cost_per_message(feeds),
+        "cost_category": _categorised(feeds),
+    }
+    rows = None
+    for name, fact in built.items():
+        problems = quality.check_schema(fact, schemas.fact(name), name).agg(F.count("*").alias("problems"))
+        counted = problems.select(F.lit(name).alias("fact"), "problems", fact.agg(F.count("*")).scalar().alias("rows"))
+        rows = counted if rows is None else rows.unionByName(counted)
+    return rows
+
+
+@query
+def dq_facts(feeds: Feeds) -> DataFrame:
+    """Negative measures and missing labels in the three billed facts; there are none."""
+    sides = [
+        ("index_cost", _index_cost(feeds), ["units", "dollars"], ["endpoint_name"]),
+        ("app_usage", app_usage_fact(feeds), ["units", "dollars", "lifecycle_events", "distinct_users"], ["app_name"]),
+        ("serving_usage", serving_usage_fact(feeds), ["units", "dollars", "request_count"], ["entity_name"]),
+    ]
+    rows = None
+    for name, fact, measures, labels in sides:
+        negative = F.count_if(functools.reduce(operator.or_, [F.col(c) < 0 for c in measures]))
+        missing = F.count_if(functools.reduce(operator.or_, [F.col(c).isNull() for c in labels]))
+        counted = fact.agg(negative.alias("negative"), missing.alias("unlabelled"), F.count("*").alias("rows"))
+        counted = counted.withColumn("fact", F.lit(name))
+        rows = counted if rows is None else rows.unionByName(counted)
+    return rows
+
+
+@query
+def usage_measures(feeds: Feeds) -> DataFrame:
+    """Requests and tokens of endpoints by workspace, and the users of apps from rows that hold them."""
+    requests = reconcile.measure(
+        serving_usage_fact(feeds),
+        ["workspace_id"],
+        reconcile.sum_measures(["request_count", "input_tokens", "output_tokens"]),
+    )
+    events = app_usage.app_events(feeds.audit_events, EVENTS_AS_OF)
+    users = reconcile.measure(events, ["workspace_id"], {"app_users": reconcile.distinct_measure("email")})
+    return requests.join(users, "workspace_id", "full")
+
+
 @query
 def fact_totals(feeds: Feeds) -> DataFrame:
     """Billed totals of each fact, and whether the fact's own totals equal them.
