@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,16 +18,26 @@ WINDOW, END = 4096, 2
 #: Windows that a task keeps partially filled; when there are more, all are closed.
 MOST_OPEN = 512
 #: Words whose ids a Python worker remembers.
-MOST_WORDS = 400_000
+MOST_WORDS = 600_000
+# How the tokenizer file splits lowered words, and the letters that its
+# model has for bytes.  Printable bytes of Latin-1 stand for themselves, the others for
+# letters from 256 on, in order.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+BYTE_LETTERS = {
+    byte: 256 + n for n, byte in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174))
+}
+#: Latin letters end here; their lower case and classes are old and the same everywhere.
+LATIN_END = "\u0250"
 PIECE = "row_number bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-class WordTokens:
-    """Ids of whole texts, one word between white space at a time.
+class WordTokens(dict):
+    """Ids by word, found when first asked for, and so ids of whole texts, one word between white space at a time.
 
     The tokenizer file splits at white space and drops it, so a text has the ids of its
-    words one after the other.  Words in ASCII are split by the pattern of the file and
-    their parts go to its model; for any other the tokenizer itself is asked.
+    words one after the other.  Words in composed Latin letters are lowered, split by the
+    pattern of the file and their parts go to its model; for any other word the tokenizer
+    itself is asked.
     """
 
     def __init__(self, path: str) -> None:
@@ -34,39 +45,39 @@ class WordTokens:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.pattern = regex.compile(PATTERN)
+        self.parts: dict[str, bytes] = {}
 
-    def of_part(self, part: str) -> list[int]:
+    def of_part(self, part: str) -> bytes:
         found = self.parts.get(part)
         if found is None:
-            found = self.parts[part] = [token.id for token in self.model.tokenize(part)]
+            spelt = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
+            found = b"".join(token.id.to_bytes(4, "little") for token in self.model.tokenize(spelt))
+            self.parts[part] = found
+        return found
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+            self.parts.clear()
+        found = self[word] = self.of_word(word)
         return found
 
     def of_word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters, the whole of the word one part
+            return self.of_part(word.lower().decode())
+        if word[-1:] in (b".", b",") and word[:-1].isalpha():
+            return self.of_part(word[:-1].lower().decode()) + self.of_part(word[-1:].decode())
         text = word.decode("utf-8", "replace")
-        if word.isascii() and text.isprintable() and "<|" not in text:
-            ids = [i for part in self.pattern.findall(text.lower()) for i in self.of_part(part)]
-        else:
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        plain = word.isascii() or (max(text) < LATIN_END and unicodedata.is_normalized("NFC", text))
+        if plain and text.isprintable() and "<|" not in text:
+            return b"".join(map(self.of_part, self.pattern.findall(text.lower())))
+        ids = self.whole.encode(text, add_special_tokens=False).ids
+        return b"".join(i.to_bytes(4, "little") for i in ids)
 
     def ids(self, text: bytes) -> bytes:
         """Little-endian 32-bit ids of a text, END last."""
-        known, words = self.known, text.split()
-        try:
-            found = [known[w] for w in words]
-        except KeyError:
-            if len(known) > MOST_WORDS:
-                known.clear()
-                self.parts.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = self.of_word(w)
-            found = [known[w] for w in words]
-        found.append(b"\x02\x00\x00\x00")
-        return b"".join(found)
+        return b"".join(map(self.__getitem__, text.split())) + END.to_bytes(4, "little")
 
 
 _TOKENS: dict[str, WordTokens] = {}
