@@ -22,14 +22,14 @@ SOURCE_FIELDS: dict[str, str] = {
     "ASSISTANT SPACE": "assistant_space_id",
 }
 
-#: Source label -> path prefix of its page.
+#: Source label -> path prefix of its page.  Pages of other kinds, such as
+#: assistant spaces, have paths of their own on each platform: pass them with these.
 LINK_PREFIXES: dict[str, str] = {
     "JOB": "/jobs/",
     "SQL QUERY": "/sql/queries/",
-    "DASHBOARD": "/sql/dashboards/",
-    "LEGACY DASHBOARD": "/sql/legacy-dashboards/",
+    "DASHBOARD": "/sql/dashboardsv3/",
+    "LEGACY DASHBOARD": "/sql/dashboards/",
     "ALERT": "/sql/alerts/",
-    "ASSISTANT SPACE": "/assistant/spaces/",
     "NOTEBOOK": "/editor/notebooks/",
 }
 

@@ -14,7 +14,3 @@ def filled(text: Column) -> Column:
 def join_filled(parts: Column, separator: str) -> Column:
     """Array elements that are neither NULL nor empty, joined; NULL if there are none."""
     return filled(F.array_join(F.filter(parts, lambda p: p != ""), separator))
-
-
-def or_else(text: Column, label: str) -> Column:
-    return F.coalesce(text, F.lit(label))

@@ -16,6 +16,7 @@ from ledgerlight.functions.time import (
     whole_seconds_between,
 )
 
+#: The labels of ``billing_record_check``.
 BILLED = "Has Billing Record"
 NOT_BILLED = "No Billing Record for this hour and warehouse yet available"
 

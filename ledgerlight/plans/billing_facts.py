@@ -13,7 +13,7 @@ from ledgerlight.operators.pricing import PRICE_KEYS, billed_measures, price_usa
 from ledgerlight.sources.tables import conform
 
 #: Label of index cost that billing does not tie to an endpoint.
-UNATTRIBUTED = "(unattributed: index maintenance)"
+UNATTRIBUTED = "(no endpoint)"
 
 
 def product_usage(usage: DataFrame, product: str, as_of: Instant, days: int | None) -> DataFrame:

@@ -17,7 +17,7 @@ def struct(ddl: str) -> T.StructType:
 QUANTITY = "decimal(38,18)"
 MEASURE = "decimal(38,6)"
 
-#: Source feeds, with the columns the operators read.
+#: Source feeds, with the columns the operators read.
 FEEDS: dict[str, str] = {
     "billing_usage": f"""
         workspace_id string, sku_name string, cloud string,
@@ -64,7 +64,7 @@ FEEDS: dict[str, str] = {
         request_time timestamp, input_token_count bigint, output_token_count bigint""",
 }
 
-#: Entity tables written from landed documents.
+#: Entity tables written from landed documents.
 ENTITIES: dict[str, str] = {
     "spaces": "space_id string, name string, description string, warehouse_id string",
     "conversations": """
@@ -108,7 +108,7 @@ ENTITIES: dict[str, str] = {
         num_users_with_access int, num_groups_with_access int""",
 }
 
-#: Landed documents that ``sources.documents`` flattens.
+#: Landed documents that ``sources.documents`` flattens.
 DOCUMENTS: dict[str, str] = {
     "message": """
         space_id string, space_name string, message_id string, id string,

@@ -306,10 +306,9 @@ SELECT statement_id, coalesce(source, client, 'UNKNOWN') AS source_type, coalesc
        coalesce(client, 'Unknown') AS client_application,
        CASE coalesce(source, client, 'UNKNOWN')
             WHEN 'JOB' THEN '/jobs/' || source_key WHEN 'SQL QUERY' THEN '/sql/queries/' || source_key
-            WHEN 'DASHBOARD' THEN '/sql/dashboards/' || source_key
-            WHEN 'LEGACY DASHBOARD' THEN '/sql/legacy-dashboards/' || source_key
+            WHEN 'DASHBOARD' THEN '/sql/dashboardsv3/' || source_key
+            WHEN 'LEGACY DASHBOARD' THEN '/sql/dashboards/' || source_key
             WHEN 'ALERT' THEN '/sql/alerts/' || source_key
-            WHEN 'ASSISTANT SPACE' THEN '/assistant/spaces/' || source_key
             WHEN 'NOTEBOOK' THEN '/editor/notebooks/' || source_key ELSE '' END AS link,
        '/sql/history?uiQueryProfileVisible=true&queryId=' || statement_id AS profile
 FROM history"""
@@ -396,7 +395,7 @@ WHERE source_type = 'ASSISTANT SPACE'"""
 # -- facts -------------------------------------------------------------------------------
 
 PARTS["index_fact"] = f"""
-SELECT endpoint_id, coalesce(max(endpoint_name), '(unattributed: index maintenance)') AS endpoint_name,
+SELECT endpoint_id, coalesce(max(endpoint_name), '(no endpoint)') AS endpoint_name,
        CAST(usage_start_time AS DATE) AS usage_date, u.workspace_id, max(workspace_name) AS workspace_name, u.sku_name,
        SUM(quantity) AS units, SUM(quantity * coalesce(price, 0)) AS dollars
 FROM lines u LEFT JOIN prices p ON {_OPEN} LEFT JOIN workspaces w ON w.workspace_id = u.workspace_id
@@ -540,6 +539,10 @@ S["token_usage_fact_closed"] = _TOKENS.format(match=_CLOSED, since="")
 S["index_cost_fact"] = f"""
 SELECT endpoint_id, endpoint_name, usage_date, workspace_id, workspace_name, sku_name, {money("units", "dollars")}
 FROM index_fact"""
+S["bad_documents"] = """
+SELECT bad_line, count(*) AS lines FROM (SELECT left(props, 5) AS bad_line FROM ev WHERE k % 10 = 0)
+GROUP BY bad_line
+UNION ALL SELECT 'good', count(*) FROM ev WHERE k % 10 <> 0"""
 S["dq_schema_facts"] = """
 SELECT 'index_cost' AS fact, 0 AS problems, count(*) AS rows FROM index_fact
 UNION ALL SELECT 'token_usage', 0, count(*) FROM (""" + _TOKENS.format(match=_OPEN, since=f"AND usage_start_time >= {LINES_SINCE}") + """)

@@ -24,7 +24,7 @@ from ledgerlight.plans import (
     serving_usage,
 )
 from ledgerlight.session import shared_dir
-from ledgerlight.sources import documents
+from ledgerlight.sources import documents, tables
 from ledgerlight.streaming import incremental
 from ledgerlight.testbed.feeds import EVENTS_AS_OF, LINES_AS_OF, LINES_DAYS, Feeds
 
@@ -572,6 +572,15 @@ def dq_unique_facts(feeds: Feeds) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def bad_documents(feeds: Feeds) -> DataFrame:
+    """Lines that are no documents, and how many are: a tenth of the event properties is cut short."""
+    line = F.when(F.col("k") % 10 == 0, F.left("props", F.lit(5))).otherwise(F.col("props"))
+    good, bad = tables.split_documents(feeds.events.select(line.alias("value")), schemas.struct("k int"))
+    counted = bad.groupBy("bad_line").agg(F.count("*").alias("lines"))
+    return counted.unionByName(good.agg(F.count("*").alias("lines")).withColumn("bad_line", F.lit("good")))
+
+
 @query
 def dq_schema_facts(feeds: Feeds) -> DataFrame:
     """Schema problems of all nine facts, with the rows of each fact."""

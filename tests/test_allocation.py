@@ -87,9 +87,9 @@ def test_sources_by_priority(history, rows):
     )).withColumn("link", deep_link(F.col("query_source_type"), F.col("query_source_id")))
     assert rows(got, "statement_id", "query_source_type", "query_source_id", "client_application", "link") == [
         ("1", "JOB", "j", "Console", "/jobs/j"),
-        ("2", "LEGACY DASHBOARD", "l", "Console", "/sql/legacy-dashboards/l"),
+        ("2", "LEGACY DASHBOARD", "l", "Console", "/sql/dashboards/l"),
         ("3", "ALERT", "al", "Console", "/sql/alerts/al"),
-        ("4", "ASSISTANT SPACE", "s", "Console", "/assistant/spaces/s"),
+        ("4", "ASSISTANT SPACE", "s", "Console", ""),
         ("5", "Console", "UNKNOWN", "Console", ""),
         ("6", "UNKNOWN", "UNKNOWN", "Unknown", ""),
     ]
