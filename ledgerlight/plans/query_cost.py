@@ -177,14 +177,18 @@ def cost_per_query(
     are shuffled once, when the finished cost meets the history.
     """
     lo, hi = window or feeds.window()
+    return roll_up(attributed_hours(feeds, lo, hi, rules), feeds, lo, hi, rules)
+
+
+def roll_up(hours: DataFrame, feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rules = Rules()) -> DataFrame:
+    """Cost per query from attributed hours."""
     per_hour = F.struct(
         "hour_bucket",
         F.col("query_attributed_dollars_estimation").alias("hour_attributed_cost"),
         F.col("query_attributed_units_estimation").alias("hour_attributed_units"),
     )
     cost = (
-        attributed_hours(feeds, lo, hi, rules)
-        .groupBy("statement_id", "warehouse_id")
+        hours.groupBy("statement_id", "warehouse_id")
         .agg(
             F.array_sort(F.collect_list(per_hour)).alias("statement_hour_bucket_costs"),
             F.sum("query_attributed_dollars_estimation").alias("query_attributed_dollars_estimation"),

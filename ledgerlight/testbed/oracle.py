@@ -515,6 +515,7 @@ SELECT statement_id, source_id AS query_source_id, source_type AS query_source_t
        round(units + 1e-9, 6) AS query_attributed_units_estimation, link AS url_helper, profile AS query_profile_url,
        latest AS most_recent_billing_hour, {_CHECK.format(billed="billed")} AS billing_record_check,
        date_trunc('hour', start_time) AS query_start_hour, hours FROM costs"""
+S["cost_per_query_incremental"] = S["cost_per_query"]
 S["cost_per_query_hours"] = """
 SELECT statement_id, hour_bucket, round(cost + 1e-9, 6) AS hour_attributed_cost, round(units + 1e-9, 6) AS hour_attributed_units
 FROM attributed"""

@@ -8,21 +8,24 @@ from collections.abc import Callable
 from functools import lru_cache
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas
 from ledgerlight.functions.classify import deep_link, profile_link
+from ledgerlight.functions.time import as_column
 from ledgerlight.operators import allocation, intervals, pricing, quality, reconcile, versions
 from ledgerlight.plans import (
     app_usage,
     assistant_cost,
     billing_facts,
+    incremental_cost,
     query_cost,
     reach,
     reports,
     serving_usage,
 )
+from ledgerlight.plans.query_cost import QueryFeeds
 from ledgerlight.session import shared_dir
 from ledgerlight.sources import documents, tables
 from ledgerlight.streaming import incremental
@@ -719,6 +722,30 @@ def incremental_usage(feeds: Feeds) -> DataFrame:
     return incremental.read_partial_sums(spark, f"{folder}/sums", keys, list(sums))
 
 
+@query
+def cost_per_query_incremental(feeds: Feeds) -> DataFrame:
+    """Cost per query in two loads, the second with later rows and late ones of every feed."""
+    spark, whole = feeds.spark, feeds.query_feeds
+    folder = f"{shared_dir(spark)}/hours-{uuid4().hex}"
+
+    def early(rows: DataFrame, at: str, late: Column) -> tuple[DataFrame, DataFrame]:
+        known = (F.col(at) <= as_column(FIRST_LOAD)) & ~F.coalesce(late, F.lit(False))
+        return rows.filter(known), rows.filter(~known)
+
+    lateness = F.pmod(F.xxhash64("statement_id"), F.lit(50)) == 0
+    history = early(whole.history, "start_time", lateness)
+    events = early(whole.events, "event_time", F.pmod(F.xxhash64("event_time"), F.lit(50)) == 0)
+    usage = early(whole.usage, "usage_start_time", F.pmod(F.xxhash64("usage_start_time", "sku_name"), F.lit(50)) == 0)
+    first = QueryFeeds(history[0], events[0], usage[0], whole.prices)
+    changed = QueryFeeds(history[1], events[1], usage[1], whole.prices)
+    window = whole.window()
+    begun = (window[0], first.window()[1])
+    incremental_cost.refresh_hours(first, first, folder, 0, begun)
+    incremental_cost.refresh_hours(changed, whole, folder, 1, window, since=begun[1])
+    cost = incremental_cost.cost_from_hours(whole, folder, window)
+    return cost.withColumn("hours", F.size("statement_hour_bucket_costs")).drop("statement_hour_bucket_costs")
+
+
 @query
 def incremental_marks(feeds: Feeds) -> DataFrame:
     """Rows that a first load and the load after its marks read, by workspace."""

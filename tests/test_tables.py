@@ -171,3 +171,16 @@ def test_cut_lineage_reads_from_the_shared_folder(spark):
     assert cut.count() == 6
     assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
     assert spark.sparkContext.getCheckpointDir().removeprefix("file:").startswith(configured)
+
+
+def test_marks_are_stored_by_load(spark, tmp_path, rows, frame):
+    from ledgerlight.plans.incremental_cost import read_marks, save_marks
+
+    path = str(tmp_path / "marks")
+    assert read_marks(spark, path, -1).count() == 0
+    marks = frame("source string, workspace_id string, high_mark timestamp", ("feed", "a", "2024-01-01"))
+    save_marks(marks, path, 0)
+    feed = frame("workspace_id string, t timestamp", ("a", "2024-01-02"))
+    save_marks(incremental.advance_marks(read_marks(spark, path, 0), feed, "feed", "t"), path, 1)
+    assert rows(read_marks(spark, path, 0)) == [("feed", "a", "2024-01-01 00:00:00")]
+    assert rows(read_marks(spark, path, 1)) == [("feed", "a", "2024-01-02 00:00:00")]
