@@ -51,3 +51,12 @@ def test_stages_take_effect(spark):
 
 def test_run_gives_what_the_stages_give(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+def test_stages_take_odd_rows_and_none(spark, odd, none):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SMALL).collect() == [], name
+        made = stage(spark, odd, SMALL)
+        assert made.count() > 0, name
+        if name != "pack":
+            assert made.columns == odd.columns
