@@ -44,6 +44,8 @@ MARKS = frozenset(
     "subscription share sharing social related recommended breadcrumb breadcrumbs pagination pager widget login signup search "
     "copyright disclaimer".split()
 )
+#: How sure it is that an element is not part of the article.
+NOT_MARKED, PERHAPS, MARKED = 0, 1, 2
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z]+")
 
@@ -51,7 +53,7 @@ _WORD = re.compile(r"[a-z]+")
 class Node:
     __slots__ = ("tag", "parent", "parts", "marked", "chars", "tags", "link_chars", "link_tags", "plain", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, marked: bool = False) -> None:
+    def __init__(self, tag: str, parent: Node | None, marked: int = NOT_MARKED) -> None:
         self.tag, self.parent, self.marked = tag, parent, marked
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -61,22 +63,28 @@ class Node:
         return (p for p in self.parts if isinstance(p, Node))
 
 
-def is_marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether an element says that it is not part of the article."""
+def mark_of(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+    """Whether an element says that it is not part of the article.
+
+    A label that only ends in a mark, as in "has-sidebar", may also be that of a wrapper.
+    """
     if tag in ASIDE:
-        return True
+        return MARKED
+    mark = NOT_MARKED
     for name, value in attrs:
         value = (value or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
-            return True
+            return MARKED
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
+            return MARKED
         if name in ("class", "id"):
             for label in value.split():
                 words = _WORD.findall(label)
-                if words and (words[0] in MARKS or words[-1] in MARKS):
-                    return True
-    return False
+                if words and words[0] in MARKS:
+                    return MARKED
+                if words and words[-1] in MARKS:
+                    mark = PERHAPS
+    return mark
 
 
 class Builder(HTMLParser):
@@ -99,6 +107,12 @@ class Builder(HTMLParser):
         if node is not self.root:
             self._leave(node)
 
+    def _inside(self, tag: str) -> bool:
+        node = self.at
+        while node is not None and node.tag != tag:
+            node = node.parent
+        return node is not None
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self.silent or tag in ("html", "body"):
             return
@@ -109,7 +123,10 @@ class Builder(HTMLParser):
             self._end_open({"p"}, SCOPES)
         if tag in ENDS:
             self._end_open(ENDS[tag], SCOPES - ENDS[tag])
-        node = Node(tag, self.at, is_marked(tag, attrs))
+        mark = mark_of(tag, attrs)
+        if tag == "header" and mark and self._inside("article"):
+            mark = NOT_MARKED  # the headline of the article
+        node = Node(tag, self.at, mark)
         self.at.parts.append(node)
         if tag not in VOID:
             self.at = node
@@ -143,14 +160,25 @@ def _post_order(root: Node) -> list[Node]:
 
 
 def _drop_marked(root: Node) -> None:
-    """Take out what lies around the article; an element with most of the text stays."""
+    """Take out what lies around the article.
+
+    What has the article in it stays, and so does what is only perhaps marked and has
+    most of the text.
+    """
+    holders = set()
     for node in _post_order(root):
         node.chars = sum(len(p.strip()) if isinstance(p, str) else p.chars for p in node.parts)
+        if node.tag in ("article", "main") and node.marked == NOT_MARKED or any(id(n) in holders for n in node.nodes()):
+            holders.add(id(node))
     most = root.chars / 2
+
+    def stays(node: Node) -> bool:
+        return node.marked == NOT_MARKED or id(node) in holders or node.marked == PERHAPS and node.chars > most
+
     todo = [root]
     while todo:
         node = todo.pop()
-        node.parts = [p for p in node.parts if isinstance(p, str) or not (p.marked and (p.chars <= most or p.tag in ASIDE))]
+        node.parts = [p for p in node.parts if isinstance(p, str) or stays(p)]
         todo += node.nodes()
 
 
@@ -181,10 +209,12 @@ def _article(root: Node) -> list[Node]:
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
+    outer = {tag: [node for node in path if node.tag == tag] for tag in ("article", "main")}
+    if outer["main"] and sum(node.tag == "article" for node in _post_order(outer["main"][-1])) > 1:
+        return [outer["main"][-1]]
     for tag in ("article", "main"):
-        outer = [node for node in path if node.tag == tag]
-        if outer:
-            return [outer[-1]]
+        if outer[tag]:
+            return [outer[tag][-1]]
     threshold = min(node.plain for node in path)
     on_path = set(map(id, path[1:]))
     found, todo = [], [root]

@@ -42,6 +42,11 @@ def test_the_article_without_what_is_around_it():
         ("<p>open <b>bold", "open bold"),
         ("</div></p><p>x</p></b>", "x"),
         ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
+        ("<p>Short.</p><div class='comments'><p>A much longer comment than the text.</p></div>", "Short."),
+        ("<div class='page has-sidebar'><p>Most of the text.</p></div><p>x</p>", "Most of the text.\n\nx"),
+        ("<article><header><h1>H</h1></header><p>P</p></article>", "H\n\nP"),
+        ("<main><article><p>A</p></article><article><p>B b</p></article></main>", "A\n\nB b"),
+        ("<div class='widget'><article><p>A</p></article></div>", "A"),
     ],
 )
 def test_odd_pages(html, text):
