@@ -14,7 +14,9 @@ from ledgerlight.llm.common import stored
 from ledgerlight.llm.components import components
 
 #: Vectors of the sample that the tree is built on, and rows of a block.
-SAMPLE, BLOCK_ROWS = 2048, 2048
+SAMPLE, BLOCK_ROWS = 1024, 2048
+#: Pairs of nodes whose distances the traversal takes at once.
+PAIRS_AT_ONCE = 50_000
 #: A node with so few vectors of the sample is not divided further.
 LEAF_SAMPLE = 4
 
@@ -84,26 +86,38 @@ class Tree:
             up = self.parent[node]
             if radius[node] >= 0:
                 radius[up] = max(radius[up], radius[node] + float(np.linalg.norm(spot[node] - spot[up])))
-        inner = np.array([bool(c) for c in self.children])
-        pairs, done = np.array([[0, 0]]), []
+        fan = np.array([len(c) for c in self.children])
+        first = np.cumsum(fan) - fan
+        below = np.array([c for children in self.children for c in children], np.int64)
+
+        def opened(pairs: np.ndarray, side: int) -> np.ndarray:
+            """Each pair once for every child of the node on one side."""
+            node = pairs[:, side]
+            wide = np.repeat(pairs, fan[node], axis=0)
+            nth = np.arange(len(wide)) - np.repeat(np.cumsum(fan[node]) - fan[node], fan[node])
+            wide[:, side] = below[np.repeat(first[node], fan[node]) + nth]
+            return wide
+
+        pairs, done = np.zeros((1, 2), np.int64), []
         while len(pairs):
+            kept = []
+            for part in np.array_split(pairs, len(pairs) // PAIRS_AT_ONCE + 1):
+                one, two = part.T
+                gap = np.linalg.norm(spot[one] - spot[two], axis=1)
+                there = (radius[one] >= 0) & (radius[two] >= 0)
+                kept.append(part[there & (gap <= radius[one] + radius[two] + reach + 1e-9)])
+            pairs = np.concatenate(kept)
             one, two = pairs.T
-            there = (radius[one] >= 0) & (radius[two] >= 0)
-            gap = np.linalg.norm(spot[one] - spot[two], axis=1)
-            pairs = pairs[there & (gap <= radius[one] + radius[two] + reach + 1e-9)]
-            one, two = pairs.T
-            done.append(pairs[~inner[one] & ~inner[two]])
-            pairs = pairs[inner[one] | inner[two]]
-            made = []
-            for a, b in pairs.tolist():
-                if a == b:
-                    c = self.children[a]
-                    made += [(c[i], c[j]) for i in range(len(c)) for j in range(i, len(c))]
-                elif inner[b] and (not inner[a] or radius[b] > radius[a]):
-                    made += [(a, c) for c in self.children[b]]
-                else:
-                    made += [(c, b) for c in self.children[a]]
-            pairs = np.array(made).reshape(-1, 2)
+            ended = (fan[one] == 0) & (fan[two] == 0)
+            done.append(pairs[ended])
+            same = (one == two) & ~ended
+            second = ~same & (fan[two] > 0) & ((fan[one] == 0) | (radius[two] > radius[one]))
+            twins = []
+            for node in one[same].tolist():
+                i, j = np.triu_indices(fan[node])
+                own = below[first[node] : first[node] + fan[node]]
+                twins.append(np.stack((own[i], own[j]), axis=1))
+            pairs = np.concatenate([opened(pairs[second], 1), opened(pairs[~ended & ~same & ~second], 0), *twins])
         at = np.full(size, -1)
         at[self.leaves] = np.arange(len(self.leaves))
         return np.sort(at[np.concatenate(done)], axis=1) if done else np.empty((0, 2), int)
@@ -213,7 +227,9 @@ def _links_of_width(heads: DataFrame, width: int, least: float) -> DataFrame:
         group[leaf] = len(cuts) - 1
         filled += n
         cuts[-1] = math.ceil(filled / BLOCK_ROWS)
-    pairs = sorted({tuple(sorted((group[a], group[b]))) for a, b in near.tolist()})
+    of_leaf = np.full(len(tree.leaves), -1)
+    of_leaf[list(group)] = list(group.values())
+    pairs = np.unique(np.sort(of_leaf[near], axis=1), axis=0).tolist()
     by_leaf = spark.createDataFrame([(k, g, cuts[g]) for k, g in group.items()], "leaf int, part bigint, cuts int")
     rows = placed.join(F.broadcast(by_leaf), "leaf").withColumn(
         "block", (F.col("part") * (1 << 32)) + F.pmod(F.xxhash64("rep"), F.col("cuts"))
