@@ -759,8 +759,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY order_key ORDER BY changed_at DE
             FROM orders
             UNION ALL SELECT l_orderkey, CAST(l_shipdate AS TIMESTAMP), l_linestatus FROM lineitem)) WHERE rn = 1"""
 S["measures_by_dim"] = """
-SELECT workspace_name, sku_name, round(CAST(SUM(units) AS DOUBLE) + 1e-9, 6) AS units,
-       round(CAST(SUM(dollars) AS DOUBLE) + 1e-9, 6) AS dollars, count(*) AS rows FROM index_fact
+SELECT workspace_name, sku_name, round(CAST(SUM(CAST(units AS DECIMAL(38,6))) AS DOUBLE) + 1e-9, 6) AS units,
+       round(CAST(SUM(CAST(dollars AS DECIMAL(38,6))) AS DOUBLE) + 1e-9, 6) AS dollars, count(*) AS rows FROM index_fact
 GROUP BY workspace_name, sku_name"""
 S["crosswalk_by_brand"] = """
 SELECT s_nationkey, p_brand, l_suppkey
