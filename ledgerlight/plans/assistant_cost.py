@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas
@@ -39,7 +39,7 @@ def cost_per_message(statements: DataFrame, cost: DataFrame, messages: DataFrame
 
 
 def categorise_cost(cost: DataFrame, statements: DataFrame, source: str = SPACE) -> DataFrame:
-    """Statements of assistant spaces with what they were run for.
+    """Statements of assistant spaces with what they were run for, in the declared columns.
 
     The statement text is matched once here.  :func:`ledgerlight.sources.tables.replace_table`
     of the result is the table that later reports read instead of matching again.
@@ -57,7 +57,8 @@ def categorise_cost(cost: DataFrame, statements: DataFrame, source: str = SPACE)
         )
         .drop("__linked")
     )
-    return conform(categorised, schemas.fact("cost_category"))
+    declared = [f for f in schemas.fact("cost_category").fields if f.name in categorised.columns]
+    return conform(categorised, T.StructType(declared))
 
 
 def space_cost(cost: DataFrame, workspace: str | None = None, source: str = SPACE) -> DataFrame:
