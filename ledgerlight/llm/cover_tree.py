@@ -17,6 +17,9 @@ from ledgerlight.llm.components import components
 SAMPLE, BLOCK_ROWS = 1024, 2048
 #: Pairs of nodes whose distances the traversal takes at once.
 PAIRS_AT_ONCE = 50_000
+#: Rows of a block that are compared at once.
+STRIP = 256
+LAST_ID = 2**63 - 1
 #: A node with so few vectors of the sample is not divided further.
 LEAF_SAMPLE = 4
 
@@ -165,25 +168,29 @@ def _linked(width: int, least: float):
         copies = [np.frombuffer(row[f"copies_{s}"], np.int64) for s in "xy"]
         x, y = (np.frombuffer(row[f"units_{s}"], np.float64).reshape(-1, width) for s in "xy")
         same = row["x"] == row["y"]
-        found = ([], [])
-        for start in range(0, len(x), 512):
-            near = x[start : start + 512] @ y.T >= least
-            if same:
-                near[np.arange(near.shape[0]), start + np.arange(near.shape[0])] = False
-            r, c = np.nonzero(near)
-            found[0].append(r + start)
-            found[1].append(c)
-        r, c = np.concatenate(found[0]), np.concatenate(found[1])
-        counts = [np.bincount(r, copies[1][c], len(x)), np.bincount(c, copies[0][r], len(y))]
+        near = np.zeros((len(x), len(y)), bool)  # a byte a pair, whatever the number of links
+        parts = [slice(start, start + STRIP) for start in range(0, len(x), STRIP)]
+        for part in parts:
+            np.greater_equal(x[part] @ y.T, least, out=near[part])
+        if same:
+            np.fill_diagonal(near, False)
+        counts = [np.zeros(len(x)), np.zeros(len(y))]
+        for part in parts:
+            counts[0][part] = near[part] @ copies[1].astype(float)
+            counts[1] += copies[0][part].astype(float) @ near[part]
         low = [ids[0].copy(), ids[1].copy()]
-        while len(r):  # the least id that links reach within the pair of blocks
+        while counts[0].any():  # the least id that links reach within the pair of blocks
             before = low[0].copy(), low[1].copy()
-            np.minimum.at(low[1], c, low[0][r])
+            for part in parts:
+                reached = np.where(near[part], low[0][part, None], LAST_ID).min(axis=0)
+                low[1] = np.minimum(low[1], reached)
             if same:
                 low[0] = np.minimum(low[0], low[1])
-            np.minimum.at(low[0], r, low[1][c])
+            for part in parts:
+                reached = np.where(near[part], low[1][None, :], LAST_ID).min(axis=1)
+                low[0][part] = np.minimum(low[0][part], reached)
             if same:
-                low[1] = low[0]
+                low[1] = low[0].copy()
             if all(np.array_equal(a, b) for a, b in zip(before, low, strict=True)):
                 break
         sides = [0] if same else [0, 1]
