@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from ledgerlight.llm.common import slices, stored, text_bytes
 from ledgerlight.llm.hashing import U64, word_hashes
 
-#: Words that make up at least 1 / FREQUENT of all training tokens are clustered one by
-#: one, so there are FREQUENT at most; every other word goes with the words of its
-#: spelling unit, of which there are SPELLINGS.  The end of a text is unit 0.
-FREQUENT, SPELLINGS, CLASSES = 256, 256, 48
-UNITS = 1 + FREQUENT + SPELLINGS
-#: Words that make up at least 1 / KNOWN of all training tokens are counted without a join.
+#: The most frequent words, which change classes one by one on the driver.
+CORE = 4096
+#: The most frequent words that have an index: their classes reach every task.
 KNOWN = 50_000
+#: How often the known words beyond CORE choose again.
+ROUNDS = 2
+#: Words that training has not seen have a class by their last letters.
+SPELLINGS, CLASSES = 256, 48
 ADDED, ADDED_STEP = 0.1, 0.5
 #: Words whose counts a task holds before it hands them on.
 MOST_WORDS = 200_000
@@ -60,24 +61,25 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return stored(rows.groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def unit_index(frequent: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted fingerprints of the frequent words and their units."""
-    hashes = word_hashes([b" ".join(frequent)])[0] if frequent else np.empty(0, np.uint64)
+def unit_index(known: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted fingerprints of the known words and their units: the k-th is k + 1."""
+    hashes = word_hashes([b" ".join(known)])[0] if known else np.empty(0, np.uint64)
     order = np.argsort(hashes)
     return hashes[order], (order + 1).astype(np.int64)
 
 
 def text_units(texts: list[bytes], index: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Units of the words of each text, END after each, and where each text ends."""
+    """Units of the words of each text, 0 after each, and where each text ends.
+
+    A word that is not known has the unit after the last.
+    """
     hashes, ends = word_hashes(texts)
     keys, units = index
-    # words of one spelling share their last letters
-    spelling = 1 + FREQUENT + (_spellings(texts) % U64(SPELLINGS)).astype(np.int64)
+    found = np.full(len(hashes), len(keys) + 1)
     if len(keys):
         at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-        spelling = np.where(keys[at] == hashes, units[at], spelling)
-    made = np.insert(spelling, ends, 0)
-    return made, ends + np.arange(1, len(ends) + 1)
+        found = np.where(keys[at] == hashes, units[at], found)
+    return np.insert(found, ends, 0), ends + np.arange(1, len(ends) + 1)
 
 
 def _spellings(texts: list[bytes]) -> np.ndarray:
@@ -89,44 +91,129 @@ def _spellings(texts: list[bytes]) -> np.ndarray:
     for back in (1, 2, 3):
         at = ends - back
         key = key * U64(257) + np.where(at >= starts, data[np.maximum(at, 0)], 32)
-    return key * U64(0x9E3779B97F4A7C15) >> U64(40)
+    return ((key * U64(0x9E3779B97F4A7C15) >> U64(40)) % U64(SPELLINGS)).astype(np.int64)
+
+
+def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    for batch in slices(batches, "text", 1 << 20):
+        ids = batch.column("doc_id").to_pylist()
+        texts = [t for i, t in zip(ids, text_bytes(batch.column("text")), strict=True) if not held_out(i)]
+        if texts:
+            yield texts
 
 
-def _steps(index):
+def _sequences(index):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps = np.zeros(UNITS * UNITS, np.int64)
-        for batch in slices(batches, "text", 1 << 20):
-            texts = [
-                t for i, t in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")), strict=True) if not held_out(i)
-            ]
-            if texts:
-                units, _ = text_units(texts, index.value)
-                before = np.concatenate(([0], units[:-1]))  # END comes before the first word
-                steps += np.bincount(before * UNITS + units, minlength=len(steps))
-        cells = np.flatnonzero(steps)
-        yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(steps[cells])], names=["cell", "n"])
+        for texts in _training(batches):
+            units = text_units(texts, index.value)[0].astype(np.uint16)  # KNOWN fits
+            yield pa.RecordBatch.from_arrays([pa.array([units.tobytes()], pa.binary())], names=["units"])
 
     return emit
 
 
-def _unit_sizes(index):
+def _before(units: np.ndarray) -> np.ndarray:
+    """What comes before each: the end of a text before the first."""
+    return np.concatenate((np.zeros(1, units.dtype), units[:-1]))
+
+
+def _summed(cells: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(cell, n), summed over parts of what a task has."""
+    held: list[np.ndarray] = []
+
+    def table() -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(n)], names=["cell", "n"])
+
+    for part in cells:
+        held.append(part)
+        if sum(map(len, held)) > 2_000_000:
+            yield table()
+    if held:
+        yield table()
+
+
+def _arrays(batches: Iterator[pa.RecordBatch], column: str, kind: type) -> Iterator[np.ndarray]:
+    return (np.frombuffer(x, kind).astype(np.int32) for batch in batches for x in batch.column(column).to_pylist())
+
+
+def _pairs(core: int):
+    """Neighbours that are both among the first ``core`` units."""
+
+    def cells(units: np.ndarray) -> np.ndarray:
+        before = _before(units)
+        both = (before < core) & (units < core)
+        return before[both] * core + units[both]
+
+    return lambda batches: _summed(map(cells, _arrays(batches, "units", np.uint16)))
+
+
+def _contexts(core: int, shared):
+    """Classes before and after each known unit from ``core`` on, where they are known."""
+
+    def cells(units: np.ndarray) -> np.ndarray:
+        of = shared.value
+        word = (units >= core) & (units < len(of) - 1)
+        found = of[units]
+        made = []
+        for side, near in enumerate((np.append(found[1:], 0), _before(found))):
+            at = word & (near >= 0)
+            made.append(((units[at] - core) * 2 + side) * CLASSES + near[at])
+        return np.concatenate(made)
+
+    return lambda batches: _summed(map(cells, _arrays(batches, "units", np.uint16)))
+
+
+def _rest(model):
+    """(word, near) of each training token that is not known: the classes after and before it."""
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, tokens = np.zeros(UNITS), np.zeros(UNITS)
-        for batch in batches:
-            spelt = batch.column("word").to_pylist()
-            counts = np.array(batch.column("n").to_pylist(), float)
-            units = np.zeros(len(spelt), np.int64)
-            some = [k for k, w in enumerate(spelt) if w != END]
-            if some:
-                found, _ = text_units([b" ".join(spelt[k] for k in some)], index.value)
-                units[some] = found[:-1]
-            words += np.bincount(units, minlength=UNITS)
-            tokens += np.bincount(units, counts, UNITS)
-        at = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at.astype(np.int32)), pa.array(words[at].astype(np.int64)), pa.array(tokens[at].astype(np.int64))],
-            names=["unit", "words", "tokens"],
-        )
+        index, of = model.value
+        for texts in _training(batches):
+            units, ends = text_units(texts, index)
+            found = of[units]
+            at = np.flatnonzero(units == len(of) - 1)
+            # CLASSES stands for a class that is not known
+            after, before = (np.where(x < 0, CLASSES, x) for x in (found[np.minimum(at + 1, len(units) - 1)], _before(found)[at]))
+            words = _words_at(texts, ends, at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), pa.array((after * (CLASSES + 1) + before).astype(np.int32))], names=["word", "near"]
+            )
+
+    return emit
+
+
+def _words_at(texts: list[bytes], ends: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """The words at places of the units of ``texts``."""
+    words: list[bytes] = []
+    edges = np.searchsorted(at, ends).tolist()
+    start = first = 0
+    for text, end, edge in zip(texts, ends.tolist(), edges, strict=True):
+        if edge > first:
+            own = text.lower().split()
+            words += [own[k - start] for k in at[first:edge].tolist()]
+        start, first = end, edge
+    return words
+
+
+def _chosen(table):
+    """(word, n, class, spelling) from the neighbours of each word."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 4096):
+                batch = whole.slice(start, 4096)
+                words, lists = batch.column("word").to_pylist(), batch.column("near")
+                n = np.asarray(lists.value_lengths()).astype(np.int64)
+                near = np.asarray(lists.flatten()).astype(np.int64)
+                row = np.repeat(np.arange(len(n)), n)
+                wide = CLASSES + 1
+                after, before = (np.bincount(row * wide + x, minlength=len(n) * wide).reshape(-1, wide)[:, :CLASSES] for x in (near // wide, near % wide))
+                of = best_classes(table.value, after, before)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("word"), pa.array(n), pa.array(of.astype(np.int32)), pa.array(_spellings([b" ".join(words)]).astype(np.int32))],
+                    names=["word", "n", "class", "spelling"],
+                )
 
     return emit
 
@@ -142,21 +229,20 @@ def exchange(steps: np.ndarray, classes: int = CLASSES, rounds: int = 12) -> np.
     most, until a round moves none.  Unit 0, the end of a text, is class 0 by itself.
     """
     size = len(steps)
-    weight = steps.sum(axis=1)
+    weight, into_of = steps.sum(axis=1), np.ascontiguousarray(steps.T)
     of = np.zeros(size, np.int64)
     order = np.argsort(-weight[1:], kind="stable") + 1
     of[order] = 1 + np.arange(size - 1) % (classes - 1)
-    member = np.zeros((size, classes))
-    member[np.arange(size), of] = 1
-    table = member.T @ steps @ member
+    table = class_steps(steps, of, classes)
     for _ in range(rounds):
         moved = 0
         for w in order.tolist():
             if not weight[w]:
                 continue
             self_count, old = steps[w, w], of[w]
-            member[w, old] = 0
-            after, before = steps[w] @ member, steps[:, w] @ member
+            after, before = np.bincount(of, steps[w], classes), np.bincount(of, into_of[w], classes)
+            after[old] -= self_count
+            before[old] -= self_count
             table[old] -= after
             table[:, old] -= before
             table[old, old] -= self_count
@@ -173,7 +259,6 @@ def exchange(steps: np.ndarray, classes: int = CLASSES, rounds: int = 12) -> np.
                 new = old
             moved += new != old
             of[w] = new
-            member[w, new] = 1
             table[new] += after
             table[:, new] += before
             table[new, new] += self_count
@@ -182,55 +267,171 @@ def exchange(steps: np.ndarray, classes: int = CLASSES, rounds: int = 12) -> np.
     return of
 
 
-def _scored(model):
+def class_steps(steps: np.ndarray, of: np.ndarray, classes: int) -> np.ndarray:
+    rows = np.zeros((classes, len(steps)))
+    np.add.at(rows, of, steps)
+    table = np.zeros((classes, classes))
+    np.add.at(table, of, rows.T)
+    return table.T.copy()
+
+
+def best_classes(table: np.ndarray, after: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The class that each word, not in ``table`` yet, raises the likelihood most in.
+
+    ``after`` and ``before`` have the classes next to each word; it is the choice of
+    ``exchange`` for many words at once.
+    """
+    gain = np.zeros(after.shape)
+    for near, steps in ((after, table), (before, table.T)):
+        word, k = np.nonzero(near)
+        for start in range(0, len(word), 1 << 14):
+            at, c = word[start : start + (1 << 14)], k[start : start + (1 << 14)]
+            was = steps[:, c].T
+            edges = np.flatnonzero(np.diff(at, prepend=-1))
+            gain[at[edges]] += np.add.reduceat(_xlogx(was + near[at, c][:, None]) - _xlogx(was), edges, axis=0)
+        size, total = near.sum(axis=1, keepdims=True), steps.sum(axis=1)
+        gain -= _xlogx(total + size) - _xlogx(total)
+    word, k = np.nonzero((after > 0) & (before > 0))
+    own, a, b = np.diag(table)[k], after[word, k], before[word, k]
+    gain[word, k] += _xlogx(own + a + b) - _xlogx(own + a) - _xlogx(own + b) + _xlogx(own)
+    gain[:, 0] = -np.inf
+    return np.argmax(gain, axis=1)
+
+
+def _rows(model):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, of, step_log, known = model.value
+        index, of, logs, seen, unseen = model.value
         row = TaskContext.get().partitionId() << 40
         for batch in slices(batches, "text", 1 << 20):
             texts = text_bytes(batch.column("text"))
             units, ends = text_units(texts, index)
-            found = of[units]
-            before = np.concatenate(([0], found[:-1]))
-            sums = np.cumsum(step_log[before, found])
-            upto = sums[ends - 1]
-            path = np.diff(np.concatenate(([0.0], upto)))
-            keys, words, ns = [], [], []
-            heads = []
-            for k, text in enumerate(texts):
-                counts = Counter(text.lower().split())
-                counts[END] += 1
-                log, seen = 0.0, 0
-                for word, n in counts.items():
-                    at = known.get(word)
-                    if at is None:
-                        keys.append(row + k)
-                        words.append(word)
-                        ns.append(n)
-                    elif at:
-                        log += n * at[0]
-                        seen += n * at[1]
-                heads.append((row + k, b" %d" % (row + k), sum(counts.values()), float(path[k]), log, seen))
-            size = len(heads)
-            ids = batch.column("doc_id").to_pylist()
-            key, word, tokens, path_log, log, seen = zip(*heads, strict=True)
+            starts = np.concatenate(([0], ends[:-1]))
+            path = of[units]
+            at = np.flatnonzero(units == len(of) - 1)
+            path[units != 0] = np.where(path[units != 0] < 0, unseen[_spellings(texts)], path[units != 0])
+            path = path.astype(np.uint8)
+            keys, words, places = [], [], []
+            owner = np.searchsorted(ends, at, "right")
+            own: dict[tuple[int, bytes], list[int]] = {}
+            for k, word, place in zip(owner.tolist(), _words_at(texts, ends, at), (at - starts[owner]).tolist(), strict=True):
+                own.setdefault((k, word), []).append(place)
+            for (k, word), found in own.items():
+                keys.append(row + k)
+                words.append(word)
+                places.append(np.array(found, np.int32).tobytes())
+            size = len(texts)
+            heads = range(row, row + size)
+            none = [None] * len(keys)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([*key, *keys], pa.int64()),
-                    pa.array([*word, *words], pa.binary()),
-                    pa.array([*tokens, *ns], pa.int64()),
+                    pa.array([*heads, *keys], pa.int64()),
+                    pa.array([*(b" %d" % k for k in heads), *words], pa.binary()),
                     pa.array([True] * size + [False] * len(keys)),
-                    pa.array([*ids, *[None] * len(keys)], pa.int64()),
-                    pa.array([*path_log, *[None] * len(keys)], pa.float64()),
-                    pa.array([*log, *[None] * len(keys)], pa.float64()),
-                    pa.array([*seen, *[None] * len(keys)], pa.int64()),
+                    pa.array([*batch.column("doc_id").to_pylist(), *none], pa.int64()),
+                    pa.array([*(path[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), *places], pa.binary()),
+                    pa.array([*np.add.reduceat(logs[units], starts).tolist(), *none], pa.float64()),
+                    pa.array([*np.add.reduceat(seen[units], starts).tolist(), *none], pa.int64()),
                 ],
-                names=["key", "word", "m", "head", "doc_id", "path", "log", "seen"],
+                names=["key", "word", "head", "doc_id", "path", "log", "seen"],
             )
             row += size
 
     return emit
 
 
+def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The path of each document with the classes that its rarer words have met."""
+    for batch in slices(batches, "path", 1 << 20):
+        whole, ends = _joined(batch.column("path"))
+        lists = batch.column("found")
+        data, upto = _joined(lists.flatten())
+        if len(upto):
+            sizes = np.diff(upto, prepend=0)
+            first = np.zeros(len(data), bool)
+            first[upto - sizes] = True
+            document = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
+            places = np.frombuffer(data[~first].tobytes(), np.int32) + np.repeat(np.append(0, ends)[document], sizes // 4)
+            whole[places] = np.repeat(data[first], sizes // 4)
+        names = ["doc_id", "n_tokens", "n_known", "log"]
+        paths = [x.tobytes() for x in np.split(whole, ends[:-1])]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(paths, pa.binary())], names=[*names, "path"])
+
+
+def _joined(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    found = values.to_pylist()
+    return np.frombuffer(b"".join(found), np.uint8).copy(), np.cumsum(np.array([len(x) for x in found], np.int64))
+
+
+def _class_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    steps = np.zeros(CLASSES * CLASSES, np.int64)
+    for batch in batches:
+        for doc_id, path in zip(batch.column("doc_id").to_pylist(), batch.column("path").to_pylist(), strict=True):
+            if not held_out(doc_id):
+                found = np.frombuffer(path, np.uint8).astype(np.int64)
+                steps += np.bincount(_before(found) * CLASSES + found, minlength=len(steps))
+    cells = np.flatnonzero(steps)
+    yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(steps[cells])], names=["cell", "n"])
+
+
+def _path_logs(step_log):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x, np.uint8) for x in batch.column("path").to_pylist()]
+            logs = [float(step_log.value[_before(x), x].sum()) for x in found]
+            names = ["doc_id", "n_tokens", "n_known", "log"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(logs, pa.float64())], names=[*names, "path"])
+
+    return emit
+
+
+def _gathered(frame: DataFrame, size: int) -> np.ndarray:
+    """Sums of n over (cell, n), as an array of cells."""
+    cells = frame.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    made = np.zeros(size)
+    made[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    return made
+
+
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The ``most`` most frequent words; of those with the least count, as many as fit, by a hash."""
+    counts = counts.where(F.col("word") != END)
+    room, tied, share = most, 0, 0
+    for n, words in sorted(map(tuple, counts.groupBy("n").count().collect()), reverse=True):
+        if words > room:
+            tied, share = n, (room << 20) // words
+            break
+        room -= words
+    near = F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < share
+    return counts.where((F.col("n") > tied) | (F.col("n") == tied) & near)
+
+
+def word_classes(docs: DataFrame, counts: DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray, DataFrame]:
+    """The known words, their counts, their classes and (word, n, class, spelling) of all others."""
+    share = docs.sparkSession.sparkContext.broadcast
+    top = most_frequent(counts, KNOWN).toArrow()
+    n = top.column("n").to_numpy()
+    order = np.argsort(-n, kind="stable")
+    words = top.column("word").to_pylist()
+    known = [bytes(words[k]) for k in order]
+    index = share(unit_index(known))
+    core = 1 + min(CORE, len(known))
+    sequences = stored(docs.mapInArrow(_sequences(index), "units binary"))
+
+    steps = _gathered(sequences.mapInArrow(_pairs(core), "cell int, n bigint"), core * core).reshape(core, core)
+    of = np.full(len(known) + 2, -1)
+    of[:core] = exchange(steps)
+    table = class_steps(steps, of[:core], CLASSES)  # none of the words that choose below is in it
+    more = len(known) + 1 - core
+    for _ in range(ROUNDS if more else 0):
+        near = _gathered(sequences.mapInArrow(_contexts(core, share(of.astype(np.int16))), "cell int, n bigint"), more * 2 * CLASSES)
+        after, before = near.reshape(more, 2, CLASSES).transpose(1, 0, 2)
+        of[core:-1] = best_classes(table, after, before)
+    rest = docs.mapInArrow(_rest(share((index.value, of))), "word binary, near int")
+    rest = rest.groupBy("word").agg(F.collect_list("near").alias("near"))
+    rest = rest.mapInArrow(_chosen(share(table)), "word binary, n bigint, class int, spelling int")
+    return known, n[order], of, stored(rest)
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row.
 
@@ -238,63 +439,65 @@ def scored(docs: DataFrame) -> DataFrame:
     null id has empty text and is held out).  Tokens are the words, A-Z lowered, and
     one end a text; null text has the end alone.  base_score is the log10 probability
     under word counts with ADDED, score that under class bigrams: a step from class to
-    class times a word of its class, with ADDED for words and ADDED_STEP for steps.  All
-    words have a class, those never seen too, by their spelling unit.  Rows of one id
-    are scored one by one; columns but doc_id and text are ignored; an empty table
-    gives an empty result.
-
-    Word counts and steps are gathered over all training documents.  What reaches the
-    driver is bounded: KNOWN words, UNITS squared counts of steps, UNITS sizes.  The
-    sum of log10 (count + ADDED) serves both scores, so rarer words meet their counts
-    in one join, summed by document; frequent words, the skewed keys, never enter it.
+    class times a word of its class, with ADDED for words and ADDED_STEP for steps.
+    Rows of one id are scored one by one; columns but doc_id and text are ignored; an
+    empty table gives an empty result.
+
+    Every word of the training documents has its class by the words next to it.  The
+    CORE most frequent change classes until no move helps, 12 rounds at most, by their pairs;
+    the other KNOWN words then choose by the classes next to them, ROUNDS times; all
+    others choose once, in Spark, by the classes of known words next to them.  A word
+    that training has not seen has the class of most of these others with its last
+    letters.  Steps from class to class are counted over all training tokens.
+
+    What reaches the driver is bounded: KNOWN words, CORE squared pairs, the classes next
+    to KNOWN words.  Rarer words meet their counts and classes in one join, gathered by
+    document; frequent words, the skewed keys, never enter it.
     """
-    spark = docs.sparkSession
+    share = docs.sparkSession.sparkContext.broadcast
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     counts = word_counts(docs)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    common = counts.where((F.col("n") * KNOWN >= total) & (F.lit(total) > 0)).toArrow()
-    known = dict(zip(common.column("word").to_pylist(), common.column("n").to_pylist(), strict=True))
-    frequent = sorted(w for w, n in known.items() if n * FREQUENT >= total and w != END)
-    index = unit_index([bytes(w) for w in frequent])
-    shared = spark.sparkContext.broadcast(index)
-
-    steps = np.zeros(UNITS * UNITS)
-    cells = docs.mapInArrow(_steps(shared), "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    steps[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    steps = steps.reshape(UNITS, UNITS)
-    sizes = counts.mapInArrow(_unit_sizes(shared), "unit int, words bigint, tokens bigint")
-    sizes = sizes.groupBy("unit").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).toArrow()
-    words, tokens = np.zeros(UNITS), np.zeros(UNITS)
-    words[sizes.column("unit").to_numpy()] = sizes.column("words").to_numpy()
-    tokens[sizes.column("unit").to_numpy()] = sizes.column("tokens").to_numpy()
-
-    of = exchange(steps)
-    member = np.zeros((UNITS, CLASSES))
-    member[np.arange(UNITS), of] = 1
-    table = member.T @ steps @ member
-    step_log = np.log10((table + ADDED_STEP) / (table.sum(axis=1, keepdims=True) + ADDED_STEP * CLASSES))
-    step_log -= np.log10(member.T @ tokens + ADDED * (member.T @ words + 1))
-    logs = {bytes(w): (math.log10(n + ADDED), 1) for w, n in known.items()}
-    logs.setdefault(END, (math.log10(ADDED), 0))
-    model = spark.sparkContext.broadcast((index, of, step_log, logs))
-
+    texts = counts.where(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    known, n, of, rest = word_classes(docs, counts)
+
+    tokens = np.bincount(of[: len(known) + 1], [texts, *n], CLASSES)
+    words = np.bincount(of[: len(known) + 1], [texts > 0, *[1] * len(known)], CLASSES)
+    by_spelling = np.zeros((SPELLINGS, CLASSES))
+    for spelling, k, some, more in rest.groupBy("spelling", "class").agg(F.count("*"), F.sum("n")).collect():
+        by_spelling[spelling, k] += some
+        words[k] += some
+        tokens[k] += more
+    everywhere = by_spelling.sum(axis=0) if by_spelling.any() else words * (np.arange(CLASSES) > 0)
+    by_spelling[~by_spelling.any(axis=1)] = everywhere
+    unseen = np.argmax(by_spelling, axis=1)
+
+    logs = np.append(np.log10(np.array([texts, *n]) + ADDED), 0.0)
+    seen = np.append(np.array([texts > 0, *[True] * len(known)], np.int64), 0)
     rows = docs.mapInArrow(
-        _scored(model),
-        "key bigint, word binary, m bigint, head boolean, doc_id bigint, path double, log double, seen bigint",
-    )
-    rare = counts.where(F.col("n") * KNOWN < total)
-    joined = rows.join(rare, "word", "left")
-    log = F.when(F.col("head"), F.col("log")).otherwise(
-        F.col("m") * F.log10(F.coalesce("n", F.lit(0)).cast("double") + ADDED)
+        _rows(share((unit_index(known), of, logs, seen, unseen))),
+        "key bigint, word binary, head boolean, doc_id bigint, path binary, log double, seen bigint",
     )
-    seen = F.when(F.col("head"), F.col("seen")).when(F.col("n").isNotNull(), F.col("m")).otherwise(0)
+    joined = rows.join(rest, "word", "left")
+    m = (F.octet_length("path") / 4).cast("bigint")
+    log = F.when(F.col("head"), F.col("log")).otherwise(m * F.log10(F.coalesce("n", F.lit(0)).cast("double") + ADDED))
+    known_to = F.when(F.col("head"), F.col("seen")).when(F.col("n").isNotNull(), m).otherwise(0)
     found = joined.groupBy("key").agg(
         F.max("doc_id").alias("doc_id"),
-        F.sum(F.when(F.col("head"), F.col("m"))).alias("n_tokens"),
-        F.sum(seen).alias("n_known"),
+        F.max(F.when(F.col("head"), F.octet_length("path").cast("bigint"))).alias("n_tokens"),
+        F.sum(known_to).alias("n_known"),
         F.sum(log).alias("log"),
-        F.sum("path").alias("path"),
+        F.max(F.when(F.col("head"), F.col("path"))).alias("path"),
+        # the class as one byte, and the places of the word
+        F.collect_list(F.when(~F.col("head"), F.concat(F.chr("class").cast("binary"), "path"))).alias("found"),
     )
+    kinds = "doc_id bigint, n_tokens bigint, n_known bigint, log double, path "
+    found = stored(found.mapInArrow(_filled, kinds + "binary"))
+
+    table = _gathered(found.mapInArrow(_class_pairs, "cell int, n bigint"), CLASSES * CLASSES).reshape(CLASSES, CLASSES)
+    step_log = np.log10((table + ADDED_STEP) / (table.sum(axis=1, keepdims=True) + ADDED_STEP * CLASSES))
+    step_log -= np.log10(tokens + ADDED * (words + 1))
+    found = found.mapInArrow(_path_logs(share(step_log)), kinds + "double")
     base = F.col("log") - F.col("n_tokens") * math.log10(total + ADDED * (distinct + 1))
     return found.select(
         "doc_id",

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 
 from ledgerlight.llm import class_lm, quality_rules, token_counts
 
@@ -109,6 +110,20 @@ def test_class_model_beats_word_counts_on_held_out_text(spark):
     assert scored and all(r.score > r.base_score for r in scored)
 
 
+@pytest.mark.parametrize(("core", "known"), [(4096, 50_000), (4096, 100), (200, 400), (200, 800)])
+def test_rare_words_of_one_ending_go_by_their_neighbours(spark, monkeypatch, core, known):
+    import random
+
+    monkeypatch.setattr(class_lm, "CORE", core)
+    monkeypatch.setattr(class_lm, "KNOWN", known)
+    rng = random.Random(3)
+    nouns, verbs = [f"n{k}end" for k in range(400)], [f"v{k}end" for k in range(400)]
+    rows = [(i, " ".join(rng.choice(nouns) + " " + rng.choice(verbs) for _ in range(60))) for i in range(600)]
+    scored = class_lm.scored(spark.createDataFrame(rows, "doc_id bigint, text string")).where("held_out").collect()
+    gain = sum(r.score - r.base_score for r in scored) / sum(r.n_tokens for r in scored)
+    assert gain > 0.2  # half of the words can follow: log10 2 is 0.3
+
+
 def likelihood(steps, of, classes):
     member = np.eye(classes)[of]
     table = member.T @ steps @ member
