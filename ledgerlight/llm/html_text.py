@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -19,6 +20,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 SILENT = frozenset(
     "script style noscript template iframe object svg math canvas audio video select textarea button datalist head title".split()
 )
+#: Silent elements that run to their end tag, whatever comes.
+RAW = frozenset({"script", "style"})
+#: Elements that may stand in a head; any other ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title head html".split())
 #: Elements around the article.
 ASIDE = frozenset("nav header footer aside form menu dialog".split())
 BLOCKS = frozenset(
@@ -48,6 +53,8 @@ MARKS = frozenset(
 NOT_MARKED, PERHAPS, MARKED = 0, 1, 2
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z]+")
+_NO_MARKUP = re.compile(r"<(script|style)\b.*?</\1|<!--.*?-->", re.S | re.I)
+_SILENT_END = re.compile(rf"</({'|'.join(sorted(SILENT))})(?=[\s/>])", re.I)
 
 
 class Node:
@@ -94,6 +101,38 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
         self.silent: list[str] = []
+        #: Blocks that began inside of the silent elements and are open.
+        self.inner: list[str] = []
+        #: End tags of silent elements that are still to come.
+        self.to_come: Counter[str] = Counter()
+
+    def feed(self, data: str) -> None:
+        self.to_come = Counter(tag.lower() for tag in _SILENT_END.findall(_NO_MARKUP.sub("", data)))
+        super().feed(data)
+
+    def set_cdata_mode(self, elem: str, **kinds) -> None:
+        if elem in RAW or self.to_come[elem.lower()]:
+            super().set_cdata_mode(elem, **kinds)
+
+    def _speak(self) -> None:
+        self.silent.clear()
+        self.inner.clear()
+
+    def _start_in_silence(self, tag: str) -> None:
+        """Ends silent elements left open that cannot hold what begins here."""
+        if "head" in self.silent and (tag == "body" or self.silent[-1] == "head" and tag not in IN_HEAD):
+            self._speak()
+        elif tag in BLOCKS and tag != "body":
+            while self.silent and self.silent[-1] not in RAW and not self.to_come[self.silent[-1]]:
+                if self.silent[-1] == "head":
+                    break
+                self.silent.pop()
+            if "head" in self.silent and self.silent[-1] == "head":
+                self._speak()
+            if self.silent:
+                self.inner.append(tag)
+            else:
+                self.inner.clear()
 
     def _leave(self, node: Node) -> None:
         self.at = node.parent or self.root
@@ -114,7 +153,13 @@ class Builder(HTMLParser):
         return node is not None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.silent:
+            self._start_in_silence(tag)
+        if self.silent and tag == self.silent[-1] and tag in ("button", "select"):
+            return  # these do not nest: the new one takes the place of the open one
         if self.silent or tag in ("html", "body"):
+            if self.silent == ["head"] and tag in SILENT and tag != "head":
+                self.silent.append(tag)
             return
         if tag in SILENT:
             self.silent.append(tag)
@@ -138,13 +183,25 @@ class Builder(HTMLParser):
                 self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
+        if tag in SILENT:
+            self.to_come[tag] -= 1
+        if self.silent and tag in BLOCKS:
+            if tag in self.inner:
+                while self.inner.pop() != tag:
+                    pass
+            elif self.silent[-1] not in RAW and self._inside(tag):
+                self._speak()  # the block around has ended
         if self.silent:
-            if tag == self.silent[-1]:
-                self.silent.pop()
+            if tag in self.silent:
+                del self.silent[self.silent.index(tag) :]
+                if not self.silent:
+                    self.inner.clear()
         elif tag not in VOID:
             self._end_open({tag}, frozenset() if tag in BLOCKS else BLOCKS)
 
     def handle_data(self, data: str) -> None:
+        if self.silent == ["head"] and data.strip():
+            self._speak()  # text ends a head
         if not self.silent:
             self.at.parts.append(data)
 

@@ -29,6 +29,9 @@ def test_the_article_without_what_is_around_it():
     assert text.split("\n\n") == [long.strip(), (long * 2).strip(), long.strip()]
 
 
+SILENCES = ("button", "select", "object", "iframe", "svg", "canvas", "datalist")
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [
@@ -47,6 +50,14 @@ def test_the_article_without_what_is_around_it():
         ("<article><header><h1>H</h1></header><p>P</p></article>", "H\n\nP"),
         ("<main><article><p>A</p></article><article><p>B b</p></article></main>", "A\n\nB b"),
         ("<div class='widget'><article><p>A</p></article></div>", "A"),
+        ("<html><head><title>T</title><meta charset=utf-8><body><article><p>Story.</p></article>", "Story."),
+        ("<head><title>T</title><link rel=x><article><p>Story.</p></article>", "Story."),
+        ("<head><script>x('<p>')</script><noscript><p>No</p></noscript></head><p>Story.</p>", "Story."),
+        ("<head><title>T</title>Story.", "Story."),
+        *((f"<article><div><{t}>Buy</div><p>Story.</p></article>", "Story.") for t in SILENCES),
+        *((f"<article><{t}>Buy<p>Story.</p></article>", "Story.") for t in SILENCES),
+        *((f"<article><{t}>Buy<p>No</p></{t}><p>Story.</p></article>", "Story.") for t in SILENCES),
+        ("<article><div><button>Buy</div><p>Story.</p><button>No</button><p>End.</p></article>", "Story.\n\nEnd."),
     ],
 )
 def test_odd_pages(html, text):
