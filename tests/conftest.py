@@ -1,4 +1,3 @@
-import datetime
 import sys
 from pathlib import Path
 
@@ -8,8 +7,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from ledgerlight import session as settings  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -56,7 +53,3 @@ def rows():
         return sorted((tuple(r) for r in picked.collect()), key=str)
 
     return read
-
-
-def seconds(text):
-    return datetime.datetime.fromisoformat(text).replace(tzinfo=datetime.timezone.utc).timestamp()

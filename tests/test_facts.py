@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from casebook import SMALL
 from ledgerlight import schemas
 from ledgerlight.operators import quality
 from ledgerlight.operators.reconcile import cost_measures, measure, reconcile

@@ -2,7 +2,7 @@ import re
 import random
 
 import pytest
-from conftest import seconds
+from casebook import seconds
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 

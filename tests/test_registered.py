@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 import compare
-from conftest import SMALL
+from casebook import SMALL
 from ledgerlight.testbed import oracle
 from ledgerlight.testbed import queries as registry
 
