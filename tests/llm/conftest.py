@@ -2,8 +2,6 @@ import random
 
 import pytest
 
-SMALL = "/root/testdata/sf0.001"
-
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that operators use inside.
 CLASHES = "row int, key int, size int, kept int, stratum int, _id int, _range int, before int, component_id int, word int"
