@@ -3,24 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import (
     chat_format,
     class_lm,
     cover_tree,
+    fill_middle,
     html_text,
     minhash_dedup,
     mixing,
     packing,
     quality_rules,
+    secret_ledger,
     suffix_dedup,
     token_counts,
+    vantage_kmeans,
 )
 from ledgerlight.llm.common import table
+from ledgerlight.session import shared_dir
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +90,42 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*base, *[f"max_{rule}" for rule in quality_rules.RULES])
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle forms of all documents, and the texts told back from them."""
+    rows = fill_middle.fill_middle(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"),
+    )
+
+
+def op12_vantage_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all vectors after ten rounds."""
+    return vantage_kmeans.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, by a ledger that begins empty."""
+    rows = secret_ledger.scan_history(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/ledger-{uuid4().hex}")
+    kinds = [rule.kind for rule in secret_ledger.BASE]
+    base = F.filter("findings", lambda x: x["kind"].isin(kinds))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("findings", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return rows.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *map(number, kinds),
+        F.sha2(secret_ledger.as_text(base), 256).alias("base_sha256"),
+        secret_ledger.as_text(F.col("findings")).alias("spans"),
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))

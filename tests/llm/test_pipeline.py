@@ -11,7 +11,7 @@ from ledgerlight.llm import oracle, queries
 
 
 def test_every_operator_has_a_query():
-    assert [int(name[2:].split("_")[0]) for name in queries.registered()] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in queries.registered()] == list(range(1, 14))
     assert {*queries.registered(), "pipeline"} <= set(contract.queries())
 
 
