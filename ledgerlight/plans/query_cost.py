@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight import schemas
@@ -33,7 +33,7 @@ from ledgerlight.operators.intervals import (
     utilization_sweep,
 )
 from ledgerlight.operators.pricing import PRICE_KEYS, price_usage
-from ledgerlight.session import cut_lineage
+from ledgerlight.session import staged
 from ledgerlight.sources.tables import conform
 
 
@@ -152,14 +152,18 @@ def warehouse_hour_cost(
     return hour_cost(priced, used)
 
 
-def attributed_hours(feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rules = Rules()) -> DataFrame:
+def attributed_hours(
+    feeds: QueryFeeds, lo: Instant, hi: Instant, rules: Rules = Rules(), latest: Column | None = None
+) -> DataFrame:
     """Attributed cost at the grain of statement and hour.
 
     The narrow columns of history are stored once in the shared folder; utilization,
     the totals of an hour and the parts of a statement are all read from there.
+    ``latest`` is the latest billed hour, which is looked up unless it is given.
     """
-    work = cut_lineage(narrow_work(feeds, lo, hi))
-    latest = warehouse_usage(feeds, lo, hi).agg(hour_of(F.max("usage_start_time"))).scalar()
+    work = staged(narrow_work(feeds, lo, hi))
+    if latest is None:
+        latest = warehouse_usage(feeds, lo, hi).agg(hour_of(F.max("usage_start_time"))).scalar()
     return attribute_cost(
         apportion_by_hour(work, rules.precision),
         warehouse_hour_cost(feeds, lo, hi, rules, work),

@@ -7,6 +7,7 @@ import re
 import shutil
 import tempfile
 from functools import lru_cache
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,10 +60,29 @@ def _own_folder() -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df``, for a frame that several later branches read."""
+_STAGED: list[str] = []
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder as a table and read from there.
+
+    For a frame that several later branches read: they share one computation, take the
+    columns they need, and a lost executor costs no rerun of it.  The table stays until
+    :func:`drop_staged`.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(spark)}/staged-{uuid4().hex}"
+    _STAGED.append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Remove what this process has staged, once the results made from it are written; how many tables."""
+    conf = spark._jsc.hadoopConfiguration()
+    for path in _STAGED:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    dropped = len(_STAGED)
+    _STAGED.clear()
+    return dropped

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlight.functions.time import Instant, as_column
 from ledgerlight.operators.versions import latest_version
-from ledgerlight.session import cut_lineage
+from ledgerlight.session import staged
 from ledgerlight.sources.tables import write_partitions
 
 MARKS = "source string, workspace_id string, high_mark timestamp"
@@ -54,30 +54,68 @@ def upsert_latest(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
 
 def upsert_partitions(
-    incoming: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition: str
+    incoming: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partition: str, follows_key: bool = False
 ) -> None:
     """Upsert into a partitioned parquet folder, rewriting only the partitions touched.
 
     A key is one row in the whole folder.  The partitions touched are those of the
-    incoming rows and those where their keys are now, which a read of keys alone finds;
-    their values become a filter of the scan.  A partition that its last row has left is
-    removed.
+    incoming rows and those where their keys are now; their values become a filter of
+    the scan.  A read of keys alone finds where keys are now.  ``follows_key`` says that
+    the partition is a function of the key, so that a key never moves and nothing has to
+    be looked up.  A partition that its last row has left is removed.
     """
     spark = incoming.sparkSession
-    if not _exists(spark, path):
+    if not exists(spark, path):
         write_partitions(latest_version(incoming, keys, order), path, [partition])
         return
     # the partition column is read from folder names: as text first, cast on the way
     stored = spark.read.schema(incoming.schema).parquet(path)
-    held = stored.select(*dict.fromkeys([*keys, partition])).join(incoming.select(*keys).distinct(), list(keys), "left_semi")
-    values = [r[0] for r in incoming.select(partition).union(held.select(partition)).distinct().collect()]
+    touched = incoming.select(partition)
+    if not follows_key:
+        held = stored.select(*dict.fromkeys([*keys, partition]))
+        touched = touched.union(held.join(incoming.select(*keys).distinct(), list(keys), "left_semi").select(partition))
+    values = _values(touched, partition)
+    merged = staged(latest_version(stored.filter(_is_in(partition, values)).unionByName(incoming), keys, order))
+    _replace(merged, path, partition, values)
+
+
+def replace_groups(incoming: DataFrame, path: str, groups: DataFrame | None, partition: str) -> None:
+    """Replace all rows of some groups in a partitioned parquet folder by ``incoming``.
+
+    ``groups`` has the key columns of each group and the partitions that rows of it may
+    be in; its other rows stay, and those of a group that ``incoming`` has no rows of go.
+    Only these partitions, and those of ``incoming``, are read and rewritten, by a
+    literal filter; one that its last row has left is removed.  None for ``groups``, or
+    no folder yet, writes ``incoming`` alone.
+    """
+    spark = incoming.sparkSession
+    if groups is None or not exists(spark, path):
+        write_partitions(incoming, path, [partition])
+        return
+    stored = spark.read.schema(incoming.schema).parquet(path)
+    values = _values(groups.select(partition).union(incoming.select(partition)), partition)
+    keys = [c for c in groups.columns if c != partition]
+    gone = groups.select(*[F.col(c).alias(f"__{c}") for c in keys]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in keys]
+    kept = stored.filter(_is_in(partition, values)).join(gone, same, "left_anti")
+    _replace(staged(kept.unionByName(incoming)), path, partition, values)
+
+
+def _values(rows: DataFrame, partition: str) -> list[object]:
+    """The distinct partitions of some rows: as many as there are folders, not rows."""
+    return [r[0] for r in rows.select(partition).distinct().collect()]
+
+
+def _is_in(partition: str, values: Sequence[object]) -> Column:
     chosen = F.col(partition).isin([v for v in values if v is not None])
-    if None in values:
-        chosen = chosen | F.col(partition).isNull()
-    merged = cut_lineage(latest_version(stored.filter(chosen).unionByName(incoming), keys, order))
-    write_partitions(merged, path, [partition])
-    left = {r[0] for r in merged.select(partition).distinct().collect()}
-    _drop_partitions(spark, path, partition, [v for v in values if v not in left])
+    return chosen | F.col(partition).isNull() if None in values else chosen
+
+
+def _replace(rows: DataFrame, path: str, partition: str, values: Sequence[object]) -> None:
+    """Write the new rows of some partitions, and remove those of them that have none."""
+    write_partitions(rows, path, [partition])
+    left = set(_values(rows, partition))
+    _drop_partitions(rows.sparkSession, path, partition, [v for v in values if v not in left])
 
 
 def stream_partial_sums(
@@ -115,6 +153,6 @@ def _drop_partitions(spark: SparkSession, path: str, partition: str, values: Seq
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)

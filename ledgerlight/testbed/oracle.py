@@ -540,6 +540,7 @@ S["token_usage_fact_closed"] = _TOKENS.format(match=_CLOSED, since="")
 S["index_cost_fact"] = f"""
 SELECT endpoint_id, endpoint_name, usage_date, workspace_id, workspace_name, sku_name, {money("units", "dollars")}
 FROM index_fact"""
+S["index_cost_stream"], S["token_usage_stream"] = S["index_cost_fact"], S["token_usage_fact"]
 S["bad_documents"] = """
 SELECT bad_line, count(*) AS lines FROM (SELECT left(props, 5) AS bad_line FROM ev WHERE k % 10 = 0)
 GROUP BY bad_line

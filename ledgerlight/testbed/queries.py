@@ -19,6 +19,7 @@ from ledgerlight.plans import (
     app_usage,
     assistant_cost,
     billing_facts,
+    billing_stream,
     incremental_cost,
     query_cost,
     reach,
@@ -28,7 +29,7 @@ from ledgerlight.plans import (
 from ledgerlight.plans.query_cost import QueryFeeds
 from ledgerlight.session import shared_dir
 from ledgerlight.sources import documents, tables
-from ledgerlight.streaming import incremental
+from ledgerlight.streaming import daily, incremental
 from ledgerlight.testbed.feeds import EVENTS_AS_OF, LINES_AS_OF, LINES_DAYS, Feeds
 
 Query = Callable[[Feeds], DataFrame]
@@ -722,30 +723,102 @@ def incremental_usage(feeds: Feeds) -> DataFrame:
     return incremental.read_partial_sums(spark, f"{folder}/sums", keys, list(sums))
 
 
+def _arriving(rows: DataFrame, at: str, late: Column) -> DataFrame:
+    """Rows with ``arrived_at``: when they happened, or for late ones a day after the first load."""
+    after = as_column(FIRST_LOAD) + F.expr("interval 1 day")
+    return rows.withColumn("arrived_at", F.when(F.coalesce(late, F.lit(False)), F.greatest(F.col(at), after)).otherwise(F.col(at)))
+
+
+def _one_in(n: int, *columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(n)) == 0
+
+
 @query
 def cost_per_query_incremental(feeds: Feeds) -> DataFrame:
-    """Cost per query in two loads, the second with later rows and late ones of every feed."""
+    """Cost per query in three loads.
+
+    The second follows the stored marks of the first to later and late rows of history,
+    events and billing.  The third corrects end times, deletes statements and events,
+    brings the earlier prices of a SKU, and billing from before the window.
+    """
     spark, whole = feeds.spark, feeds.query_feeds
-    folder = f"{shared_dir(spark)}/hours-{uuid4().hex}"
-
-    def early(rows: DataFrame, at: str, late: Column) -> tuple[DataFrame, DataFrame]:
-        known = (F.col(at) <= as_column(FIRST_LOAD)) & ~F.coalesce(late, F.lit(False))
-        return rows.filter(known), rows.filter(~known)
-
-    lateness = F.pmod(F.xxhash64("statement_id"), F.lit(50)) == 0
-    history = early(whole.history, "start_time", lateness)
-    events = early(whole.events, "event_time", F.pmod(F.xxhash64("event_time"), F.lit(50)) == 0)
-    usage = early(whole.usage, "usage_start_time", F.pmod(F.xxhash64("usage_start_time", "sku_name"), F.lit(50)) == 0)
-    first = QueryFeeds(history[0], events[0], usage[0], whole.prices)
-    changed = QueryFeeds(history[1], events[1], usage[1], whole.prices)
-    window = whole.window()
-    begun = (window[0], first.window()[1])
-    incremental_cost.refresh_hours(first, first, folder, 0, begun)
-    incremental_cost.refresh_hours(changed, whole, folder, 1, window, since=begun[1])
-    cost = incremental_cost.cost_from_hours(whole, folder, window)
+    folder = f"{shared_dir(spark)}/cost-{uuid4().hex}"
+    begins = as_column(whole.window()[0]) + F.expr("interval 2 days")
+
+    # what is wrong until the third load
+    wrong, extra = _one_in(40, "statement_id"), _one_in(60, "statement_id")
+    delayed = F.when(wrong, F.col("end_time") + F.expr("interval 6 hours")).otherwise(F.col("end_time"))
+    bogus = whole.history.filter(extra).withColumn("statement_id", F.concat(F.lit("gone-"), "statement_id"))
+    history = whole.history.withColumn("end_time", delayed).unionByName(bogus)
+    bogus_events = whole.events.filter(_one_in(20, "event_time")).withColumns(
+        {"event_time": F.col("event_time") + F.expr("interval 3 hours"), "cluster_count": F.lit(0)}
+    )
+    events = whole.events.unionByName(bogus_events)
+    early_prices = (F.col("sku_name") == "WH_1") & F.col("price_end_time").isNotNull()
+    old_billing = F.col("usage_start_time") < begins
+    prices, usage = whole.prices.filter(~early_prices), whole.usage.filter(~old_billing)
+
+    feed = {
+        "query_history": _arriving(history, "start_time", _one_in(50, "statement_id")),
+        "warehouse_events": _arriving(events, "event_time", _one_in(50, "event_time")),
+        "billing_usage": _arriving(usage, "usage_start_time", _one_in(50, "usage_start_time", "sku_name")),
+    }
+    first = {name: incremental.load_up_to(rows, "arrived_at", FIRST_LOAD) for name, rows in feed.items()}
+    incremental_cost.load_costs(folder, QueryFeeds(*first.values(), prices))
+    marks = incremental.no_marks(spark)
+    for name, rows in first.items():
+        marks = incremental.advance_marks(marks, rows, name, "arrived_at")
+    incremental_cost.save_marks(marks, f"{folder}/marks", 0)
+
+    marks = incremental_cost.read_marks(spark, f"{folder}/marks", 0)
+    new = [incremental.rows_after_marks(rows, marks, name, "arrived_at", overlap="0 seconds") for name, rows in feed.items()]
+    second = QueryFeeds(*feed.values(), prices)
+    incremental_cost.load_costs(folder, second, QueryFeeds(*new, prices.limit(0)))
+
+    corrected = whole.history.filter(wrong)
+    changed = QueryFeeds(
+        incremental_cost.both_versions(history, corrected, ["statement_id"], deleted=bogus),
+        bogus_events,
+        whole.usage.filter(old_billing),
+        whole.prices.filter(early_prices),
+    )
+    incremental_cost.load_costs(folder, whole, changed)
+    cost = incremental_cost.read_costs(spark, folder)
     return cost.withColumn("hours", F.size("statement_hour_bucket_costs")).drop("statement_hour_bucket_costs")
 
 
+def _streamed(feeds: Feeds, fact: daily.DailyFact) -> DataFrame:
+    """Sums of a daily fact after three runs over files in the order of arrival.
+
+    The lines of each half of the days come by themselves; one in thirty is late and
+    comes last, up to years after its day.
+    """
+    spark, folder = feeds.spark, f"{shared_dir(feeds.spark)}/daily-{uuid4().hex}"
+    lines, landed = feeds.billing_lines, f"{folder}/landed"
+    late = _one_in(30, "usage_start_time", "usage_metadata.endpoint_id", "identity_metadata.run_as")
+    middle = as_column(f"{LINES_AS_OF}") - F.make_interval(days=F.lit(LINES_DAYS // 2))
+    first = F.col("usage_start_time") < middle
+    for part in (~late & first, ~late & ~first, late):
+        lines.filter(part).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(lines.schema).parquet(landed)
+        daily.run_daily(fact, stream, spark.read.schema(lines.schema).parquet(landed), folder, "3 days")
+    return fact.read(spark, folder)
+
+
+@query
+def index_cost_stream(feeds: Feeds) -> DataFrame:
+    """Index cost kept by an event-time stream, with late lines."""
+    fact = billing_stream.index_stream_fact(feeds.list_prices, LINES_AS_OF, LINES_DAYS, "year")
+    return billing_facts.index_fact_of(_streamed(feeds, fact), feeds.workspaces)
+
+
+@query
+def token_usage_stream(feeds: Feeds) -> DataFrame:
+    """Token usage kept by an event-time stream, with late lines."""
+    fact = billing_stream.token_stream_fact(feeds.list_prices, LINES_AS_OF, LINES_DAYS, "year")
+    return billing_facts.token_fact_of(_streamed(feeds, fact), feeds.spaces)
+
+
 @query
 def incremental_marks(feeds: Feeds) -> DataFrame:
     """Rows that a first load and the load after its marks read, by workspace."""

@@ -162,15 +162,19 @@ def test_stream_sums_survive_reruns_and_take_late_files(spark, tmp_path, rows):
     assert run() == [("d1", 3, 13), ("d2", 1, 3)]
 
 
-def test_cut_lineage_reads_from_the_shared_folder(spark):
-    from ledgerlight.session import cut_lineage, shared_dir
+def test_staged_rows_are_in_the_shared_folder_until_dropped(spark):
+    from pathlib import Path
+
+    from ledgerlight.session import drop_staged, shared_dir, staged
 
     configured = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark) == configured
-    cut = cut_lineage(spark.range(10).filter("id > 3"))
-    assert cut.count() == 6
-    assert "Range" not in cut._jdf.queryExecution().optimizedPlan().toString()
-    assert spark.sparkContext.getCheckpointDir().removeprefix("file:").startswith(configured)
+    drop_staged(spark)
+    rows = staged(spark.range(10).filter("id > 3"))
+    assert rows.count() == 6
+    assert "Range" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert list(Path(configured).glob("staged-*"))
+    assert drop_staged(spark) == 1 and not list(Path(configured).glob("staged-*"))
 
 
 def test_marks_are_stored_by_load(spark, tmp_path, rows, frame):
