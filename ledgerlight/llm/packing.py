@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -28,16 +29,19 @@ BYTE_LETTERS = {
 }
 #: Latin letters end here; their lower case and classes are old and the same everywhere.
 LATIN_END = "\u0250"
+#: Stands between the ids of two words.
+GAP = b"\xff" * 4
 PIECE = "row_number bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-class WordTokens(dict):
-    """Ids by word, found when first asked for, and so ids of whole texts, one word between white space at a time.
+class WordTokens:
+    """Ids of texts, found once for each distinct word between white space.
 
     The tokenizer file splits at white space and drops it, so a text has the ids of its
     words one after the other.  Words in composed Latin letters are lowered, split by the
     pattern of the file and their parts go to its model; for any other word the tokenizer
-    itself is asked.
+    itself is asked.  Words are remembered in two generations, so that frequent ones stay
+    when there are too many.
     """
 
     def __init__(self, path: str) -> None:
@@ -45,39 +49,78 @@ class WordTokens(dict):
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.pattern = regex.compile(PATTERN)
-        self.parts: dict[str, bytes] = {}
-
-    def of_part(self, part: str) -> bytes:
-        found = self.parts.get(part)
-        if found is None:
-            spelt = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
-            found = b"".join(token.id.to_bytes(4, "little") for token in self.model.tokenize(spelt))
-            self.parts[part] = found
+        self.pattern = regex.compile(f" |{PATTERN}")
+        self.words: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {" ": GAP}
+
+    def texts(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian 32-bit ids of each text, END last; null is empty."""
+        words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = pa.array(self.of_words(distinct), pa.binary()).take(coded.indices)
+        edges = np.concatenate(([0], np.cumsum(words.value_lengths().to_numpy())))
+        places = np.frombuffer(ids.buffers()[1], np.int32)[edges] if len(ids) else edges
+        data, end = memoryview(ids.buffers()[2] or b"" if len(ids) else b""), END.to_bytes(4, "little")
+        return [bytes(data[x:y]) + end for x, y in zip(places[:-1].tolist(), places[1:].tolist(), strict=True)]
+
+    def of_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words."""
+        found = list(map(self.words.get, words))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if self.older:
+            for k in missing:
+                found[k] = self.older.get(words[k])
+        new = [k for k in missing if found[k] is None]
+        for k, ids in zip(new, self.of_new([words[k] for k in new]), strict=True):
+            found[k] = ids
+        if len(self.words) + len(missing) > MOST_WORDS // 2:
+            self.older, self.words = self.words, {b"": b""}
+        self.words.update((words[k], found[k]) for k in missing)
         return found
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= MOST_WORDS:
-            self.clear()
-            self.parts.clear()
-        found = self[word] = self.of_word(word)
+    def of_new(self, words: list[bytes]) -> list[bytes]:
+        found: list[bytes | None] = [None] * len(words)
+        if len(self.parts) > MOST_WORDS:
+            self.parts = {" ": GAP}
+        # ASCII letters: the whole of the word is one part
+        letters = [k for k, w in enumerate(words) if w.isalpha()]
+        if letters:
+            lowered = b" ".join([words[k] for k in letters]).lower().decode().split(" ")
+            self._find(set(lowered).difference(self.parts))
+            for k, part in zip(letters, lowered, strict=True):
+                found[k] = self.parts[part]
+        others = [k for k, ids in enumerate(found) if ids is None]
+        texts = [words[k].decode("utf-8", "replace") for k in others]
+        plain = [_is_plain(t) for t in texts]
+        parts = self.pattern.findall(" ".join([t for t, is_plain in zip(texts, plain, strict=True) if is_plain]).lower())
+        self._find(set(parts).difference(self.parts))
+        # no id has four bytes of ones, so these split the words and nothing else
+        ids = iter(b"".join(map(self.parts.__getitem__, parts)).split(GAP))
+        for k, t, is_plain in zip(others, texts, plain, strict=True):
+            found[k] = next(ids) if is_plain else self.of_odd(t)
         return found
 
-    def of_word(self, word: bytes) -> bytes:
-        if word.isalpha():  # ASCII letters, the whole of the word one part
-            return self.of_part(word.lower().decode())
-        if word[-1:] in (b".", b",") and word[:-1].isalpha():
-            return self.of_part(word[:-1].lower().decode()) + self.of_part(word[-1:].decode())
-        text = word.decode("utf-8", "replace")
-        plain = word.isascii() or (max(text) < LATIN_END and unicodedata.is_normalized("NFC", text))
-        if plain and text.isprintable() and "<|" not in text:
-            return b"".join(map(self.of_part, self.pattern.findall(text.lower())))
-        ids = self.whole.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+    def _find(self, parts: set[str]) -> None:
+        """Ask the model for the ids of parts."""
+        tokenize, ids, ends = self.model.tokenize, [], [0]
+        for part in parts:
+            spelt = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids += [token.id for token in tokenize(spelt)]
+            ends.append(4 * len(ids))
+        data = np.array(ids, "<u4").tobytes()
+        self.parts.update((part, data[x:y]) for part, x, y in zip(parts, ends, ends[1:]))
+
+    def of_odd(self, text: str) -> bytes:
+        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
 
-    def ids(self, text: bytes) -> bytes:
-        """Little-endian 32-bit ids of a text, END last."""
-        return b"".join(map(self.__getitem__, text.split())) + END.to_bytes(4, "little")
+def _is_plain(text: str) -> bool:
+    """Whether a word is printable, of composed Latin letters, and holds no special token."""
+    if not text.isascii() and not (max(text) < LATIN_END and unicodedata.is_normalized("NFC", text)):
+        return False
+    return text.isprintable() and "<|" not in text
 
 
 _TOKENS: dict[str, WordTokens] = {}
@@ -103,13 +146,14 @@ class Packer:
     def __init__(self, first: int) -> None:
         self.next = first
         self.counts = np.zeros(WINDOW + 1, np.int64)
+        self.levels = np.zeros(0, np.int64)  # those with a window, in order
         self.open: dict[int, list[list[tuple]]] = {}
         self.n_open = 0
 
     def level_for(self, n: int) -> int:
         """The level to put ``n`` ids on; 0 for a new window."""
         counts = self.counts
-        have = np.flatnonzero(counts[1 : WINDOW - n + 1]) + 1
+        have = self.levels[: np.searchsorted(self.levels, WINDOW - n, "right")]
         if not len(have):
             return 0
         # a window that becomes full leaves the levels, and so adds nothing
@@ -118,6 +162,15 @@ class Packer:
         at = int(np.argmin(growth))
         return int(have[at]) if growth[at] <= 2 * counts[n] + 1 else 0
 
+    def count(self, level: int, more: int) -> None:
+        """One window more or less at a level."""
+        had = self.counts[level]
+        self.counts[level] += more
+        self.n_open += more
+        if not had or not had + more:
+            at = np.searchsorted(self.levels, level)
+            self.levels = np.insert(self.levels, at, level) if not had else np.delete(self.levels, at)
+
     def closed(self, pieces: list[tuple]) -> Iterator[tuple]:
         offset = 0
         for row, start, ids, total in pieces:
@@ -137,13 +190,12 @@ class Packer:
         level = self.level_for(n)
         pieces = self.open[level].pop() if level else []
         pieces.append((row, full, ids[4 * full :], total))
-        self.counts[level] -= level > 0
-        self.n_open -= level > 0
+        if level:
+            self.count(level, -1)
         if level + n == WINDOW:
             yield from self.closed(pieces)
             return
-        self.counts[level + n] += 1
-        self.n_open += 1
+        self.count(level + n, 1)
         self.open.setdefault(level + n, []).append(pieces)
         if self.n_open > MOST_OPEN:
             yield from self.rest()
@@ -166,6 +218,7 @@ class Packer:
                     window = []
         self.open, self.n_open = {}, 0
         self.counts[:] = 0
+        self.levels = self.levels[:0]
 
 
 def _packed(path: str):
@@ -180,10 +233,9 @@ def _packed(path: str):
             )
 
         rows: list[tuple] = []
-        for batch in slices(batches, "text", 1 << 21):
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for doc, text in zip(batch.column("row_number").to_pylist(), texts, strict=True):
-                rows += packer.add(doc, tokens.ids(text or b""))
+        for batch in slices(batches, "text", 1 << 23):
+            for doc, ids in zip(batch.column("row_number").to_pylist(), tokens.texts(batch.column("text")), strict=True):
+                rows += packer.add(doc, ids)
                 if len(rows) >= 2000:
                     yield table(rows)
                     rows = []

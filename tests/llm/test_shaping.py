@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -177,7 +178,22 @@ def test_pieces_are_the_ids_of_the_documents(docs, corpus, odd, none):
 def test_word_by_word_ids_are_those_of_the_text(text):
     path = public_tokenizers.path("word_bpe_49k.json")
     want = [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, packing.END]
-    assert np.frombuffer(packing.WordTokens(path).ids(text.encode()), "<u4").tolist() == want
+    tokens = packing.WordTokens(path)
+    for texts in ([text], ["", text, None, f" \n{text} "], [text] * 3):
+        got = tokens.texts(pa.array(texts, pa.string()))
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [want if t and t.strip() else [packing.END] for t in texts]
+
+
+def test_words_are_remembered_in_bounds(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, rng = Tokenizer.from_file(path), random.Random(4)
+    monkeypatch.setattr(packing, "MOST_WORDS", 40)
+    tokens = packing.WordTokens(path)
+    for _ in range(30):
+        texts = [" ".join("".join(rng.choices("abÉ日'1.", k=rng.randint(1, 3))) for _ in range(30)) for _ in range(3)]
+        got = [np.frombuffer(g, "<u4").tolist() for g in tokens.texts(pa.array(texts).slice(1))]
+        assert got == [[*whole.encode(t, add_special_tokens=False).ids, packing.END] for t in texts[1:]]
+        assert len(tokens.words) <= 20 + 90 and len(tokens.older) <= 20 + 90
 
 
 def test_the_packer_takes_the_level_of_the_least_sum_of_squares():
