@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,60 +26,60 @@ ROUNDS = 2
 SPELLINGS, CLASSES = 256, 48
 ADDED, ADDED_STEP = 0.1, 0.5
 #: Words whose counts a task holds before it hands them on.
-MOST_WORDS = 200_000
-#: No word is empty, so this stands for the end of a text.
-END = b""
+MOST_WORDS = 1_000_000
+#: Bytes of text that a task turns into numbers at once.
+AT_ONCE = 1 << 21
+#: In a path, the class of a word that is not known is a guess by its spelling, and marked.
+GUESS = 128
+#: Words are told by 64-bit fingerprints; this stands for the end of a text.
+END = 0
+CODED = "key bigint, doc_id bigint, units binary, rare binary, spelling binary"
 
 
 def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+def _summed(keys: Iterator[np.ndarray], name: str, kind: type, most: int) -> Iterator[pa.RecordBatch]:
+    """(key, n) of what a task has, summed over every ``most`` keys or more."""
+    held, total = [], 0
 
     def table() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"]
-        )
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found.astype(kind)), pa.array(n)], names=[name, "n"])
 
-    for batch in slices(batches, "text", 1 << 21):
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), text_bytes(batch.column("text")), strict=True):
-            if not held_out(doc_id):
-                counts.update(text.lower().split())
-                counts[END] += 1
-        if len(counts) > MOST_WORDS:
+    for part in keys:
+        held.append(part)
+        total += len(part)
+        if total > most:
             yield table()
-            counts.clear()
-    if counts:
+            held, total = [], 0
+    if held:
         yield table()
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n) over the training documents."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(_counts, "word binary, n bigint")
-    return stored(rows.groupBy("word").agg(F.sum("n").alias("n")))
+def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the words of each text, never END, and where each text ends."""
+    hashes, ends = word_hashes(texts)
+    return np.maximum(hashes, U64(1)).view(np.int64), ends
 
 
-def unit_index(known: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted fingerprints of the known words and their units: the k-th is k + 1."""
-    hashes = word_hashes([b" ".join(known)])[0] if known else np.empty(0, np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], (order + 1).astype(np.int64)
+def _training_words(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    for batch in slices(batches, "text", AT_ONCE):
+        ids = batch.column("doc_id").to_pylist()
+        texts = [t for i, t in zip(ids, text_bytes(batch.column("text")), strict=True) if not held_out(i)]
+        if texts:
+            yield np.append(_hashed(texts)[0], np.full(len(texts), END))
 
 
-def text_units(texts: list[bytes], index: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Units of the words of each text, 0 after each, and where each text ends.
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _summed(_training_words(batches), "word", np.int64, 4 * MOST_WORDS)
 
-    A word that is not known has the unit after the last.
-    """
-    hashes, ends = word_hashes(texts)
-    keys, units = index
-    found = np.full(len(hashes), len(keys) + 1)
-    if len(keys):
-        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-        found = np.where(keys[at] == hashes, units[at], found)
-    return np.insert(found, ends, 0), ends + np.arange(1, len(ends) + 1)
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) over the training documents; a word is its fingerprint."""
+    rows = docs.mapInArrow(_counts, "word bigint, n bigint")
+    return stored(rows.groupBy("word").agg(F.sum("n").alias("n")))
 
 
 def _spellings(texts: list[bytes]) -> np.ndarray:
@@ -91,50 +91,70 @@ def _spellings(texts: list[bytes]) -> np.ndarray:
     for back in (1, 2, 3):
         at = ends - back
         key = key * U64(257) + np.where(at >= starts, data[np.maximum(at, 0)], 32)
-    return ((key * U64(0x9E3779B97F4A7C15) >> U64(40)) % U64(SPELLINGS)).astype(np.int64)
+    return ((key * U64(0x9E3779B97F4A7C15) >> U64(40)) % U64(SPELLINGS)).astype(np.uint8)
 
 
-def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
-    for batch in slices(batches, "text", 1 << 20):
-        ids = batch.column("doc_id").to_pylist()
-        texts = [t for i, t in zip(ids, text_bytes(batch.column("text")), strict=True) if not held_out(i)]
-        if texts:
-            yield texts
+def _coded(known):
+    """Each text as units: 0 for its end, k + 1 for the k-th known word, the last unit for any other.
 
+    Beside them stand the fingerprints and spellings of the others, in order.
+    """
 
-def _sequences(index):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts in _training(batches):
-            units = text_units(texts, index.value)[0].astype(np.uint16)  # KNOWN fits
-            yield pa.RecordBatch.from_arrays([pa.array([units.tobytes()], pa.binary())], names=["units"])
+        keys, row = known.value, TaskContext.get().partitionId() << 40
+        order = np.argsort(keys)
+        ordered = keys[order]
+        for batch in slices(batches, "text", AT_ONCE):
+            texts = text_bytes(batch.column("text"))
+            hashes, ends = _hashed(texts)
+            units = np.full(len(hashes), len(keys) + 1, np.uint16)  # KNOWN fits
+            if len(keys):
+                at = np.minimum(np.searchsorted(ordered, hashes), len(keys) - 1)
+                units = np.where(ordered[at] == hashes, order[at] + 1, units).astype(np.uint16)
+            is_rare = units == len(keys) + 1
+            rare, spelt = hashes[is_rare], _spellings(texts)[is_rare]
+            upto = np.searchsorted(np.flatnonzero(is_rare), ends)
+            whole, over = np.insert(units, ends, 0), ends + np.arange(1, len(ends) + 1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.arange(row, row + len(texts))),
+                    batch.column("doc_id"),
+                    *(_cut(values, places) for values, places in ((whole, over), (rare, upto), (spelt, upto))),
+                ],
+                names=[part.split()[0] for part in CODED.split(", ")],
+            )
+            row += len(texts)
 
     return emit
 
 
-def _before(units: np.ndarray) -> np.ndarray:
-    """What comes before each: the end of a text before the first."""
-    return np.concatenate((np.zeros(1, units.dtype), units[:-1]))
+def _cut(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of an array, cut after each of ``ends``."""
+    edges = (np.append(0, ends) * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(edges), pa.py_buffer(values.tobytes())])
 
 
-def _summed(cells: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(cell, n), summed over parts of what a task has."""
-    held: list[np.ndarray] = []
+def _joined(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The arrays of a column one after the other, and where each ends."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(kind).itemsize
+    return np.frombuffer(b"".join(column.to_pylist()), kind), np.cumsum(sizes)
 
-    def table() -> pa.RecordBatch:
-        found, n = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(n)], names=["cell", "n"])
 
-    for part in cells:
-        held.append(part)
-        if sum(map(len, held)) > 2_000_000:
-            yield table()
-    if held:
-        yield table()
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of training documents, in slices."""
+    for batch in slices(batches, "units", AT_ONCE):
+        kept = [not held_out(i) for i in batch.column("doc_id").to_pylist()]
+        if any(kept):
+            yield batch.filter(pa.array(kept))
 
 
-def _arrays(batches: Iterator[pa.RecordBatch], column: str, kind: type) -> Iterator[np.ndarray]:
-    return (np.frombuffer(x, kind).astype(np.int32) for batch in batches for x in batch.column(column).to_pylist())
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    return (_joined(batch.column("units"), np.uint16)[0].astype(np.int32) for batch in _trained(batches))
+
+
+def _before(units: np.ndarray) -> np.ndarray:
+    """What comes before each: the end of a text before the first."""
+    return np.concatenate((np.zeros(1, units.dtype), units[:-1]))
 
 
 def _pairs(core: int):
@@ -145,7 +165,7 @@ def _pairs(core: int):
         both = (before < core) & (units < core)
         return before[both] * core + units[both]
 
-    return lambda batches: _summed(map(cells, _arrays(batches, "units", np.uint16)))
+    return lambda batches: _summed(map(cells, _units(batches)), "cell", np.int32, 2_000_000)
 
 
 def _contexts(core: int, shared):
@@ -161,57 +181,66 @@ def _contexts(core: int, shared):
             made.append(((units[at] - core) * 2 + side) * CLASSES + near[at])
         return np.concatenate(made)
 
-    return lambda batches: _summed(map(cells, _arrays(batches, "units", np.uint16)))
+    return lambda batches: _summed(map(cells, _units(batches)), "cell", np.int32, 2_000_000)
 
 
-def _rest(model):
+def _rest(classes):
     """(word, near) of each training token that is not known: the classes after and before it."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, of = model.value
-        for texts in _training(batches):
-            units, ends = text_units(texts, index)
+        of = classes.value
+        for batch in _trained(batches):
+            units = _joined(batch.column("units"), np.uint16)[0]
+            rare = _joined(batch.column("rare"), np.int64)[0]
+            spelt = _joined(batch.column("spelling"), np.uint8)[0]
             found = of[units]
             at = np.flatnonzero(units == len(of) - 1)
-            # CLASSES stands for a class that is not known
+            # CLASSES stands for a class that is not known; no text ends with a rare unit
             after, before = (np.where(x < 0, CLASSES, x) for x in (found[np.minimum(at + 1, len(units) - 1)], _before(found)[at]))
-            words = _words_at(texts, ends, at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array((after * (CLASSES + 1) + before).astype(np.int32))], names=["word", "near"]
-            )
+            near = (after.astype(np.int32) * (CLASSES + 1) + before) * SPELLINGS + spelt
+            yield pa.RecordBatch.from_arrays([pa.array(rare), pa.array(near.astype(np.int32))], names=["word", "near"])
 
     return emit
 
 
-def _words_at(texts: list[bytes], ends: np.ndarray, at: np.ndarray) -> list[bytes]:
-    """The words at places of the units of ``texts``."""
-    words: list[bytes] = []
-    edges = np.searchsorted(at, ends).tolist()
-    start = first = 0
-    for text, end, edge in zip(texts, ends.tolist(), edges, strict=True):
-        if edge > first:
-            own = text.lower().split()
-            words += [own[k - start] for k in at[first:edge].tolist()]
-        start, first = end, edge
-    return words
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Sorted batches as tables that hold each key whole."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        cut = int(np.searchsorted(keys, keys[-1]))
+        if cut or (held and held[-1].column(key)[-1].as_py() != keys[-1]):
+            held.append(batch.slice(0, cut))
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
 
 def _chosen(table):
-    """(word, n, class, spelling) from the neighbours of each word."""
+    """(word, n, class, spelling) from the neighbours of each word; rows come sorted by word."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 4096):
-                batch = whole.slice(start, 4096)
-                words, lists = batch.column("word").to_pylist(), batch.column("near")
-                n = np.asarray(lists.value_lengths()).astype(np.int64)
-                near = np.asarray(lists.flatten()).astype(np.int64)
+        for group in _groups(batches, "word"):
+            words, near = group.column("word").to_numpy(), group.column("near").to_numpy()
+            edges = np.append(np.flatnonzero(np.diff(words, prepend=words[0] - 1)), len(words))
+            for start in range(0, len(edges) - 1, 4096):
+                upto = min(start + 4096, len(edges) - 1)
+                n = np.diff(edges[start : upto + 1])
+                part = near[edges[start] : edges[upto]].astype(np.int64)
                 row = np.repeat(np.arange(len(n)), n)
                 wide = CLASSES + 1
-                after, before = (np.bincount(row * wide + x, minlength=len(n) * wide).reshape(-1, wide)[:, :CLASSES] for x in (near // wide, near % wide))
+                after, before = (
+                    np.bincount(row * wide + x, minlength=len(n) * wide).reshape(-1, wide)[:, :CLASSES]
+                    for x in (part // SPELLINGS // wide, part // SPELLINGS % wide)
+                )
                 of = best_classes(table.value, after, before)
+                firsts = edges[start:upto]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("word"), pa.array(n), pa.array(of.astype(np.int32)), pa.array(_spellings([b" ".join(words)]).astype(np.int32))],
+                    [pa.array(words[firsts]), pa.array(n), pa.array(of.astype(np.int32)), pa.array(near[firsts] % SPELLINGS)],
                     names=["word", "n", "class", "spelling"],
                 )
 
@@ -298,88 +327,94 @@ def best_classes(table: np.ndarray, after: np.ndarray, before: np.ndarray) -> np
     return np.argmax(gain, axis=1)
 
 
-def _rows(model):
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, place, word) of each token that is not known: its document and its number among these."""
+    for batch in slices(batches, "rare", AT_ONCE):
+        rare, ends = _joined(batch.column("rare"), np.int64)
+        if not len(rare):
+            continue
+        sizes = np.diff(ends, prepend=0)
+        place = np.arange(len(rare)) - np.repeat(ends - sizes, sizes)
+        keys = np.repeat(batch.column("key").to_numpy(), sizes)
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(place.astype(np.int32)), pa.array(rare)], names=["key", "place", "word"])
+
+
+def _heads(model):
+    """(key, -1, doc_id, path, log, seen) of each document: what is known without its rare words."""
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, of, logs, seen, unseen = model.value
-        row = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, "text", 1 << 20):
-            texts = text_bytes(batch.column("text"))
-            units, ends = text_units(texts, index)
+        of, logs, seen, unseen = model.value
+        for batch in slices(batches, "units", AT_ONCE):
+            units, ends = _joined(batch.column("units"), np.uint16)
             starts = np.concatenate(([0], ends[:-1]))
             path = of[units]
-            at = np.flatnonzero(units == len(of) - 1)
-            path[units != 0] = np.where(path[units != 0] < 0, unseen[_spellings(texts)], path[units != 0])
-            path = path.astype(np.uint8)
-            keys, words, places = [], [], []
-            owner = np.searchsorted(ends, at, "right")
-            own: dict[tuple[int, bytes], list[int]] = {}
-            for k, word, place in zip(owner.tolist(), _words_at(texts, ends, at), (at - starts[owner]).tolist(), strict=True):
-                own.setdefault((k, word), []).append(place)
-            for (k, word), found in own.items():
-                keys.append(row + k)
-                words.append(word)
-                places.append(np.array(found, np.int32).tobytes())
-            size = len(texts)
-            heads = range(row, row + size)
-            none = [None] * len(keys)
+            path[units == len(of) - 1] = GUESS + unseen[_joined(batch.column("spelling"), np.uint8)[0]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([*heads, *keys], pa.int64()),
-                    pa.array([*(b" %d" % k for k in heads), *words], pa.binary()),
-                    pa.array([True] * size + [False] * len(keys)),
-                    pa.array([*batch.column("doc_id").to_pylist(), *none], pa.int64()),
-                    pa.array([*(path[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), *places], pa.binary()),
-                    pa.array([*np.add.reduceat(logs[units], starts).tolist(), *none], pa.float64()),
-                    pa.array([*np.add.reduceat(seen[units], starts).tolist(), *none], pa.int64()),
+                    batch.column("key"),
+                    pa.array(np.full(len(ends), -1, np.int32)),
+                    pa.array(np.zeros(len(ends), np.int64)),
+                    pa.array(np.zeros(len(ends), np.int32)),
+                    batch.column("doc_id"),
+                    _cut(path.astype(np.uint8), ends),
+                    pa.array(np.add.reduceat(logs[units], starts)),
+                    pa.array(np.add.reduceat(seen[units], starts)),
                 ],
-                names=["key", "word", "head", "doc_id", "path", "log", "seen"],
+                names=HEAD_NAMES,
             )
-            row += size
 
     return emit
 
 
+HEAD = "key bigint, place int, n bigint, class int, doc_id bigint, path binary, log double, seen bigint"
+HEAD_NAMES = [part.split()[0] for part in HEAD.split(", ")]
+FOUND = "doc_id bigint, n_tokens bigint, n_known bigint, log double, path binary"
+
+
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The path of each document with the classes that its rarer words have met."""
-    for batch in slices(batches, "path", 1 << 20):
-        whole, ends = _joined(batch.column("path"))
-        lists = batch.column("found")
-        data, upto = _joined(lists.flatten())
-        if len(upto):
-            sizes = np.diff(upto, prepend=0)
-            first = np.zeros(len(data), bool)
-            first[upto - sizes] = True
-            document = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
-            places = np.frombuffer(data[~first].tobytes(), np.int32) + np.repeat(np.append(0, ends)[document], sizes // 4)
-            whole[places] = np.repeat(data[first], sizes // 4)
-        names = ["doc_id", "n_tokens", "n_known", "log"]
-        paths = [x.tobytes() for x in np.split(whole, ends[:-1])]
-        yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(paths, pa.binary())], names=[*names, "path"])
-
-
-def _joined(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    found = values.to_pylist()
-    return np.frombuffer(b"".join(found), np.uint8).copy(), np.cumsum(np.array([len(x) for x in found], np.int64))
+    """The path of each document with the classes that its rare words have met; rows come sorted by document."""
+    for group in _groups(batches, "key"):
+        place = group.column("place").to_numpy()
+        at = np.flatnonzero(place < 0)
+        heads = group.take(pa.array(at)).combine_chunks().to_batches()[0]
+        path, ends = _joined(heads.column("path"), np.uint8)
+        path = path.copy()
+        row = np.cumsum(place < 0) - 1
+        words = place >= 0
+        n = group.column("n").to_numpy()
+        met = words & (n > 0)
+        # the rare words of a document are the marked places of its path, in order
+        marked = np.flatnonzero(path >= GUESS)
+        first = np.searchsorted(marked, np.append(0, ends[:-1]))
+        path[marked] -= GUESS
+        path[marked[first[row[met]] + place[met]]] = group.column("class").to_numpy()[met]
+        size = len(at)
+        log = heads.column("log").to_numpy() + np.bincount(row[words], np.log10(n[words] + ADDED), size)
+        known = heads.column("seen").to_numpy() + np.bincount(row[met], minlength=size)
+        yield pa.RecordBatch.from_arrays(
+            [heads.column("doc_id"), pa.array(np.diff(ends, prepend=0)), pa.array(known.astype(np.int64)), pa.array(log), _cut(path, ends)],
+            names=[part.split()[0] for part in FOUND.split(", ")],
+        )
 
 
 def _class_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     steps = np.zeros(CLASSES * CLASSES, np.int64)
-    for batch in batches:
-        for doc_id, path in zip(batch.column("doc_id").to_pylist(), batch.column("path").to_pylist(), strict=True):
-            if not held_out(doc_id):
-                found = np.frombuffer(path, np.uint8).astype(np.int64)
-                steps += np.bincount(_before(found) * CLASSES + found, minlength=len(steps))
+    for batch in slices(batches, "path", AT_ONCE):
+        kept = pa.array([not held_out(i) for i in batch.column("doc_id").to_pylist()])
+        # a path ends with class 0, so what comes before the next one's first word is right
+        found = _joined(batch.column("path").filter(kept), np.uint8)[0].astype(np.int64)
+        steps += np.bincount(_before(found) * CLASSES + found, minlength=len(steps))
     cells = np.flatnonzero(steps)
     yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(steps[cells])], names=["cell", "n"])
 
 
 def _path_logs(step_log):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.frombuffer(x, np.uint8) for x in batch.column("path").to_pylist()]
-            logs = [float(step_log.value[_before(x), x].sum()) for x in found]
+        for batch in slices(batches, "path", AT_ONCE):
+            found, ends = _joined(batch.column("path"), np.uint8)
+            logs = np.add.reduceat(step_log.value[_before(found), found], np.append(0, ends[:-1]))
             names = ["doc_id", "n_tokens", "n_known", "log"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(logs, pa.float64())], names=[*names, "path"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(logs)], names=[*names, "path"])
 
     return emit
 
@@ -405,31 +440,23 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.where((F.col("n") > tied) | (F.col("n") == tied) & near)
 
 
-def word_classes(docs: DataFrame, counts: DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray, DataFrame]:
-    """The known words, their counts, their classes and (word, n, class, spelling) of all others."""
-    share = docs.sparkSession.sparkContext.broadcast
-    top = most_frequent(counts, KNOWN).toArrow()
-    n = top.column("n").to_numpy()
-    order = np.argsort(-n, kind="stable")
-    words = top.column("word").to_pylist()
-    known = [bytes(words[k]) for k in order]
-    index = share(unit_index(known))
-    core = 1 + min(CORE, len(known))
-    sequences = stored(docs.mapInArrow(_sequences(index), "units binary"))
-
-    steps = _gathered(sequences.mapInArrow(_pairs(core), "cell int, n bigint"), core * core).reshape(core, core)
-    of = np.full(len(known) + 2, -1)
+def word_classes(coded: DataFrame, known: int) -> tuple[np.ndarray, DataFrame]:
+    """The classes of all units and (word, n, class, spelling) of all words without one."""
+    share = coded.sparkSession.sparkContext.broadcast
+    core = 1 + min(CORE, known)
+
+    steps = _gathered(coded.mapInArrow(_pairs(core), "cell int, n bigint"), core * core).reshape(core, core)
+    of = np.full(known + 2, -1)
     of[:core] = exchange(steps)
     table = class_steps(steps, of[:core], CLASSES)  # none of the words that choose below is in it
-    more = len(known) + 1 - core
+    more = known + 1 - core
     for _ in range(ROUNDS if more else 0):
-        near = _gathered(sequences.mapInArrow(_contexts(core, share(of.astype(np.int16))), "cell int, n bigint"), more * 2 * CLASSES)
+        near = _gathered(coded.mapInArrow(_contexts(core, share(of.astype(np.int16))), "cell int, n bigint"), more * 2 * CLASSES)
         after, before = near.reshape(more, 2, CLASSES).transpose(1, 0, 2)
         of[core:-1] = best_classes(table, after, before)
-    rest = docs.mapInArrow(_rest(share((index.value, of))), "word binary, near int")
-    rest = rest.groupBy("word").agg(F.collect_list("near").alias("near"))
-    rest = rest.mapInArrow(_chosen(share(table)), "word binary, n bigint, class int, spelling int")
-    return known, n[order], of, stored(rest)
+    rest = coded.mapInArrow(_rest(share(of)), "word bigint, near int")
+    rest = rest.repartition("word").sortWithinPartitions("word")
+    return of, stored(rest.mapInArrow(_chosen(share(table)), "word bigint, n bigint, class int, spelling int"))
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -450,54 +477,50 @@ def scored(docs: DataFrame) -> DataFrame:
     that training has not seen has the class of most of these others with its last
     letters.  Steps from class to class are counted over all training tokens.
 
-    What reaches the driver is bounded: KNOWN words, CORE squared pairs, the classes next
-    to KNOWN words.  Rarer words meet their counts and classes in one join, gathered by
-    document; frequent words, the skewed keys, never enter it.
+    Words are told by 64-bit fingerprints: two words among a hundred million share one
+    with a chance of 3 in 10,000.  Texts are read twice, once to count words and once to
+    be stored as numbers, which all later steps read.  What reaches the driver is
+    bounded: KNOWN words, CORE squared pairs, the classes next to KNOWN words.  Rarer
+    words meet their counts and classes in one join and go back to their documents;
+    frequent words, the skewed keys, never enter it.
     """
     share = docs.sparkSession.sparkContext.broadcast
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     counts = word_counts(docs)
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     texts = counts.where(F.col("word") == END).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    known, n, of, rest = word_classes(docs, counts)
-
-    tokens = np.bincount(of[: len(known) + 1], [texts, *n], CLASSES)
-    words = np.bincount(of[: len(known) + 1], [texts > 0, *[1] * len(known)], CLASSES)
+    top = most_frequent(counts, KNOWN).toArrow()
+    words, n = top.column("word").to_numpy(), top.column("n").to_numpy()
+    order = np.lexsort((words, -n))
+    words, n = words[order], n[order]
+    coded = stored(docs.mapInArrow(_coded(share(words)), CODED))
+    of, rest = word_classes(coded, len(words))
+
+    tokens = np.bincount(of[:-1], [texts, *n], CLASSES)
+    sizes = np.bincount(of[:-1], [texts > 0, *[1] * len(words)], CLASSES)
     by_spelling = np.zeros((SPELLINGS, CLASSES))
     for spelling, k, some, more in rest.groupBy("spelling", "class").agg(F.count("*"), F.sum("n")).collect():
         by_spelling[spelling, k] += some
-        words[k] += some
+        sizes[k] += some
         tokens[k] += more
-    everywhere = by_spelling.sum(axis=0) if by_spelling.any() else words * (np.arange(CLASSES) > 0)
+    everywhere = by_spelling.sum(axis=0) if by_spelling.any() else sizes * (np.arange(CLASSES) > 0)
     by_spelling[~by_spelling.any(axis=1)] = everywhere
     unseen = np.argmax(by_spelling, axis=1)
 
     logs = np.append(np.log10(np.array([texts, *n]) + ADDED), 0.0)
-    seen = np.append(np.array([texts > 0, *[True] * len(known)], np.int64), 0)
-    rows = docs.mapInArrow(
-        _rows(share((unit_index(known), of, logs, seen, unseen))),
-        "key bigint, word binary, head boolean, doc_id bigint, path binary, log double, seen bigint",
-    )
-    joined = rows.join(rest, "word", "left")
-    m = (F.octet_length("path") / 4).cast("bigint")
-    log = F.when(F.col("head"), F.col("log")).otherwise(m * F.log10(F.coalesce("n", F.lit(0)).cast("double") + ADDED))
-    known_to = F.when(F.col("head"), F.col("seen")).when(F.col("n").isNotNull(), m).otherwise(0)
-    found = joined.groupBy("key").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max(F.when(F.col("head"), F.octet_length("path").cast("bigint"))).alias("n_tokens"),
-        F.sum(known_to).alias("n_known"),
-        F.sum(log).alias("log"),
-        F.max(F.when(F.col("head"), F.col("path"))).alias("path"),
-        # the class as one byte, and the places of the word
-        F.collect_list(F.when(~F.col("head"), F.concat(F.chr("class").cast("binary"), "path"))).alias("found"),
-    )
-    kinds = "doc_id bigint, n_tokens bigint, n_known bigint, log double, path "
-    found = stored(found.mapInArrow(_filled, kinds + "binary"))
+    seen = np.append(np.array([texts > 0, *[True] * len(words)], np.int64), 0)
+    heads = coded.mapInArrow(_heads(share((of, logs, seen, unseen))), HEAD)
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (part.split() for part in HEAD.split(", ")[4:])]
+    met = coded.mapInArrow(_places, "key bigint, place int, word bigint").join(rest, "word", "left")
+    met = met.select("key", "place", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", F.lit(0)).alias("class"), *nothing)
+    # a document is one group, as large as its text
+    found = heads.unionByName(met).repartition("key").sortWithinPartitions("key", "place")
+    found = stored(found.mapInArrow(_filled, FOUND))
 
     table = _gathered(found.mapInArrow(_class_pairs, "cell int, n bigint"), CLASSES * CLASSES).reshape(CLASSES, CLASSES)
     step_log = np.log10((table + ADDED_STEP) / (table.sum(axis=1, keepdims=True) + ADDED_STEP * CLASSES))
-    step_log -= np.log10(tokens + ADDED * (words + 1))
-    found = found.mapInArrow(_path_logs(share(step_log)), kinds + "double")
+    step_log -= np.log10(tokens + ADDED * (sizes + 1))
+    found = found.mapInArrow(_path_logs(share(step_log)), FOUND.replace("path binary", "path double"))
     base = F.col("log") - F.col("n_tokens") * math.log10(total + ADDED * (distinct + 1))
     return found.select(
         "doc_id",

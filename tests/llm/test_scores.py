@@ -100,6 +100,70 @@ def test_scores_equal_their_formula(docs, corpus):
         assert row.score < 0
 
 
+@pytest.mark.parametrize("known", [50_000, 40])
+def test_scores_follow_from_the_classes(docs, corpus, monkeypatch, known):
+    """score of every document, worked out token by token from the class of every word."""
+    monkeypatch.setattr(class_lm, "KNOWN", known)
+    monkeypatch.setattr(class_lm, "CORE", known // 2)
+    kept = {}
+    whole = class_lm.word_classes
+
+    def word_classes(coded, size):
+        kept["of"], rest = whole(coded, size)
+        kept["rest"] = {r["word"]: r for r in rest.collect()}
+        return kept["of"], rest
+
+    monkeypatch.setattr(class_lm, "word_classes", word_classes)
+    got = {r.doc_id: r.score for r in class_lm.scored(docs).collect()}
+
+    texts = {i: [*(text or "").encode().lower().split(), b""] for i, text, *_ in corpus}
+    trained = [i for i in texts if zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(w for i in trained for w in texts[i])
+    prints = {w: int(class_lm._hashed([w])[0][0]) for w in set().union(*texts.values()) if w}
+    ranked = sorted((w for w in counts if w), key=lambda w: (-counts[w], prints[w]))
+    of = {b"": 0}
+    classes = class_lm.CLASSES
+    size = len(kept["of"]) - 2
+    if size == len(ranked):
+        of |= {w: int(kept["of"][k + 1]) for k, w in enumerate(ranked)}
+    else:  # of the words with the least count, some have an index: the ones without a row of the rest
+        some = [w for w in ranked if prints[w] not in kept["rest"]]
+        assert len(some) == size
+        of |= {w: int(kept["of"][k + 1]) for k, w in enumerate(some)}
+    votes = {}
+    for w in ranked:
+        row = kept["rest"].get(prints[w])
+        if row is not None:
+            of[w] = row["class"]
+            assert row["n"] == counts[w] and row["spelling"] == class_lm._spellings([w])[0]
+            votes.setdefault(row["spelling"], Counter())[row["class"]] += 1
+    everywhere = sum(votes.values(), Counter()) if votes else Counter(c for w, c in of.items() if w)
+
+    def class_of(w):
+        if w in of:
+            return of[w]
+        found = votes.get(class_lm._spellings([w])[0], everywhere)
+        return max(range(classes), key=lambda c: (found[c], -c))
+
+    steps, tokens, members = Counter(), Counter(), Counter()
+    for w, c in of.items():
+        tokens[c] += counts[w]
+        members[c] += 1
+    for i in trained:
+        path = [0, *map(class_of, texts[i])]
+        steps.update(zip(path, path[1:], strict=False))
+    out = Counter()
+    for (a, _), n in steps.items():
+        out[a] += n
+    for i, text in texts.items():
+        path = [0, *map(class_of, text)]
+        score = sum(
+            math.log10((steps[a, b] + 0.5) / (out[a] + 0.5 * classes)) + math.log10((counts[w] + 0.1) / (tokens[b] + 0.1 * (members[b] + 1)))
+            for a, b, w in zip(path, path[1:], text, strict=False)
+        )
+        assert math.isclose(got[i], score, rel_tol=1e-9), i
+
+
 def test_class_model_beats_word_counts_on_held_out_text(spark):
     import random
 
