@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, Observation, types as T
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlight.functions.time import Instant, as_column, lookback
 
@@ -52,6 +53,32 @@ def observed_values(df: DataFrame, column: str, at: str, as_of: Instant, days: i
     return df.filter(recent).select(column).distinct()
 
 
+def write_checked(
+    df: DataFrame,
+    write: Callable[[DataFrame], None],
+    unique: Sequence[str] = (),
+    non_negative: Sequence[str] = (),
+    not_null: Sequence[str] = (),
+) -> dict[str, int]:
+    """Write a fact and count, in the same pass, its rows and those that break a rule.
+
+    ``write`` is called with the fact and has to run one job over it.  ``rows`` counts all
+    rows, ``unique`` those that share their key with others, ``non_negative:c`` and
+    ``not_null:c`` those that break the rule of a column.  A fact grouped by its key is
+    dealt by it already, so that looking for others with the key costs a sort and no
+    shuffle.  The counts ride on the writing job: nothing is read again.
+    """
+    rules = {f"non_negative:{c}": F.col(c) < 0 for c in non_negative} | {f"not_null:{c}": F.col(c).isNull() for c in not_null}
+    checked = df
+    if unique:
+        checked = df.withColumn("__same", F.count("*").over(Window.partitionBy(*unique)))
+        rules["unique"] = F.col("__same") > 1
+    seen = Observation()
+    observed = checked.observe(seen, F.count("*").alias("rows"), *[F.count_if(rule).alias(name) for name, rule in rules.items()])
+    write(observed.select(*df.columns))
+    return dict(seen.get)
+
+
 def enforce(violations: DataFrame, message: str) -> None:
     """Raise :class:`QualityError` unless the check came back empty."""
     found = violations.limit(3).collect()

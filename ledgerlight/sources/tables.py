@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
+from ledgerlight.session import shared_dir
 
 BAD_LINE = "bad_line"
 
@@ -126,6 +127,20 @@ def write_partitions(
     )
 
 
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str) -> None:
+    """Write rows into the buckets of ``key``, in its order, so that tables of the same buckets join without a shuffle.
+
+    The rows are dealt by the same hash first: a task then writes the files of its own
+    buckets, one each.  The table's folder is in the shared folder of the cluster.
+    """
+    spark = df.sparkSession
+    rows = df.repartition(buckets, key)
+    writer = rows.write.mode(mode).format("parquet").bucketBy(buckets, key).sortBy(key)
+    if not spark.catalog.tableExists(table):
+        writer = writer.option("path", f"{shared_dir(spark)}/{table}")
+    writer.saveAsTable(table)
+
+
 def read_merged(spark: SparkSession, path: str) -> DataFrame:
     """A parquet folder whose files were written under growing schemas."""
     return spark.read.option("mergeSchema", "true").parquet(path)

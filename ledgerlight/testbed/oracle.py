@@ -753,6 +753,21 @@ SELECT CAST(ts AS DATE) AS usage_date, event_type, count(*) AS events,
 S["incremental_marks"] = """
 SELECT workspace_id, CASE WHEN start_time <= TIMESTAMP '2024-01-15' THEN 'first' ELSE 'second' END AS step,
        count(*) AS rows FROM history GROUP BY ALL"""
+S["messages_stream"] = S["flatten_messages"]
+S["space_cost_by_stored_category"] = S["space_cost_by_category"]
+S["distinct_users_by_month"] = """
+SELECT CAST(uid % 25 AS VARCHAR) AS workspace_id, CAST(date_trunc('month', ts) AS DATE) AS month, count(DISTINCT email) AS distinct_users
+FROM ev WHERE event_type = 'click' GROUP BY ALL"""
+S["dq_in_write"] = """
+SELECT 'customer' AS table_name, 'rows' AS rule, count(*) AS n FROM customer
+UNION ALL SELECT 'customer', 'non_negative:c_acctbal', count(*) FILTER (c_acctbal < 0) FROM customer
+UNION ALL SELECT 'customer', 'unique', coalesce(SUM(n) FILTER (n > 1), 0)::BIGINT
+  FROM (SELECT count(*) AS n FROM customer GROUP BY c_nationkey, c_acctbal)
+UNION ALL SELECT 'history', 'rows', count(*) FROM history
+UNION ALL SELECT 'history', 'unique', coalesce(SUM(n) FILTER (n > 1), 0)::BIGINT
+  FROM (SELECT count(*) AS n FROM history GROUP BY statement_id)
+UNION ALL SELECT 'history', 'not_null:client_application', count(*) FILTER (client IS NULL) FROM history
+UNION ALL SELECT 'history', 'not_null:statement_type', count(*) FILTER (statement_type IS NULL) FROM history"""
 S["upsert_latest"] = """
 SELECT order_key, changed_at, status
 FROM (SELECT *, row_number() OVER (PARTITION BY order_key ORDER BY changed_at DESC, status DESC) AS rn

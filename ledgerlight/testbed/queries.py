@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from ledgerlight import schemas
 from ledgerlight.functions.classify import deep_link, profile_link
 from ledgerlight.functions.time import as_column
-from ledgerlight.operators import allocation, intervals, pricing, quality, reconcile, versions
+from ledgerlight.operators import allocation, distinct, intervals, pricing, quality, reconcile, versions
 from ledgerlight.plans import (
     app_usage,
     assistant_cost,
     billing_facts,
     billing_stream,
+    category_table,
     incremental_cost,
     query_cost,
     reach,
@@ -27,9 +28,9 @@ from ledgerlight.plans import (
     serving_usage,
 )
 from ledgerlight.plans.query_cost import QueryFeeds
-from ledgerlight.session import shared_dir
+from ledgerlight.session import shared_dir, staged
 from ledgerlight.sources import documents, tables
-from ledgerlight.streaming import daily, incremental
+from ledgerlight.streaming import daily, incremental, messages
 from ledgerlight.testbed.feeds import EVENTS_AS_OF, LINES_AS_OF, LINES_DAYS, Feeds
 
 Query = Callable[[Feeds], DataFrame]
@@ -819,6 +820,73 @@ def token_usage_stream(feeds: Feeds) -> DataFrame:
     return billing_facts.token_fact_of(_streamed(feeds, fact), feeds.spaces)
 
 
+@query
+def messages_stream(feeds: Feeds) -> DataFrame:
+    """Messages kept by a stream, with files that land twice and versions that land late."""
+    spark, folder = feeds.spark, f"{shared_dir(feeds.spark)}/messages-{uuid4().hex}"
+    raw, landed = feeds.raw_messages, f"{folder}/landed"
+    early = F.pmod(F.xxhash64("id"), F.lit(3)) > 0
+    older = raw.filter(_one_in(5, "id")).withColumns(
+        {"last_updated_timestamp": F.col("last_updated_timestamp") - 60000, "content": F.lit("an older version")}
+    )
+    for part in (raw.filter(early), raw.filter(~early).unionByName(raw.filter(_one_in(4, "id"))), older):
+        part.write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(raw.schema).parquet(landed)
+        messages.stream_messages(stream, feeds.users, f"{folder}/messages", f"{folder}/progress").awaitTermination()
+    return spark.read.parquet(f"{folder}/messages").drop(messages.DAY)
+
+
+@query
+def distinct_users_by_month(feeds: Feeds) -> DataFrame:
+    """Viewers by workspace and month, from bitmaps by workspace, space and day."""
+    viewed = feeds.audit_events.filter(F.col("service_name") == "assistant").select(
+        "workspace_id",
+        F.col("request_params")["space_id"].alias("space_id"),
+        F.col("event_date").alias("day"),
+        F.col("user_identity.email").alias("email"),
+    )
+    numbers = distinct.number_ids(viewed, "email")
+    daily_bits = distinct.distinct_bitmaps(viewed.join(numbers, "email"), ["workspace_id", "space_id", "day"])
+    by_month = daily_bits.withColumn("month", F.date_trunc("month", "day").cast("date"))
+    return distinct.count_bitmaps(by_month, ["workspace_id", "month"], "distinct_users")
+
+
+@query
+def space_cost_by_stored_category(feeds: Feeds) -> DataFrame:
+    """Cost by category from the stored categories, which were filled in two loads."""
+    spark, cost, run = feeds.spark, staged(_cost(feeds)), uuid4().hex
+    links = _statements(feeds).select("statement_id")
+    first = F.col("start_time") <= as_column(FIRST_LOAD)
+    categories, costs = f"cost_categories_{run}", f"space_costs_{run}"
+    # a third of the links are not known at first
+    category_table.fill_categories(cost.filter(first), links.filter(~_one_in(3, "statement_id")), categories, buckets=8)
+    category_table.fill_categories(cost, links, categories, buckets=8)
+    category_table.save_cost(cost, costs, buckets=8)
+    stored = category_table.categorised_cost(spark, costs, categories)
+    return assistant_cost.space_cost_by_category(stored, feeds.spaces)
+
+
+@query
+def dq_in_write(feeds: Feeds) -> DataFrame:
+    """Violations counted while tables are written."""
+    folder = f"{shared_dir(feeds.spark)}/written-{uuid4().hex}"
+    customer = feeds.table("customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    history = feeds.query_history.select("statement_id", "client_application", "statement_type")
+    counts = {
+        "customer": quality.write_checked(
+            customer, lambda df: df.write.parquet(f"{folder}/customer"), unique=["c_nationkey", "c_acctbal"], non_negative=["c_acctbal"]
+        ),
+        "history": quality.write_checked(
+            history,
+            lambda df: df.write.parquet(f"{folder}/history"),
+            unique=["statement_id"],
+            not_null=["client_application", "statement_type"],
+        ),
+    }
+    rows = [(table, rule, n) for table, found in counts.items() for rule, n in found.items()]
+    return tables.rows_to_frame(feeds.spark, rows, "table_name string, rule string, n bigint")
+
+
 @query
 def incremental_marks(feeds: Feeds) -> DataFrame:
     """Rows that a first load and the load after its marks read, by workspace."""
