@@ -154,15 +154,29 @@ def _blocked(width: int):
         unit = _unit(group.column("vector"), width)
         ids = np.array(group.column("rep").to_pylist(), np.int64)
         copies = np.array(group.column("copies").to_pylist(), np.int64)
-        packed = [group.column("block")[0].as_py(), ids.tobytes(), copies.tobytes(), unit.tobytes()]
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        names = ["block", "ids", "copies", "units"]
+        leaf = group.column("leaf").to_numpy()
+        order = np.argsort(leaf, kind="stable")  # rows of a leaf lie together
+        packed = [group.column("block")[0].as_py(), *(x[order].tobytes() for x in (ids, copies, leaf, unit))]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+        names = ["block", "ids", "copies", "leaves", "units"]
         return pa.table({n: pa.array([v], k) for n, v, k in zip(names, packed, kinds, strict=True)})
 
     return pack
 
 
-def _linked(width: int, least: float):
+def _linked(width: int, least: float, close):
+    def marked(x: np.ndarray, y: np.ndarray, leaves: list[np.ndarray], near: np.ndarray) -> None:
+        """Mark the links, looking only at pairs of rows whose leaves the traversal has left."""
+        edges = np.append(np.flatnonzero(np.diff(leaves[0], prepend=-1)), len(x))
+        for start, end in zip(edges, edges[1:], strict=False):
+            other = close.value[leaves[0][start], leaves[1]]
+            if not other.any():
+                continue
+            at = slice(None) if other.all() else np.flatnonzero(other)
+            for strip in range(start, end, STRIP):
+                part = slice(strip, min(strip + STRIP, end))
+                near[part, at] = x[part] @ y[at].T >= least
+
     def of_pair(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids = [np.frombuffer(row[f"ids_{s}"], np.int64) for s in "xy"]
         copies = [np.frombuffer(row[f"copies_{s}"], np.int64) for s in "xy"]
@@ -170,8 +184,7 @@ def _linked(width: int, least: float):
         same = row["x"] == row["y"]
         near = np.zeros((len(x), len(y)), bool)  # a byte a pair, whatever the number of links
         parts = [slice(start, start + STRIP) for start in range(0, len(x), STRIP)]
-        for part in parts:
-            np.greater_equal(x[part] @ y.T, least, out=near[part])
+        marked(x, y, [np.frombuffer(row[f"leaves_{s}"], np.int32) for s in "xy"], near)
         if same:
             np.fill_diagonal(near, False)
         counts = [np.zeros(len(x)), np.zeros(len(y))]
@@ -242,7 +255,9 @@ def _links_of_width(heads: DataFrame, width: int, least: float) -> DataFrame:
         "block", (F.col("part") * (1 << 32)) + F.pmod(F.xxhash64("rep"), F.col("cuts"))
     )
     blocks = stored(
-        rows.groupBy("block").applyInArrow(_blocked(width), "block bigint, ids binary, copies binary, units binary")
+        rows.groupBy("block").applyInArrow(
+            _blocked(width), "block bigint, ids binary, copies binary, leaves binary, units binary"
+        )
     )
     spread = spark.createDataFrame([(a, b, cuts[a], cuts[b]) for a, b in pairs], "a bigint, b bigint, na int, nb int")
     spread = spread.select("a", "b", F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("i"), "nb").select(
@@ -253,7 +268,10 @@ def _links_of_width(heads: DataFrame, width: int, least: float) -> DataFrame:
     )
     for side in "xy":
         spread = spread.join(blocks.select(*[F.col(c).alias(side if c == "block" else f"{c}_{side}") for c in blocks.columns]), side)
-    return spread.mapInArrow(_linked(width, least), "rep bigint, links bigint, low bigint")
+    between = np.zeros((len(tree.leaves), len(tree.leaves)), bool)  # a byte for each pair of leaves of the sample
+    between[near[:, 0], near[:, 1]] = between[near[:, 1], near[:, 0]] = True
+    close = spark.sparkContext.broadcast(between)
+    return spread.mapInArrow(_linked(width, least, close), "rep bigint, links bigint, low bigint")
 
 
 def near_vectors(rows: DataFrame, least: float = 0.9) -> DataFrame:
@@ -262,36 +280,44 @@ def near_vectors(rows: DataFrame, least: float = 0.9) -> DataFrame:
     Vectors link at a cosine of ``least`` or more, in double precision.  A vector that
     is null, zero or has null or non-finite components links with nothing, nor do
     vectors of different lengths link.  A row without vec_id links with nothing, has no
-    component and is kept; rows of one id are vectors of their own that share a
-    component.  Columns but vec_id and embedding are ignored; an empty table gives an
+    component and is kept; rows of one id are vectors of their own, with links of their
+    own, that share a component.  Columns but vec_id and embedding are ignored; an empty table gives an
     empty result.
 
     Equal vectors are one class.  The tree is built on a sample of SAMPLE classes (a
     bound on what the driver gets); every class is then put at its nearest leaf, so the
     covering radii are those of all rows.  Blocks of at most about BLOCK_ROWS vectors
-    are compared where the traversal leaves their leaves as a pair; a pair of blocks
-    yields a count and a least id for each vector, never its links.
+    meet where the traversal leaves leaves of theirs as a pair, and only the vectors of
+    such leaves are compared; a pair of blocks yields a count and a least id for each
+    vector, never its links.
     """
     rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
-    heads = rows.where(usable).groupBy("vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    heads = stored(heads)
-    # one id may stand for several vectors; then the rows of the class are told apart by the vector
+    heads = rows.where(usable).groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
+    # one id may stand for several vectors, so a class has a number of its own
+    heads = stored(heads.withColumn("rep", F.monotonically_increasing_id()))
     widths = [r[0] for r in heads.select(F.size("vector").alias("n")).distinct().collect()]
     found = heads.sparkSession.createDataFrame([], "rep bigint, links bigint, low bigint")
     for width in sorted(widths):
-        found = found.union(_links_of_width(heads, width, least))
+        found = found.union(_links_of_width(heads.drop("id"), width, least))
     found = stored(found)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    known = components(found.where("rep <> low"), "rep", "low")
-    classes = heads.join(links, "rep", "left").join(known, heads["rep"] == known["node"], "left").select(
-        F.col("vector").alias("_vector"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("_links"),
-        F.coalesce("component_id", "rep").alias("_root"),
+
+    classes = heads.select(F.col("vector").alias("_vector"), "rep")
+    members = rows.join(classes, usable & (F.col("vector") == F.col("_vector")), "left").select("vec_id", "rep")
+    members = stored(members)
+    several = members.groupBy("vec_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    shared = members.join(several.select("vec_id", "low"), "vec_id").select("rep", "low")
+    known = components(found.where("rep <> low").select("rep", "low").union(shared), "rep", "low")
+    known = known.withColumnRenamed("node", "rep")
+    placed = heads.select("rep", "id", "copies").join(known, "rep", "left").join(links, "rep", "left")
+    placed = placed.withColumn("component_id", F.coalesce("component_id", "rep"))
+    roots = placed.groupBy("component_id").agg(F.min("id").alias("_root"))
+    found = placed.join(roots, "component_id").select(
+        "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("_links"), "_root"
     )
-    joined = rows.join(classes, usable & (F.col("vector") == F.col("_vector")), "left")
-    made = joined.select(
+    made = members.join(found, "rep", "left").select(
         "vec_id", F.coalesce("_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("_root", "vec_id").alias("component_id")
     )
     return made.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

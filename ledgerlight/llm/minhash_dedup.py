@@ -161,6 +161,13 @@ def _missed_links(percent: int):
     return of_parts
 
 
+def _shared_ids(rows: DataFrame, heads: DataFrame, key: list[str]) -> DataFrame:
+    """(x, y): ids whose rows have different sets, and the smallest id of each of these sets."""
+    of_id = rows.groupBy("doc_id").agg(F.min(F.struct(*key)).alias("a"), F.max(F.struct(*key)).alias("b")).where("a < b")
+    several = rows.select("doc_id", *key).join(of_id.select("doc_id"), "doc_id")
+    return several.join(heads.select(*key, "rep"), key).select(F.col("doc_id").alias("x"), F.col("rep").alias("y"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each document.
 
@@ -208,7 +215,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     placed = placed.join(heads.select("rep", "n_shingles", "minima", "bands"), "rep")
     placed = placed.join(sets.withColumnRenamed("doc_id", "rep"), "rep")
     missed = placed.groupBy("bucket", "i", "j").applyInArrow(_missed_links(percent), "x bigint, y bigint")
-    links = links.union(stored(missed))
+    links = links.union(stored(missed)).union(_shared_ids(some, heads, key))
 
     known = components(links, "x", "y").select(F.col("node").alias("rep"), "component_id")
     roots = heads.select(*key, "rep").join(known, "rep", "left")

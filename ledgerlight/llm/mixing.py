@@ -65,6 +65,7 @@ def mixed(
     most: int = MOST_EPOCHS,
     quality: Column | None = None,
     seed: int = SEED,
+    row: str | None = None,
 ) -> DataFrame:
     """What a mix takes of each row of ``docs``: doc_id, source and ``same``, a hash of the text.
 
@@ -76,8 +77,9 @@ def mixed(
     document in which the budget ends gives the words up to there.  Null text has no
     words and gives none, a null source is a source and comes last, and rows of one id
     are drawn one by one (rows that are equal in id and text in an order of no
-    consequence).  Columns but doc_id, source and text are ignored; an empty table gives
-    an empty result.
+    consequence).  ``row`` names a column of ``docs`` that tells such rows apart, and
+    comes back as ``row``; columns but it, doc_id, source and text are ignored.  An empty
+    table gives an empty result.
 
     The prefix sums run over ranges of (source, key): a source with a third of all
     rows spreads over a third of the tasks.
@@ -90,10 +92,12 @@ def mixed(
         word_count(F.col("text")).alias("size"),
         (-F.ln(drawn) / quality).alias("key"),
         F.xxhash64("text").alias("same"),
+        *([] if row is None else [F.col(row).alias("row")]),
     )
     rows = stored(rows)
     by_source = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    placed = prefix_sums(rows, ["source"], ["key", "doc_id", "same"], "size", "before")
+    order = ["key", "doc_id", "same"] + ([] if row is None else ["row"])
+    placed = prefix_sums(rows, ["source"], order, "size", "before")
     by_source = by_source.withColumnRenamed("source", "_source")
     placed = placed.join(by_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -110,27 +114,19 @@ def taken(docs: DataFrame, **options) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", words.alias("taken"), "epochs", "rest")
 
 
-def first_words(text: Column, count: Column) -> Column:
-    """The text up to its ``count``-th word and the space after it."""
-    pieces = F.split(text, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
-    lead = F.when(text.rlike(r"\A[\x20\x09-\x0D]"), 1).otherwise(0)
-    return F.array_join(F.slice(pieces, F.lit(1), (count + lead).cast("int")), "")
-
-
 def remixed(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them.
 
-    A whole epoch repeats the row; the document in which a budget ends comes with its
-    text up to the last word taken.  Rows of one id and text are taken alike.
+    A whole epoch repeats the row.  The document in which a budget ends comes whole when
+    the budget has room for half of it or more, and not otherwise: texts are not cut.
+    Rows of one id and text are taken as the mix says of each.
     """
-    rows = mixed(docs, **options).groupBy(F.col("doc_id").alias("_id"), F.col("same").alias("_same")).agg(
-        F.min("size").alias("_size"), F.min("epochs").alias("_epochs"), F.min("rest").alias("_rest")
-    )
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    keyed = docs.select(whole, F.col("doc_id").cast("bigint").alias("own"), F.xxhash64("text").alias("own_same"))
-    found = keyed.join(rows, F.col("own").eqNullSafe(F.col("_id")) & (F.col("own_same") == F.col("_same")))
-    copies = (F.col("_epochs") + F.when(F.col("_rest") > 0, 1).otherwise(0)).cast("int")
-    found = found.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-    cut = (F.col("_copy") > F.col("_epochs")) & (F.col("_rest") < F.col("_size"))
-    text = F.when(cut, first_words(F.col("row.text"), F.col("_rest"))).otherwise(F.col("row.text"))
-    return found.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    names = [f"_{k}" for k in range(len(docs.columns))]
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    own = stored(own.withColumn("_row", F.monotonically_increasing_id()))
+    known = {c: F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True) if c in ("doc_id", "source", "text")}
+    rows = mixed(own.select(*known.values(), "_row"), row="_row", **options)
+    part = F.when((F.col("rest") > 0) & (2 * F.col("rest") >= F.col("size")), 1).otherwise(0)
+    rows = rows.select(F.col("row").alias("_taken"), (F.col("epochs") + part).cast("int").alias("_copies")).where("_copies > 0")
+    found = own.join(rows, F.col("_row") == F.col("_taken")).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return found.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

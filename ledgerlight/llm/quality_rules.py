@@ -16,7 +16,7 @@ from ledgerlight.llm.common import slices, stored, text_bytes
 SYMBOLS = b"#*$%&|<>"
 #: Each rule rejects a document whose rate is above the cutoff of its stratum.
 RULES = ("symbol_rate", "repeat_rate", "dup_line_rate", "upper_rate")
-#: Cutoffs tried, from the most lenient on: LEVELS / LEVELS, ..., 0 / LEVELS.
+#: Cutoffs of a rule: LEVELS / LEVELS, which rejects nobody, ..., 0 / LEVELS.
 LEVELS = 100
 STATS = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
@@ -112,66 +112,104 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return min(1.0, total)
 
 
-def chosen_level(good: list[int], bad: list[int], risk: float, error: float, price: float) -> int | None:
-    """Level of the cutoff, from counts of good and bad holdouts by level; None for no cutoff.
+def ladder(bad: dict[str, list[int]], others: dict[str, list[int]]) -> dict[str, list[int]]:
+    """Cutoffs of all rules, step by step from none to strict: a level of each rule by step.
 
-    Cutoffs are tested from the most lenient on.  One passes when the exact binomial
-    upper bound of the good holdouts above it, at confidence 1 - ``error``, is at most
-    ``risk``; the first that fails ends the sequence, so its tests share ``error``.  Of
-    those that passed, the one with the largest share of bad holdouts above it counts,
-    less ``price`` times the share of good ones, and the most lenient of equals.
+    ``bad`` and ``others`` have, by rule and level, the bad holdouts and the documents
+    without a label.  A step lowers the cutoff of one rule: where it catches most bad
+    holdouts for each unlabelled document, and no further than that.  Good holdouts have
+    no say in it, so that they can test each step.
+    """
+    now = {rule: LEVELS for rule in RULES}
+    made = {rule: [LEVELS] for rule in RULES}
+    while True:
+        best = None
+        for rule in RULES:
+            caught = passed = 0
+            for level in range(now[rule] - 1, -1, -1):
+                caught, passed = caught + bad[rule][level + 1], passed + others[rule][level + 1]
+                worth = caught / (passed + 1)
+                if caught and (best is None or worth > best[0]):
+                    best = worth, rule, level
+        if best is None:
+            return made
+        now[best[1]] = best[2]
+        for rule in RULES:
+            made[rule].append(now[rule])
+
+
+def chosen_step(good: list[int], bad: list[int], risk: float, error: float, price: float) -> int:
+    """Step of a ladder, from how many good and bad holdouts each step rejects first; 0 rejects nobody.
+
+    Steps are tested in order.  One passes when the exact binomial upper bound of the
+    good holdouts rejected by then, at confidence 1 - ``error``, is at most ``risk``; the
+    first that fails ends the sequence, so its tests share ``error``.  Of those that
+    passed, the one with the largest share of bad holdouts rejected counts, less
+    ``price`` times the share of good ones, and the most lenient of equals.
     """
     all_good, all_bad = sum(good), sum(bad)
-    best, most, good_above, bad_above = None, 0.0, 0, 0
-    for level in range(LEVELS, -1, -1):
-        if binomial_tail(good_above, all_good, risk) > error:
+    best, most, good_gone, bad_gone = 0, 0.0, 0, 0
+    for step in range(1, len(good)):
+        good_gone, bad_gone = good_gone + good[step], bad_gone + bad[step]
+        if binomial_tail(good_gone, all_good, risk) > error:
             break
-        gain = bad_above / max(all_bad, 1) - price * good_above / max(all_good, 1)
+        gain = bad_gone / max(all_bad, 1) - price * good_gone / max(all_good, 1)
         if gain > most:
-            best, most = level, gain
-        good_above, bad_above = good_above + good[level], bad_above + bad[level]
+            best, most = step, gain
     return best
 
 
 def choose_cutoffs(
     rated: DataFrame, labels: DataFrame, risk: float = 0.02, error: float = 0.05, price: float = 5.0
 ) -> DataFrame:
-    """Cutoff of each rule in each stratum: stratum and one double column per rule.
-
-    Holdouts are the labelled documents that pass the floor.  ``risk`` bounds the false
-    rejections of all rules of a stratum together and is shared evenly among them;
-    ``error``, the chance that any bound of any stratum is wrong, is shared among all
-    rules of all strata (Bonferroni).  A rule without enough holdouts gets no cutoff
-    and rejects nothing.  Only counts by stratum and level are grouped: LEVELS + 1 rows
-    per rule and quality at most, however many documents there are.
+    """Cutoffs of each stratum with holdouts: stratum and one double column per rule.
+
+    Holdouts are the labelled documents that pass the floor.  All rules of a stratum
+    make one region that grows along a :func:`ladder`, and ``risk`` bounds the share of
+    good documents in it; ``error``, the chance that the bound of any stratum is wrong,
+    is shared by the strata (Bonferroni).  The first step can pass with
+    log(error / strata) / log(1 - risk) good holdouts, 217 for four strata; a stratum
+    with fewer gets cutoffs of 1, which reject nobody.  What is grouped are counts by
+    stratum, rule and level, and by stratum and step, however many documents there are.
     """
     marked = labels.groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.min("quality").alias("_good"))
-    held = rated.where(~F.col("base_failed")).join(marked.where("_good in (0, 1)"), "doc_id")
-    level = [
-        F.struct(F.lit(rule).alias("rule"), F.least(F.ceil(F.col(rule) * LEVELS), F.lit(LEVELS)).alias("level"))
-        for rule in RULES
-    ]
-    counts = stored(
-        held.select("stratum", "_good", F.explode(F.array(*level)).alias("x"))
-        .groupBy("stratum", "x.rule", "x.level", "_good")
-        .agg(F.count("*").alias("n"))
-    )
-    strata = max(1, counts.select("stratum").distinct().count())
-    share, each = risk / len(RULES), error / (len(RULES) * strata)
+    known = rated.where(~F.col("base_failed")).join(marked, "doc_id", "left")
+    levels = {rule: F.least(F.ceil(F.col(rule) * LEVELS), F.lit(LEVELS)).cast("int") for rule in RULES}
+    known = stored(known.select("stratum", F.when(F.col("_good").isin(0, 1), F.col("_good")).alias("_good"), *[c.alias(r) for r, c in levels.items()]))
+    level = [F.struct(F.lit(rule).alias("rule"), F.col(rule).alias("level")) for rule in RULES]
+    told = known.where("_good is null or _good = 0").select("stratum", "_good", F.explode(F.array(*level)).alias("x"))
+    counts = told.groupBy("stratum", "x.rule", "x.level", "_good").agg(F.count("*").alias("n"))
+    strata = known.where("_good is not null").select("stratum").distinct()
+    each = error / max(1, strata.count())
+
+    def steps(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        by_level = {good: {rule: [0] * (LEVELS + 1) for rule in RULES} for good in (True, False)}
+        for rule, at, good, n in zip(rows["rule"], rows.level, rows["_good"], rows.n, strict=True):
+            by_level[good == 0][rule][int(at)] += int(n)
+        return pd.DataFrame({"stratum": [key[0]], **{rule: [cuts] for rule, cuts in ladder(by_level[True], by_level[False]).items()}})
+
+    kinds = ", ".join(f"{rule} array<int>" for rule in RULES)
+    ladders = counts.join(strata, "stratum", "left_semi").groupBy("stratum").applyInPandas(steps, f"stratum string, {kinds}")
+    ladders = stored(ladders.select("stratum", *[F.col(rule).alias(f"_{rule}") for rule in RULES]))
+    # cutoffs fall along a ladder: a rule first rejects after all steps whose cutoff is not below the level
+    first = F.least(*[F.expr(f"size(filter(_{rule}, cut -> cut >= {rule}))") for rule in RULES])
+    held = known.where("_good is not null").join(ladders, "stratum")
+    rejected = held.select("stratum", "_good", first.alias("step")).groupBy("stratum", "_good", "step").agg(F.count("*").alias("n"))
+    rejected = rejected.join(ladders.select("stratum", F.size(f"_{RULES[0]}").alias("steps")), "stratum")
 
     def of_stratum(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        found = {"stratum": [key[0]]}
-        for rule in RULES:
-            by_level = {1: [0] * (LEVELS + 1), 0: [0] * (LEVELS + 1)}
-            mine = rows[rows.rule == rule]
-            for good, at, n in zip(mine["_good"], mine.level, mine.n, strict=True):
-                by_level[int(good)][int(at)] += int(n)
-            level = chosen_level(by_level[1], by_level[0], share, each, price)
-            found[rule] = [None if level is None else level / LEVELS]
-        return pd.DataFrame(found).astype({rule: "float64" for rule in RULES})
-
-    kinds = ", ".join(f"{rule} double" for rule in RULES)
-    return counts.groupBy("stratum").applyInPandas(of_stratum, f"stratum string, {kinds}")
+        by_step = {1: [0] * (int(rows.steps.iloc[0]) + 1), 0: [0] * (int(rows.steps.iloc[0]) + 1)}
+        for good, at, n in zip(rows["_good"], rows.step, rows.n, strict=True):
+            by_step[int(good)][int(at)] += int(n)
+        all_good = sum(by_step[1])
+        good, bad = by_step[1][:-1], by_step[0][:-1]
+        good[0] += all_good - sum(good)  # those that no step rejects stand beside those of step 0, which is none
+        bad[0] += sum(by_step[0]) - sum(bad)
+        return pd.DataFrame({"stratum": [key[0]], "step": [chosen_step(good, bad, risk, each, price)]})
+
+    chosen = rejected.groupBy("stratum").applyInPandas(of_stratum, "stratum string, step int")
+    cut = [(F.get(f"_{rule}", F.col("step")) / float(LEVELS)).alias(rule) for rule in RULES]
+    return chosen.join(ladders, "stratum").select("stratum", *cut)
 
 
 def judged(rated: DataFrame, cutoffs: DataFrame) -> DataFrame:

@@ -346,7 +346,17 @@ def _compared(group: pa.Table) -> pa.Table:
     )
 
 
-def _cleaned():
+def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone`` with the rest of each UTF-8 character that it takes a byte of."""
+    if not gone.any() or not len(data):
+        return gone
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    starts = starts if len(starts) and not starts[0] else np.insert(starts, 0, 0)
+    hit = np.logical_or.reduceat(gone, starts)
+    return np.repeat(hit, np.diff(np.append(starts, len(data))))
+
+
+def _cleaned(characters: bool):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
@@ -363,6 +373,8 @@ def _cleaned():
         kept, removed, start = [], [], 0
         for end in ends.tolist():
             mine = gone[start:end]
+            if characters:
+                mine = whole_characters(data[start:end], mine)
             kept.append(data[start:end][~mine].tobytes())
             edge = np.flatnonzero(np.diff(np.concatenate(([False], mine, [False])))).tolist()
             removed.append([{"start": a, "end": b} for a, b in zip(edge[0::2], edge[1::2], strict=True)])
@@ -381,13 +393,14 @@ def _cleaned():
     return emit
 
 
-def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, characters: bool = False) -> DataFrame:
     """The rows of ``docs`` without their text, as the struct ``row``, and what is left of the text.
 
     Further columns: n_bytes of the text, ``spans`` (start, end) of the bytes removed,
     in order, and ``kept``, the other bytes as binary.  A byte goes when a string of
     LENGTH bytes that covers it also starts in a document with a smaller doc_id; the
-    input decides, not what is left.  A null text is empty, a null id counts as the
+    input decides, not what is left.  With ``characters`` a character that loses a byte
+    goes whole, so that what is left is text.  A null text is empty, a null id counts as the
     largest, and rows of one id do not remove from each other.  Extra columns stay in
     ``row``, whatever their names; an empty table gives an empty result.
 
@@ -430,7 +443,7 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame
     spans = found.groupBy("chunk").agg(F.collect_list("spans").alias("found"))
     made = f"row {kind}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     cleaned = chunks.join(spans, "chunk", "left").select("rows", "data", "ends", "ids", "found").mapInArrow(
-        _cleaned(), made
+        _cleaned(characters), made
     )
 
     size = F.octet_length("text").cast("bigint")
@@ -447,9 +460,9 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeats cut out of their texts; characters cut in two go whole."""
-    rest = remove_repeats(docs)
+    rest = remove_repeats(docs, characters=True)
     columns = [
-        F.make_valid_utf8(F.col("kept").cast("string")).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c)
+        F.col("kept").cast("string").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c)
         for c in docs.columns
     ]
     return rest.select(*columns)

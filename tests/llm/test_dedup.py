@@ -112,6 +112,41 @@ def test_texts_without_repeats(odd, none):
     assert suffix_dedup.remove_repeats(none).collect() == []
 
 
+def test_cut_texts_keep_whole_characters(spark):
+    import random
+
+    rng = random.Random(3)
+    shared = "".join(rng.choices("éèêëàâ日本語abc ", k=80))
+    rows = [(k, "".join(rng.choices("éèêëàâ日本", k=20)) + shared[k % 3 : 60 + k] + "".join(rng.choices("éèêëàâ日本", k=20))) for k in range(20)]
+    rows += [(30, None), (31, ""), (32, rows[4][1])]
+    rest = {r.doc_id: r.text for r in suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    first = {}
+    for i, text in rows:
+        data = (text or "").encode()
+        for k in range(len(data) - 49):
+            first.setdefault(data[k : k + 50], i)
+    for i, text in rows:
+        data = (text or "").encode()
+        gone = [False] * len(data)
+        for k in range(len(data) - 49):
+            if first[data[k : k + 50]] < i:
+                gone[k : k + 50] = [True] * 50
+        want, at = "", 0
+        for c in text or "":
+            size = len(c.encode())
+            want += "" if any(gone[at : at + size]) else c
+            at += size
+        assert rest[i] == want
+    assert "\ufffd" not in "".join(rest.values()) and rest[32] == ""
+
+
+def test_rows_of_one_id_are_one_node(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = spark.createDataFrame([(3, a), (5, a), (5, b), (9, b), (4, "other words that are in no other text")], "doc_id bigint, text string")
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(rows).collect())
+    assert got == [(3, 3, True), (4, 4, True), (5, 3, False), (5, 3, False), (9, 3, False)]
+
+
 def test_equal_strings_choose_alike():
     rng = np.random.default_rng(1)
     shared = rng.integers(97, 101, 50, dtype=np.uint8)

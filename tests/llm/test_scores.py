@@ -67,12 +67,47 @@ def test_binomial_bounds():
         found = quality_rules.binomial_tail(k, n, p)
         assert abs(found - exact) < 1e-9 or (k > n * p and found == 1.0)
     assert quality_rules.binomial_tail(0, 0, 0.1) == 1.0
-    level = quality_rules.LEVELS
-    good, bad = [0] * (level + 1), [0] * (level + 1)
-    good[0], bad[30] = 5000, 50
-    assert quality_rules.chosen_level(good, bad, 0.01, 0.01, 5.0) == 29
-    good[0] = 10  # too few to bound anything
-    assert quality_rules.chosen_level(good, bad, 0.01, 0.01, 5.0) is None
+    assert quality_rules.chosen_step([300, 0, 0, 9], [0, 40, 0, 5], 0.02, 0.0125, 5.0) == 1
+    assert quality_rules.chosen_step([230, 1, 60, 9], [0, 40, 5, 5], 0.02, 0.0125, 5.0) == 0  # one of 300 cannot be told from 2 %
+    assert quality_rules.chosen_step([3000, 1, 60, 9], [0, 40, 5, 5], 0.02, 0.0125, 5.0) == 1
+    assert quality_rules.chosen_step([216, 0], [0, 40], 0.02, 0.0125, 5.0) == 0  # too few to bound anything
+    assert quality_rules.chosen_step([217, 0], [0, 40], 0.02, 0.0125, 5.0) == 1
+
+
+def test_a_ladder_lowers_the_rule_that_tells_bad_from_others():
+    levels = quality_rules.LEVELS
+    zero = {rule: [0] * (levels + 1) for rule in quality_rules.RULES}
+    assert all(cuts == [levels] for cuts in quality_rules.ladder(zero, zero).values())
+    bad, others = {r: list(v) for r, v in zero.items()}, {r: list(v) for r, v in zero.items()}
+    bad["symbol_rate"][30], bad["symbol_rate"][2], others["symbol_rate"][2] = 50, 50, 4000
+    bad["upper_rate"][10], others["upper_rate"][10] = 100, 500
+    steps = quality_rules.ladder(bad, others)
+    assert [c[:4] for c in (steps["symbol_rate"], steps["upper_rate"])] == [[levels, 29, 29, 1], [levels, levels, 9, 9]]
+    for cuts in steps.values():
+        assert cuts == sorted(cuts, reverse=True) and len(cuts) == len(steps["upper_rate"])
+
+
+def test_every_stratum_with_enough_holdouts_has_cutoffs_at_the_risk_of_production(spark, words):
+    import random
+
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(1500):
+        lang = "en" if i < 900 else "fr" if i < 1400 else "de"
+        bad = i % 5 == 0
+        text = [w + "###" * bad for w in rng.choices(words, k=60)]
+        rows.append((i, " ".join(text), lang))
+        if i % 2 or lang == "fr":
+            labels.append((i, int(not bad), 0))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    cuts = {r.stratum: r for r in quality_rules.choose_cutoffs(quality_rules.with_rates(quality_rules.document_stats(docs)), marks).collect()}
+    assert set(cuts) == {"en", "fr", "de"} and cuts["de"].symbol_rate == 1.0  # 40 good holdouts
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_verdicts(docs, marks).collect()}
+    assert all(kept[i] for i, _, lang in rows if i % 5 or lang == "de")
+    assert not any(kept[i] for i, good, _ in labels if not good and i < 1400)
+    gone = [not kept[i] for i, _, lang in rows if i % 5 == 0 and lang != "de"]
+    assert sum(gone) >= 0.95 * len(gone)
 
 
 def test_quality_of_odd_rows(odd, none, spark):

@@ -136,12 +136,26 @@ def test_each_source_gets_its_share(docs, corpus, odd, none):
     assert mixing.taken(none).collect() == []
 
 
-def test_a_mix_repeats_and_cuts_texts(docs, corpus, odd, none):
-    taken = {r.doc_id: (r.taken, r["size"]) for r in mixing.taken(docs).collect()}
-    words = {}
-    for r in mixing.remixed(docs).collect():
-        words[r.doc_id] = words.get(r.doc_id, 0) + len((r.text or "").split())
-    assert {i: n for i, (n, _) in taken.items() if n} == {i: n for i, n in words.items() if n}
+def test_a_mix_repeats_whole_texts(spark, docs, corpus, odd, none):
+    times = {r.doc_id: r.epochs + (r.rest > 0 and 2 * r.rest >= r["size"]) for r in mixing.taken(docs).collect()}
+    texts = {i: t for i, t, *_ in corpus}
+    made = mixing.remixed(docs).collect()
+    assert all(r.text == texts[r.doc_id] for r in made)
+    counts = {i: sum(r.doc_id == i for r in made) for i in texts}
+    assert counts == times
+    # each source comes near its target: within half of a document
+    rows = mixing.taken(docs).collect()
+    source, largest = {i: s for i, _, _, s, _ in corpus}, {}
+    for r in rows:
+        largest[source[r.doc_id]] = max(largest.get(source[r.doc_id], 0), r["size"])
+    for s, most in largest.items():
+        words = sum(counts[r.doc_id] * r["size"] for r in rows if source[r.doc_id] == s)
+        assert abs(words - next(r.target for r in rows if source[r.doc_id] == s)) <= most / 2 + 1
+    # rows that are equal are taken one by one
+    same = [(1, " ".join(["w"] * 40), "en", "s", 0)] * 4 + [(9, " ".join(["w"] * 400), "en", "t", 0)]
+    frame = spark.createDataFrame(same, docs.schema)
+    want = sum(r.epochs + (r.rest > 0 and 2 * r.rest >= r["size"]) for r in mixing.taken(frame).collect() if r.doc_id == 1)
+    assert sum(r.doc_id == 1 for r in mixing.remixed(frame).collect()) == want
     assert mixing.remixed(odd).columns == odd.columns
     assert mixing.remixed(none).collect() == []
 
@@ -247,6 +261,14 @@ def test_vector_links_equal_brute_force(spark, block, monkeypatch):
     assert all(got[i][2] == (i == want[i][1]) for i in want)
 
 
+def test_rows_of_one_id_share_a_component_and_not_their_links(spark):
+    a, near_a, b, c = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(3, a), (5, a), (5, b), (9, b), (4, near_a), (7, c), (7, c), (8, [5.0, 5.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(tuple(r) for r in cover_tree.near_vectors(frame).collect())
+    assert got == [(3, 2, 3, True), (4, 2, 3, False), (5, 1, 3, False), (5, 2, 3, False), (7, 1, 7, True), (7, 1, 7, True), (8, 0, 8, True), (9, 1, 3, False)]
+
+
 def test_no_vectors(spark):
     assert cover_tree.near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).collect() == []
 
