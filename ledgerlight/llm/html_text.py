@@ -49,11 +49,22 @@ MARKS = frozenset(
     "subscription share sharing social related recommended breadcrumb breadcrumbs pagination pager widget login signup search "
     "copyright disclaimer".split()
 )
+#: Words that may stand beside a mark and say nothing else: a label of these and marks alone is sure.
+PLACES = frozenset(
+    "area bar block body bottom box button buttons center col column container content footer form group head header heading "
+    "holder icon icons inline inner item items label left link links list main media menu module outer page panel post posts "
+    "primary right row secondary section site slot small space stories sub text title toggle top unit wrap wrapper".split()
+)
 #: How sure it is that an element is not part of the article.
 NOT_MARKED, PERHAPS, MARKED = 0, 1, 2
+#: What the density of an element counts that is perhaps not part of the article.
+PERHAPS_WEIGHT = 0.25
+#: Elements that a form has only where it holds a page.
+WRITTEN = frozenset("p article main h1 h2 h3 blockquote".split())
 _SPACE = re.compile(r"\s+")
 _WORD = re.compile(r"[a-z]+")
-_NO_MARKUP = re.compile(r"<(script|style)\b.*?</\1|<!--.*?-->", re.S | re.I)
+_SPAN_START = re.compile(r"<!--|<(script|style)\b", re.I)
+_SPAN_END = {"script": re.compile("</script", re.I), "style": re.compile("</style", re.I), "": re.compile("-->")}
 _SILENT_END = re.compile(rf"</({'|'.join(sorted(SILENT))})(?=[\s/>])", re.I)
 
 
@@ -73,11 +84,13 @@ class Node:
 def mark_of(tag: str, attrs: list[tuple[str, str | None]]) -> int:
     """Whether an element says that it is not part of the article.
 
-    A label that only ends in a mark, as in "has-sidebar", may also be that of a wrapper.
+    A label of marks and places is sure, as in "nav-bar".  One that only begins or ends
+    with a mark may also be that of a wrapper or of a subject, as in "has-sidebar" or
+    "social-science", and a form may hold the page.
     """
-    if tag in ASIDE:
+    if tag in ASIDE and tag != "form":
         return MARKED
-    mark = NOT_MARKED
+    mark = PERHAPS if tag == "form" else NOT_MARKED
     for name, value in attrs:
         value = (value or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
@@ -87,13 +100,32 @@ def mark_of(tag: str, attrs: list[tuple[str, str | None]]) -> int:
         if name in ("class", "id"):
             for label in value.split():
                 words = _WORD.findall(label)
-                if words and words[0] in MARKS:
+                if not words or MARKS.isdisjoint((words[0], words[-1])):
+                    continue
+                if all(w in MARKS or w in PLACES for w in words):
                     return MARKED
-                if words and words[-1] in MARKS:
-                    mark = PERHAPS
+                mark = PERHAPS
     return mark
 
 
+def closed(html: str) -> tuple[str, str]:
+    """A page up to a comment, script or style that never ends, and the page without any of these.
+
+    What never ends takes the rest of the page.  Behind the last ">" no tag can end, so
+    every "<" there is text.  One pass, so that a page of open comments takes no longer.
+    """
+    last = html.rfind(">") + 1
+    html = html[:last] + html[last:].replace("<", "&lt;")
+    parts, at = [], 0
+    while (found := _SPAN_START.search(html, at)) is not None:
+        parts.append(html[at : found.start()])
+        end = _SPAN_END[(found[1] or "").lower()].search(html, found.end())
+        if end is None:
+            return html[: found.start()], "".join(parts)
+        at = end.end() if found[1] is None else end.start()
+    return html, "".join([*parts, html[at:]])
+
+
 class Builder(HTMLParser):
     """A tree of the elements and texts of a page, whatever it leaves open."""
 
@@ -105,9 +137,12 @@ class Builder(HTMLParser):
         self.inner: list[str] = []
         #: End tags of silent elements that are still to come.
         self.to_come: Counter[str] = Counter()
+        #: How many elements of a tag are open.
+        self.open: Counter[str] = Counter()
 
     def feed(self, data: str) -> None:
-        self.to_come = Counter(tag.lower() for tag in _SILENT_END.findall(_NO_MARKUP.sub("", data)))
+        data, markup = closed(data)
+        self.to_come = Counter(tag.lower() for tag in _SILENT_END.findall(markup))
         super().feed(data)
 
     def set_cdata_mode(self, elem: str, **kinds) -> None:
@@ -135,9 +170,13 @@ class Builder(HTMLParser):
                 self.inner.clear()
 
     def _leave(self, node: Node) -> None:
-        self.at = node.parent or self.root
+        while self.at is not node.parent and self.at is not self.root:
+            self.open[self.at.tag] -= 1
+            self.at = self.at.parent
 
     def _end_open(self, tags: set[str] | frozenset[str], scopes: frozenset[str]) -> None:
+        if not any(self.open[tag] for tag in tags):
+            return
         node = self.at
         while node is not self.root and node.tag not in tags:
             if node.tag in scopes:
@@ -147,10 +186,7 @@ class Builder(HTMLParser):
             self._leave(node)
 
     def _inside(self, tag: str) -> bool:
-        node = self.at
-        while node is not None and node.tag != tag:
-            node = node.parent
-        return node is not None
+        return tag == self.root.tag or self.open[tag] > 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if self.silent:
@@ -175,6 +211,7 @@ class Builder(HTMLParser):
         self.at.parts.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         if not self.silent and tag not in SILENT:
@@ -217,26 +254,49 @@ def _post_order(root: Node) -> list[Node]:
 
 
 def _drop_marked(root: Node) -> None:
-    """Take out what lies around the article.
+    """Take out what is surely around the article; what has an article in it stays.
 
-    What has the article in it stays, and so does what is only perhaps marked and has
-    most of the text.
+    Where a page says which element is its article, what is perhaps around it goes too.
     """
     holders = set()
     for node in _post_order(root):
-        node.chars = sum(len(p.strip()) if isinstance(p, str) else p.chars for p in node.parts)
-        if node.tag in ("article", "main") and node.marked == NOT_MARKED or any(id(n) in holders for n in node.nodes()):
+        if node.tag in ("article", "main") and node.marked != MARKED or any(id(n) in holders for n in node.nodes()):
             holders.add(id(node))
-    most = root.chars / 2
+    gone = PERHAPS if holders else MARKED
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        node.parts = [p for p in node.parts if isinstance(p, str) or p.marked < gone or id(p) in holders]
+        todo += node.nodes()
+
 
-    def stays(node: Node) -> bool:
-        return node.marked == NOT_MARKED or id(node) in holders or node.marked == PERHAPS and node.chars > most
+def _drop_perhaps(root: Node) -> Node:
+    """Take out what is perhaps around the article and has no part in it; the heart of the rest.
 
+    An element on the way to the heart stays, and so does one with most of the text: the
+    heart then is looked for again.
+    """
+    heart = heart_of(root)
+    path = {id(heart)}
+    node = heart
+    while (node := node.parent) is not None:
+        path.add(id(node))
+    most, dropped = root.chars / 2, False
     todo = [root]
     while todo:
         node = todo.pop()
-        node.parts = [p for p in node.parts if isinstance(p, str) or stays(p)]
+        kept = [p for p in node.parts if isinstance(p, str) or p.marked == NOT_MARKED or id(p) in path or p.chars > most and _is_written(p)]
+        dropped |= len(kept) < len(node.parts)
+        node.parts = kept
         todo += node.nodes()
+    if dropped:
+        _measure(root)
+    return heart_of(root)
+
+
+def _is_written(node: Node) -> bool:
+    """Whether an element can hold an article: any but a form without text blocks."""
+    return node.tag != "form" or any(n.tag in WRITTEN for n in _post_order(node))
 
 
 def _measure(root: Node) -> None:
@@ -257,12 +317,25 @@ def _measure(root: Node) -> None:
         if chars:
             base = math.log(chars / plain * node.link_chars + share * chars + math.e)
             node.density = chars / tags * math.log(max(chars / links * tags / link_tags, 1.0) + 1e-9 + 1) / max(math.log(base + 1), 1e-9)
-        node.total = sum(n.density for n in node.nodes())
+        node.total = sum(n.density * (PERHAPS_WEIGHT if n.marked == PERHAPS else 1.0) for n in node.nodes())
+
+
+def heart_of(root: Node) -> Node:
+    """The node whose children's densities add up to most; the outermost of equals.
+
+    Below an element that is perhaps not part of the article sums count less.
+    """
+    best, most, todo = root, -1.0, [(root, 1.0)]
+    while todo:
+        node, weight = todo.pop()
+        if node.total * weight > most:
+            best, most = node, node.total * weight
+        todo += [(n, weight * PERHAPS_WEIGHT if n.marked == PERHAPS else weight) for n in reversed(list(node.nodes()))]
+    return best
 
 
-def _article(root: Node) -> list[Node]:
-    """The subtrees that hold the article, in page order."""
-    best = max(reversed(_post_order(root)), key=lambda node: node.total)
+def _article(root: Node, best: Node) -> list[Node]:
+    """The subtrees that hold the article around its heart, in page order."""
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
@@ -321,9 +394,10 @@ def main_text(html: str | None) -> str:
     root = builder.root
     _drop_marked(root)
     _measure(root)
+    heart = _drop_perhaps(root)
     if not root.chars:
         return ""
-    return "\n\n".join(block for node in _article(root) for block in _blocks(node))
+    return "\n\n".join(block for node in _article(root, heart) for block in _blocks(node))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,10 +411,11 @@ def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of each page.
 
     The whole html is read; null html has empty text.  Menus, headers, footers,
-    sidebars, notices, adverts, forms, scripts, styles and reader comments are told by
-    their elements, roles and class or id words and taken out first.  Of what is left
-    the subtree whose children's link-adjusted characters per tag add up to most is the
-    heart of the article.  The article or main element around it counts whole; without
+    sidebars, notices, adverts, scripts, styles and reader comments that say so by their
+    elements, roles or class and id words are taken out first.  Of what is left the
+    subtree whose children's link-adjusted characters per tag add up to most is the heart
+    of the article; labels that only begin or end with such a word, and forms, weigh less
+    in it and go unless the heart or most of the text is in them.  The article or main element around it counts whole; without
     one, every subtree beside the path to the body counts that is as dense as the
     thinnest node on the path.  Character references are decoded, a block's white space
     is one space, and blocks are joined by an empty line.  Pages are independent: rows of

@@ -65,6 +65,83 @@ def test_odd_pages(html, text):
     assert html_text.main_text(html) == text
 
 
+LONG = "Some words of a story that goes on for a while, with nothing but words in it. "
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><nav>Home</nav><article class='social-science'>%s</article><footer>x</footer></body>",
+        "<body><nav>Home</nav><div class='ad-hoc-report'>%s</div><footer>x</footer></body>",
+        "<body><nav>Home</nav><div id='search-engine-history'>%s</div><div class='nav-bar'>x</div></body>",
+        "<body><form method=post action='/p.aspx'><nav>Home</nav><div>%s</div><input name=q><footer>x</footer></form></body>",
+        "<body><form><main>%s</main></form><form><label>Your mail</label><input></form></body>",
+        "<body><div class='notice-board'><div>%s</div></div><div class='related-stories'><p>Other story, one more, and more.</p></div></body>",
+        "<body><div id='share-holders-news'>%s</div><div class='comments-list'><p>" + LONG * 20 + "</p></div></body>",
+    ],
+)
+def test_subjects_that_sound_like_surroundings_stay(page):
+    article = f"<h1>Head</h1><p>{LONG * 3}</p><p>{LONG * 2}</p>"
+    assert html_text.main_text(page % article) == "\n\n".join(["Head", (LONG * 3).strip(), (LONG * 2).strip()])
+
+
+@pytest.mark.parametrize("bit", ["<!-- open ", "<script>x ", "<style> y ", "<!a ", "<a b='", "<?x ", "</ ", "<![CDATA[ ", "<div class=ad>", "<select>", "<p>t<b>"])
+def test_a_long_page_of_open_markup_takes_linear_time(bit):
+    import time
+
+    start = time.time()
+    text = html_text.main_text("<article><p>Story.</p></article>" + bit * (300_000 // len(bit)))
+    assert time.time() - start < 4 and text.startswith("Story.")
+
+
+def density(node):
+    """Composite density and its sum over children, by the definition, from the leaves on."""
+    inner = [n for n in node.parts if isinstance(n, html_text.Node)]
+    below = [density(n) for n in inner]
+    chars = sum(len(" ".join(p.split())) for p in node.parts if isinstance(p, str)) + sum(b["chars"] for b in below)
+    return {
+        "node": node,
+        "chars": chars,
+        "tags": len(inner) + sum(b["tags"] for b in below),
+        "link_chars": chars if node.tag == "a" else sum(b["link_chars"] for b in below),
+        "link_tags": sum(b["link_tags"] + (n.tag == "a") for n, b in zip(inner, below, strict=True)),
+        "below": below,
+    }
+
+
+def test_the_heart_is_the_greatest_sum_of_densities():
+    rng = random.Random(8)
+    for _ in range(60):
+
+        def part(depth):
+            tag = rng.choice(["div", "p", "a", "section", "span"])
+            inside = "".join(rng.choice(["words and words ", part(depth - 1)]) for _ in range(rng.randint(1, 4))) if depth else LONG[: rng.randint(1, 70)]
+            return f"<{tag}>{inside}</{tag}>"
+
+        builder = html_text.Builder()
+        builder.feed("<body>" + "".join(part(4) for _ in range(3)) + "</body>")
+        builder.close()
+        html_text._measure(builder.root)
+        whole = density(builder.root)
+        share = whole["link_chars"] / max(whole["chars"], 1)
+
+        def value(d, share=share):
+            c, t, lc, lt = d["chars"], max(d["tags"], 1), max(d["link_chars"], 1), max(d["link_tags"], 1)
+            if not c:
+                return 0.0
+            base = math.log(c / max(c - d["link_chars"], 1) * d["link_chars"] + share * c + math.e)
+            return c / t * math.log(max(c / lc * t / lt, 1.0) + 1e-9 + 1) / max(math.log(base + 1), 1e-9)
+
+        sums, todo = [], [whole]
+        while todo:
+            d = todo.pop()
+            sums.append((sum(map(value, d["below"])), d["node"]))
+            todo += d["below"]
+        best = max(s for s, _ in sums)
+        heart = html_text.heart_of(builder.root)
+        assert math.isclose(next(s for s, n in sums if n is heart), best, rel_tol=1e-9)
+
+
 def test_pages_keep_their_rows(spark):
     rows = [(1, "u", PAGE % "<article><p>é</p></article>", 7), (1, None, None, 8), (None, "v", "", None)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
