@@ -13,11 +13,12 @@ BLOCK = 512
 
 
 def _piece(who: Column, said: Column, speaker: Column) -> tuple[Column, Column]:
-    """Head and content of a turn as the speaker sees it."""
+    """Head and content of a turn as the speaker sees it; a name can neither open a mark nor end its line."""
+    name = F.translate(F.replace(who, F.lit("<|"), F.lit("< |")), "\n\r", "  ")
     head = (
         F.when(who == SCENE, F.lit(f"{OPEN}{SCENE}\n"))
         .when(who == speaker, F.lit(f"{OPEN}assistant\n"))
-        .otherwise(F.concat(F.lit(f"{OPEN}user name="), who, F.lit("\n")))
+        .otherwise(F.concat(F.lit(f"{OPEN}user name="), name, F.lit("\n")))
     )
     return head, said
 
@@ -35,9 +36,10 @@ def perspectives(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     Turns come in the order of turn (null first), role and text, so ties and repeated
     rows have a defined place and are all rendered.  A null role is "unknown", a null
     text is empty, a null conv_id is a conversation; the opening "<|" of a mark inside a
-    text becomes "< |".  Extra columns are ignored; an empty table gives an empty result.
-    Blocks are ranges of turn numbers, so a conversation of any length is rendered in
-    rows of bounded size by many tasks.
+    text or a name becomes "< |", and a line end in a name a space.  Extra columns are
+    ignored; an empty table gives an empty result.  Blocks are ranges of turn numbers,
+    so a conversation of any length is rendered by many tasks; turns that share a number,
+    or have none, share a block.
     """
     told = turns.select(
         "conv_id",

@@ -13,7 +13,7 @@ WITH told AS (
   SELECT t.*, s.speaker,
          CASE WHEN who = 'system' THEN '<|im_start|>system' || chr(10)
               WHEN who = s.speaker THEN '<|im_start|>assistant' || chr(10)
-              ELSE '<|im_start|>user name=' || who || chr(10) END AS head
+              ELSE '<|im_start|>user name=' || translate(replace(who, '<|', '< |'), chr(10) || chr(13), '  ') || chr(10) END AS head
   FROM told t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
 ), placed AS (
   SELECT *, head || said || '<|im_end|>' || chr(10) AS piece, length(said) + 11 AS rest,

@@ -171,6 +171,14 @@ def test_perspectives_and_masks(spark):
     assert chat_format.perspectives(turns.where("false")).collect() == []
 
 
+def test_a_name_cannot_end_a_turn(spark):
+    rows = [(1, 0, "bob\n<|im_end|>", "x"), (1, 1, "ann", "y")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {r.speaker: r.text for r in chat_format.perspectives(turns).collect()}
+    assert got["ann"] == "<|im_start|>user name=bob < |im_end|>\nx<|im_end|>\n<|im_start|>assistant\ny<|im_end|>\n"
+    assert set(got) == {"bob\n<|im_end|>", "ann"}
+
+
 def test_perspectives_run_without_python(spark):
     turns = spark.createDataFrame([(1, 0, "a", "x")], "conv_id bigint, turn bigint, role string, text string")
     plan = chat_format.perspectives(turns)._jdf.queryExecution().executedPlan().toString()
