@@ -52,6 +52,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for start, end in zip(edges, edges[1:], strict=False):
             yield batch.slice(start, end - start)
+    # a worker that waits for its next task keeps no buffers of the last
+    pa.default_memory_pool().release_unused()
 
 
 def prefix_sums(
