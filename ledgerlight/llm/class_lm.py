@@ -27,13 +27,18 @@ SPELLINGS, CLASSES = 256, 48
 ADDED, ADDED_STEP = 0.1, 0.5
 #: Words whose counts a task holds before it hands them on.
 MOST_WORDS = 1_000_000
-#: Bytes of text that a task turns into numbers at once.
+#: Bytes of text that a task turns into numbers at once; they are one slice, and one row, from then on.
 AT_ONCE = 1 << 21
+#: Parquet groups of slices are small, since a row has a megabyte.
+SLICES = {"compression": "zstd", "parquet.block.size": str(1 << 24)}
+#: Ranges of fingerprints in which the rare words of slices meet their counts, at least.
+BUCKETS = 256
 #: In a path, the class of a word that is not known is a guess by its spelling, and marked.
 GUESS = 128
 #: Words are told by 64-bit fingerprints; this stands for the end of a text.
 END = 0
-CODED = "key bigint, doc_id bigint, units binary, rare binary, spelling binary"
+CODED = "key bigint, doc_id array<bigint>, units binary, rare binary, spelling binary"
+KINDS = {"units": np.uint16, "rare": np.int64, "spelling": np.uint8}
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -95,7 +100,7 @@ def _spellings(texts: list[bytes]) -> np.ndarray:
 
 
 def _coded(known):
-    """Each text as units: 0 for its end, k + 1 for the k-th known word, the last unit for any other.
+    """The texts of a slice as units: 0 for an end, k + 1 for the k-th known word, the last unit for any other.
 
     Beside them stand the fingerprints and spellings of the others, in order.
     """
@@ -112,18 +117,13 @@ def _coded(known):
                 at = np.minimum(np.searchsorted(ordered, hashes), len(keys) - 1)
                 units = np.where(ordered[at] == hashes, order[at] + 1, units).astype(np.uint16)
             is_rare = units == len(keys) + 1
-            rare, spelt = hashes[is_rare], _spellings(texts)[is_rare]
-            upto = np.searchsorted(np.flatnonzero(is_rare), ends)
-            whole, over = np.insert(units, ends, 0), ends + np.arange(1, len(ends) + 1)
+            parts = np.insert(units, ends, 0), hashes[is_rare], _spellings(texts)[is_rare]
+            ids = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), batch.column("doc_id"))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(row, row + len(texts))),
-                    batch.column("doc_id"),
-                    *(_cut(values, places) for values, places in ((whole, over), (rare, upto), (spelt, upto))),
-                ],
+                [pa.array([row]), ids, *(_cut(values, [len(values)]) for values in parts)],
                 names=[part.split()[0] for part in CODED.split(", ")],
             )
-            row += len(texts)
+            row += 1
 
     return emit
 
@@ -140,16 +140,29 @@ def _joined(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(column.to_pylist()), kind), np.cumsum(sizes)
 
 
-def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of training documents, in slices."""
-    for batch in slices(batches, "units", AT_ONCE):
-        kept = [not held_out(i) for i in batch.column("doc_id").to_pylist()]
-        if any(kept):
-            yield batch.filter(pa.array(kept))
+def _slices(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list]:
+    """The columns ``names`` of each slice: ids and keys as they are, all others as arrays."""
+    for batch in batches:
+        columns = [batch.column(name) for name in names]
+        for row in range(batch.num_rows):
+            yield [np.frombuffer(c[row].as_buffer(), KINDS[x]) if x in KINDS else c[row].as_py() for x, c in zip(names, columns, strict=True)]
+    pa.default_memory_pool().release_unused()
+
+
+def _ends(units: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(units == 0) + 1
+
+
+def _trained(ids: list, units: np.ndarray) -> np.ndarray:
+    """Which units are those of training documents."""
+    return np.repeat(np.array([not held_out(i) for i in ids]), np.diff(_ends(units), prepend=0))
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    return (_joined(batch.column("units"), np.uint16)[0].astype(np.int32) for batch in _trained(batches))
+    for ids, units in _slices(batches, "doc_id", "units"):
+        kept = _trained(ids, units)
+        if kept.any():
+            yield units[kept].astype(np.int32)
 
 
 def _before(units: np.ndarray) -> np.ndarray:
@@ -189,12 +202,11 @@ def _rest(classes):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = classes.value
-        for batch in _trained(batches):
-            units = _joined(batch.column("units"), np.uint16)[0]
-            rare = _joined(batch.column("rare"), np.int64)[0]
-            spelt = _joined(batch.column("spelling"), np.uint8)[0]
+        for ids, units, rare, spelt in _slices(batches, "doc_id", *KINDS):
+            is_rare, kept = units == len(of) - 1, _trained(ids, units)
+            rare, spelt = rare[kept[is_rare]], spelt[kept[is_rare]]
             found = of[units]
-            at = np.flatnonzero(units == len(of) - 1)
+            at = np.flatnonzero(is_rare & kept)
             # CLASSES stands for a class that is not known; no text ends with a rare unit
             after, before = (np.where(x < 0, CLASSES, x) for x in (found[np.minimum(at + 1, len(units) - 1)], _before(found)[at]))
             near = (after.astype(np.int32) * (CLASSES + 1) + before) * SPELLINGS + spelt
@@ -327,74 +339,134 @@ def best_classes(table: np.ndarray, after: np.ndarray, before: np.ndarray) -> np
     return np.argmax(gain, axis=1)
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, place, word) of each token that is not known: its document and its number among these."""
-    for batch in slices(batches, "rare", AT_ONCE):
-        rare, ends = _joined(batch.column("rare"), np.int64)
-        if not len(rare):
+def _bucketed(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that sorted words fall into, and where the words of each end."""
+    of = (words >> U64(32)) * U64(buckets) >> U64(32)
+    ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(of))
+    return of[ends - 1].astype(np.int32), ends
+
+
+def _asked(buckets: int):
+    """(bucket, key, words) of each slice: its distinct words that are not known, in order."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rare in _slices(batches, "key", "rare"):
+            if len(rare):
+                words = np.unique(rare.view(U64))
+                bucket, ends = _bucketed(words, buckets)
+                none = pa.nulls(len(ends), pa.binary())
+                columns = [pa.array(bucket), pa.array(np.full(len(ends), key)), _cut(words, ends), none, none]
+                yield pa.RecordBatch.from_arrays(columns, names=ASKED_NAMES)
+
+    return emit
+
+
+def _listed(buckets: int):
+    """(bucket, -1, words, n, class) of the words that training has seen, MOST_WORDS or so at once."""
+
+    def rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        words = table.column("word").to_numpy().view(U64)
+        order = np.argsort(words)
+        bucket, ends = _bucketed(words[order], buckets)
+        n, of = (table.column(name).to_numpy()[order].astype(kind) for name, kind in ANSWERS.items())
+        columns = [pa.array(bucket), pa.array(np.full(len(ends), -1)), _cut(words[order], ends), _cut(n, ends), _cut(of, ends)]
+        return pa.RecordBatch.from_arrays(columns, names=ASKED_NAMES)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held += [batch] if batch.num_rows else []
+            if sum(x.num_rows for x in held) > MOST_WORDS:
+                yield rows(held)
+                held = []
+        if held:
+            yield rows(held)
+
+    return emit
+
+
+ASKED = "bucket int, key bigint, words binary, n binary, class binary"
+ASKED_NAMES = [part.split()[0] for part in ASKED.split(", ")]
+#: A word beyond the KNOWN first is less than one token in KNOWN, so its count fits.
+ANSWERS = {"n": np.uint32, "class": np.uint8}
+ANSWERED = "key bigint, bucket int, n binary, class binary"
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Count and class of each word that a slice asks for, 0 where training has not seen it; rows come sorted by bucket."""
+    for group in _groups(batches, "bucket"):
+        listed = pc.less(group.column("key"), 0)
+        known, asked = group.filter(listed), group.filter(pc.invert(listed))
+        if not asked.num_rows:
             continue
-        sizes = np.diff(ends, prepend=0)
-        place = np.arange(len(rare)) - np.repeat(ends - sizes, sizes)
-        keys = np.repeat(batch.column("key").to_numpy(), sizes)
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(place.astype(np.int32)), pa.array(rare)], names=["key", "place", "word"])
+        seen = _joined(known.column("words"), U64)[0]
+        order = np.argsort(seen)
+        words, ends = _joined(asked.column("words"), U64)
+        at = np.searchsorted(seen, words, sorter=order)
+        met = at < len(seen)
+        met[met] = seen[order[at[met]]] == words[met]
+        at = order[at[met]]
+        columns = []
+        for name, kind in ANSWERS.items():
+            values = np.zeros(len(words), kind)
+            values[met] = _joined(known.column(name), kind)[0][at]
+            columns.append(_cut(values, ends))
+        yield pa.RecordBatch.from_arrays(
+            [asked.column("key").combine_chunks(), asked.column("bucket").combine_chunks(), *columns],
+            names=[part.split()[0] for part in ANSWERED.split(", ")],
+        )
 
 
 def _heads(model):
-    """(key, -1, doc_id, path, log, seen) of each document: what is known without its rare words."""
+    """(key, -1, ..) of each slice: what is known without its rare words, and which of its distinct ones each of these is."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, logs, seen, unseen = model.value
-        for batch in slices(batches, "units", AT_ONCE):
-            units, ends = _joined(batch.column("units"), np.uint16)
-            starts = np.concatenate(([0], ends[:-1]))
+        for key, ids, units, rare, spelt in _slices(batches, "key", "doc_id", *KINDS):
+            starts = np.append(0, _ends(units)[:-1])
             path = of[units]
-            path[units == len(of) - 1] = GUESS + unseen[_joined(batch.column("spelling"), np.uint8)[0]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("key"),
-                    pa.array(np.full(len(ends), -1, np.int32)),
-                    pa.array(np.zeros(len(ends), np.int64)),
-                    pa.array(np.zeros(len(ends), np.int32)),
-                    batch.column("doc_id"),
-                    _cut(path.astype(np.uint8), ends),
-                    pa.array(np.add.reduceat(logs[units], starts)),
-                    pa.array(np.add.reduceat(seen[units], starts)),
-                ],
-                names=HEAD_NAMES,
+            path[units == len(of) - 1] = GUESS + unseen[spelt]
+            words, place = np.unique(rare.view(U64), return_inverse=True)
+            parts = (
+                path.astype(np.uint8),
+                np.add.reduceat(logs[units], starts),
+                np.add.reduceat(seen[units], starts),
+                place.astype(np.uint16 if len(words) <= 1 << 16 else np.uint32),
             )
+            none = pa.nulls(1, pa.binary())
+            columns = [pa.array([key]), pa.array([-1], pa.int32()), none, none, pa.array([ids], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*columns, *(_cut(x, [len(x)]) for x in parts)], names=HEAD_NAMES)
 
     return emit
 
 
-HEAD = "key bigint, place int, n bigint, class int, doc_id bigint, path binary, log double, seen bigint"
+HEAD = ANSWERED + ", doc_id array<bigint>, path binary, log binary, seen binary, place binary"
 HEAD_NAMES = [part.split()[0] for part in HEAD.split(", ")]
 FOUND = "doc_id bigint, n_tokens bigint, n_known bigint, log double, path binary"
 
 
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The path of each document with the classes that its rare words have met; rows come sorted by document."""
+    """The path of each document with the classes that its rare words have met; rows come sorted by slice and bucket."""
     for group in _groups(batches, "key"):
-        place = group.column("place").to_numpy()
-        at = np.flatnonzero(place < 0)
-        heads = group.take(pa.array(at)).combine_chunks().to_batches()[0]
-        path, ends = _joined(heads.column("path"), np.uint8)
-        path = path.copy()
-        row = np.cumsum(place < 0) - 1
-        words = place >= 0
-        n = group.column("n").to_numpy()
-        met = words & (n > 0)
-        # the rare words of a document are the marked places of its path, in order
-        marked = np.flatnonzero(path >= GUESS)
-        first = np.searchsorted(marked, np.append(0, ends[:-1]))
-        path[marked] -= GUESS
-        path[marked[first[row[met]] + place[met]]] = group.column("class").to_numpy()[met]
-        size = len(at)
-        log = heads.column("log").to_numpy() + np.bincount(row[words], np.log10(n[words] + ADDED), size)
-        known = heads.column("seen").to_numpy() + np.bincount(row[met], minlength=size)
-        yield pa.RecordBatch.from_arrays(
-            [heads.column("doc_id"), pa.array(np.diff(ends, prepend=0)), pa.array(known.astype(np.int64)), pa.array(log), _cut(path, ends)],
-            names=[part.split()[0] for part in FOUND.split(", ")],
-        )
+        heads = np.flatnonzero(group.column("bucket").to_numpy() < 0)
+        for start, end in zip(heads, np.append(heads[1:], group.num_rows), strict=True):
+            head = {name: group.column(name)[start] for name in HEAD_NAMES[4:]}
+            path, log, seen = (np.frombuffer(head[x].as_buffer(), kind) for x, kind in (("path", np.uint8), ("log", float), ("seen", np.int64)))
+            ends, marked = _ends(path), np.flatnonzero(path >= GUESS)
+            size = head["place"].as_buffer().size
+            place = np.frombuffer(head["place"].as_buffer(), np.uint16 if size == 2 * len(marked) else np.uint32)
+            # the answers of all buckets, in order, are those of the distinct words of the slice
+            n, of = (_joined(group.column(x).slice(start + 1, end - start - 1), kind)[0][place] for x, kind in ANSWERS.items())
+            met, row = n > 0, np.searchsorted(ends, marked, side="right")
+            path = path.copy()
+            path[marked] = np.where(met, of, path[marked] - GUESS)
+            log = log + np.bincount(row, np.log10(n + ADDED), len(ends))
+            known = seen + np.bincount(row[met], minlength=len(ends))
+            yield pa.RecordBatch.from_arrays(
+                [head["doc_id"].values, pa.array(np.diff(ends, prepend=0)), pa.array(known), pa.array(log), _cut(path, ends)],
+                names=[part.split()[0] for part in FOUND.split(", ")],
+            )
 
 
 def _class_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,13 +517,14 @@ def word_classes(coded: DataFrame, known: int) -> tuple[np.ndarray, DataFrame]:
     share = coded.sparkSession.sparkContext.broadcast
     core = 1 + min(CORE, known)
 
-    steps = _gathered(coded.mapInArrow(_pairs(core), "cell int, n bigint"), core * core).reshape(core, core)
+    units = coded.select("doc_id", "units")
+    steps = _gathered(units.mapInArrow(_pairs(core), "cell int, n bigint"), core * core).reshape(core, core)
     of = np.full(known + 2, -1)
     of[:core] = exchange(steps)
     table = class_steps(steps, of[:core], CLASSES)  # none of the words that choose below is in it
     more = known + 1 - core
     for _ in range(ROUNDS if more else 0):
-        near = _gathered(coded.mapInArrow(_contexts(core, share(of.astype(np.int16))), "cell int, n bigint"), more * 2 * CLASSES)
+        near = _gathered(units.mapInArrow(_contexts(core, share(of.astype(np.int16))), "cell int, n bigint"), more * 2 * CLASSES)
         after, before = near.reshape(more, 2, CLASSES).transpose(1, 0, 2)
         of[core:-1] = best_classes(table, after, before)
     rest = coded.mapInArrow(_rest(share(of)), "word bigint, near int")
@@ -479,10 +552,11 @@ def scored(docs: DataFrame) -> DataFrame:
 
     Words are told by 64-bit fingerprints: two words among a hundred million share one
     with a chance of 3 in 10,000.  Texts are read twice, once to count words and once to
-    be stored as numbers, which all later steps read.  What reaches the driver is
-    bounded: KNOWN words, CORE squared pairs, the classes next to KNOWN words.  Rarer
-    words meet their counts and classes in one join and go back to their documents;
-    frequent words, the skewed keys, never enter it.
+    be stored as numbers, in slices of AT_ONCE, which all later steps read.  What reaches
+    the driver is bounded: KNOWN words, CORE squared pairs, the classes next to KNOWN
+    words.  Of the rarer words, each slice sends the distinct ones once, in one row for
+    each range of fingerprints, to where their counts and classes are, and gets these back
+    in the same order; frequent words never enter it, so no range is larger than others.
     """
     share = docs.sparkSession.sparkContext.broadcast
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -493,7 +567,7 @@ def scored(docs: DataFrame) -> DataFrame:
     words, n = top.column("word").to_numpy(), top.column("n").to_numpy()
     order = np.lexsort((words, -n))
     words, n = words[order], n[order]
-    coded = stored(docs.mapInArrow(_coded(share(words)), CODED))
+    coded = stored(docs.mapInArrow(_coded(share(words)), CODED), **SLICES)
     of, rest = word_classes(coded, len(words))
 
     tokens = np.bincount(of[:-1], [texts, *n], CLASSES)
@@ -510,12 +584,12 @@ def scored(docs: DataFrame) -> DataFrame:
     logs = np.append(np.log10(np.array([texts, *n]) + ADDED), 0.0)
     seen = np.append(np.array([texts > 0, *[True] * len(words)], np.int64), 0)
     heads = coded.mapInArrow(_heads(share((of, logs, seen, unseen))), HEAD)
-    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (part.split() for part in HEAD.split(", ")[4:])]
-    met = coded.mapInArrow(_places, "key bigint, place int, word bigint").join(rest, "word", "left")
-    met = met.select("key", "place", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", F.lit(0)).alias("class"), *nothing)
-    # a document is one group, as large as its text
-    found = heads.unionByName(met).repartition("key").sortWithinPartitions("key", "place")
-    found = stored(found.mapInArrow(_filled, FOUND))
+    rare = coded.agg(F.coalesce(F.sum(F.octet_length("spelling")), F.lit(0))).first()[0]
+    buckets = max(BUCKETS, rare // (2 * MOST_WORDS))
+    asked = coded.select("key", "rare").mapInArrow(_asked(buckets), ASKED).unionByName(rest.mapInArrow(_listed(buckets), ASKED))
+    answers = asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_answered, ANSWERED)
+    found = heads.unionByName(answers, allowMissingColumns=True).repartition("key").sortWithinPartitions("key", "bucket")
+    found = stored(found.mapInArrow(_filled, FOUND), compression="zstd")
 
     table = _gathered(found.mapInArrow(_class_pairs, "cell int, n bigint"), CLASSES * CLASSES).reshape(CLASSES, CLASSES)
     step_log = np.log10((table + ADDED_STEP) / (table.sum(axis=1, keepdims=True) + ADDED_STEP * CLASSES))

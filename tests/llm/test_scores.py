@@ -223,6 +223,60 @@ def test_rare_words_of_one_ending_go_by_their_neighbours(spark, monkeypatch, cor
     assert gain > 0.2  # half of the words can follow: log10 2 is 0.3
 
 
+def test_rare_words_travel_once_a_slice(spark, words, monkeypatch, tmp_path):
+    """Bytes that come back to the documents for each token that is not known."""
+    import random
+    from uuid import uuid4
+
+    monkeypatch.setattr(class_lm, "KNOWN", 40)
+    monkeypatch.setattr(class_lm, "CORE", 20)
+    whole = class_lm._filled
+
+    def filled(batches):
+        sizes = []
+        yield from whole(sizes.append(batch.nbytes) or batch for batch in batches)
+        (tmp_path / uuid4().hex).write_text(str(sum(sizes)))
+
+    monkeypatch.setattr(class_lm, "_filled", filled)
+    rng = random.Random(9)
+    many = [f"{a}{b}" for a in words for b in words[:30]]
+    rows = [(i, " ".join(rng.choices(many, k=1500))) for i in range(200)]
+    assert class_lm.scored(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)).count() == len(rows)
+    moved = sum(int(path.read_text()) for path in tmp_path.iterdir())
+    assert 0 < moved < 10 * 1500 * len(rows)  # one row a token took 53
+
+
+@pytest.mark.parametrize("buckets", [1, 7])
+def test_ranges_of_words_leave_scores_alone(docs, monkeypatch, buckets):
+    monkeypatch.setattr(class_lm, "KNOWN", 40)
+    monkeypatch.setattr(class_lm, "CORE", 20)
+    want = sorted(map(tuple, class_lm.scored(docs).collect()))
+    monkeypatch.setattr(class_lm, "BUCKETS", buckets)
+    assert sorted(map(tuple, class_lm.scored(docs).collect())) == want
+
+
+def test_counts_of_more_rare_words_than_16_bits_tell(spark, monkeypatch):
+    """One slice has 80,000 distinct words, and others that training has not seen."""
+    monkeypatch.setattr(class_lm, "KNOWN", 40)
+    monkeypatch.setattr(class_lm, "CORE", 20)
+    texts = {i: " ".join(f"{k:x}" for k in range(i, 80_000 + 1000 * i, 1 + i)) for i in range(12)}
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}
+    assert True in held.values()
+    counts = Counter(w for i, t in texts.items() if not held[i] for w in [*t.split(), ""])
+    norm = math.log10(sum(counts.values()) + 0.1 * (len(counts) + 1))
+    for r in class_lm.scored(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").coalesce(1)).collect():
+        tokens = [*texts[r.doc_id].split(), ""]
+        assert (r.n_tokens, r.n_known, r.held_out) == (len(tokens), sum(counts[w] > 0 for w in tokens), held[r.doc_id])
+        assert math.isclose(r.base_score, sum(math.log10(counts[w] + 0.1) - norm for w in tokens), rel_tol=1e-9)
+
+
+def test_without_training_documents_no_word_is_known(spark):
+    held = [i for i in range(100) if class_lm.held_out(i)]
+    rows = class_lm.scored(spark.createDataFrame([(i, "a b a") for i in held] + [(None, None)], "doc_id bigint, text string")).collect()
+    assert len(rows) == len(held) + 1
+    assert all(r.held_out and (r.n_known, r.train_tokens, r.base_score) == (0, 0, 0.0) and math.isfinite(r.score) for r in rows)
+
+
 def likelihood(steps, of, classes):
     member = np.eye(classes)[of]
     table = member.T @ steps @ member
