@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.common import stored
+from ledgerlight.llm.common import dropped, stored, without_shuffles
 from ledgerlight.llm.components import components
 
 #: Vectors of the sample that the tree is built on, and rows of a block.
@@ -19,6 +19,8 @@ SAMPLE, BLOCK_ROWS = 1024, 2048
 PAIRS_AT_ONCE = 50_000
 #: Rows of a block that are compared at once.
 STRIP = 256
+#: Bytes of blocks that a task compares with as many, and parts that the blocks are dealt to at least.
+PART_BYTES, PARTS = 8_000_000, 8
 LAST_ID = 2**63 - 1
 #: A node with so few vectors of the sample is not divided further.
 LEAF_SAMPLE = 4
@@ -126,9 +128,19 @@ class Tree:
         return np.sort(at[np.concatenate(done)], axis=1) if done else np.empty((0, 2), int)
 
 
-def _unit(column: pa.Array, width: int) -> np.ndarray:
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` stored, and its shuffles removed, so that the disk holds those of one step at a time."""
+    with without_shuffles(df.sparkSession):
+        return stored(df)
+
+
+def _flat(column: pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    vectors = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    return flat.flatten().to_numpy(zero_copy_only=False)
+
+
+def _unit(flat: np.ndarray, width: int) -> np.ndarray:
+    vectors = flat.astype(np.float64).reshape(-1, width)
     vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
@@ -139,7 +151,7 @@ def _placed(centres) -> object:
         for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
-                unit = _unit(part.column("vector"), points.shape[1])
+                unit = _unit(_flat(part.column("vector")), points.shape[1])
                 leaf = np.argmax(unit @ points.T, axis=1)
                 gap = np.linalg.norm(unit - points[leaf], axis=1)
                 yield pa.RecordBatch.from_arrays(
@@ -149,50 +161,69 @@ def _placed(centres) -> object:
     return emit
 
 
-def _blocked(width: int):
+def _blocked(width: int, kept: type):
     def pack(group: pa.Table) -> pa.Table:
-        unit = _unit(group.column("vector"), width)
+        flat = _flat(group.column("vector")).astype(kept).reshape(-1, width)
         ids = np.array(group.column("rep").to_pylist(), np.int64)
         copies = np.array(group.column("copies").to_pylist(), np.int64)
         leaf = group.column("leaf").to_numpy()
         order = np.argsort(leaf, kind="stable")  # rows of a leaf lie together
-        packed = [group.column("block")[0].as_py(), *(x[order].tobytes() for x in (ids, copies, leaf, unit))]
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-        names = ["block", "ids", "copies", "leaves", "units"]
+        own = [group.column(name)[0].as_py() for name in ("block", "part")]
+        packed = [*own, *(x[order].tobytes() for x in (ids, copies, leaf, flat))]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+        names = ["block", "part", "ids", "copies", "leaves", "vectors"]
         return pa.table({n: pa.array([v], k) for n, v, k in zip(names, packed, kinds, strict=True)})
 
     return pack
 
 
-def _linked(width: int, least: float, close):
-    def marked(x: np.ndarray, y: np.ndarray, leaves: list[np.ndarray], near: np.ndarray) -> None:
-        """Mark the links, looking only at pairs of rows whose leaves the traversal has left."""
+def _linked(width: int, kept: type, least: float, close):
+    # a product in single precision is off by less, so what it leaves out is no link
+    rough = np.float32(least - (width + 4) * 2.0**-23)
+
+    def marked(x: np.ndarray, y: np.ndarray, leaves: list[np.ndarray]) -> np.ndarray | None:
+        """The links, looking only at pairs of rows whose leaves the traversal has left; None for none."""
+        near = None  # a byte a pair, whatever the number of links
+        fast, others = x.astype(np.float32), y.astype(np.float32)
         edges = np.append(np.flatnonzero(np.diff(leaves[0], prepend=-1)), len(x))
-        for start, end in zip(edges, edges[1:], strict=False):
-            other = close.value[leaves[0][start], leaves[1]]
-            if not other.any():
+        other = close.value[np.ix_(leaves[0][edges[:-1]], leaves[1])]
+        if other.all():
+            edges, other = np.array([0, len(x)]), other[:1]
+        for start, end, of_run in zip(edges, edges[1:], other, strict=False):
+            if not of_run.any():
                 continue
-            at = slice(None) if other.all() else np.flatnonzero(other)
+            at = np.arange(len(y)) if of_run.all() else np.flatnonzero(of_run)
+            some = others if len(at) == len(y) else others[at]
             for strip in range(start, end, STRIP):
                 part = slice(strip, min(strip + STRIP, end))
-                near[part, at] = x[part] @ y[at].T >= least
+                may = fast[part] @ some.T >= rough
+                if may.any():
+                    near = np.zeros((len(x), len(y)), bool) if near is None else near
+                    rows, columns = strip + np.flatnonzero(may.any(axis=1)), at[may.any(axis=0)]
+                    near[np.ix_(rows, columns)] = x[rows] @ y[columns].T >= least
+        return near
 
     def of_pair(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        ids = [np.frombuffer(row[f"ids_{s}"], np.int64) for s in "xy"]
-        copies = [np.frombuffer(row[f"copies_{s}"], np.int64) for s in "xy"]
-        x, y = (np.frombuffer(row[f"units_{s}"], np.float64).reshape(-1, width) for s in "xy")
-        same = row["x"] == row["y"]
-        near = np.zeros((len(x), len(y)), bool)  # a byte a pair, whatever the number of links
-        parts = [slice(start, start + STRIP) for start in range(0, len(x), STRIP)]
-        marked(x, y, [np.frombuffer(row[f"leaves_{s}"], np.int32) for s in "xy"], near)
-        if same:
+        x, y = (_unit(np.frombuffer(row[f"vectors_{s}"], kept), width) for s in "xy")
+        same = row["block_x"] == row["block_y"]
+        near = marked(x, y, [np.frombuffer(row[f"leaves_{s}"], np.int32) for s in "xy"])
+        if near is not None and same:
             np.fill_diagonal(near, False)
-        counts = [np.zeros(len(x)), np.zeros(len(y))]
+        if near is None or not near.any():
+            return np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64)
+        rows, columns = near.any(axis=1), near.any(axis=0)
+        if same:
+            rows = columns = rows | columns
+        near = near[np.ix_(rows, columns)]
+        ids = [np.frombuffer(row[f"ids_{s}"], np.int64)[of] for s, of in zip("xy", (rows, columns), strict=True)]
+        copies = [np.frombuffer(row[f"copies_{s}"], np.int64)[of] for s, of in zip("xy", (rows, columns), strict=True)]
+        parts = [slice(start, start + STRIP) for start in range(0, len(near), STRIP)]
+        counts = [np.zeros(len(ids[0])), np.zeros(len(ids[1]))]
         for part in parts:
             counts[0][part] = near[part] @ copies[1].astype(float)
             counts[1] += copies[0][part].astype(float) @ near[part]
         low = [ids[0].copy(), ids[1].copy()]
-        while counts[0].any():  # the least id that links reach within the pair of blocks
+        while True:  # the least id that links reach within the pair of blocks
             before = low[0].copy(), low[1].copy()
             for part in parts:
                 reached = np.where(near[part], low[0][part, None], LAST_ID).min(axis=0)
@@ -216,9 +247,10 @@ def _linked(width: int, least: float, close):
         for batch in batches:
             for k in range(batch.num_rows):
                 ids, counts, low = of_pair(batch.slice(k, 1).to_pylist()[0])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(counts.astype(np.int64)), pa.array(low)], names=["rep", "links", "low"]
-                )
+                if len(ids):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids), pa.array(counts.astype(np.int64)), pa.array(low)], names=["rep", "links", "low"]
+                    )
 
     return emit
 
@@ -229,11 +261,12 @@ def _links_of_width(heads: DataFrame, width: int, least: float) -> DataFrame:
     heads = heads.where(F.size("vector") == width)
     sample = heads.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).select("vector").toArrow()
     reach = math.sqrt(max(0.0, 2 - 2 * least))
-    tree = Tree(_unit(sample.column("vector"), width), reach / 4)
+    tree = Tree(_unit(_flat(sample.column("vector")), width), reach / 4)
     centres = spark.sparkContext.broadcast(tree.leaf_centres())
     element = heads.schema["vector"].dataType.elementType.simpleString()
+    kept = np.float32 if element == "float" else np.float64
     kind = f"rep bigint, copies bigint, vector array<{element}>, leaf int, gap double"
-    placed = stored(heads.select("rep", "copies", "vector").mapInArrow(_placed(centres), kind))
+    placed = _stored(heads.select("rep", "copies", "vector").mapInArrow(_placed(centres), kind))
 
     leaves = {r.leaf: r for r in placed.groupBy("leaf").agg(F.count("*").alias("n"), F.max("gap").alias("radius")).collect()}
     near = tree.near_leaves({k: r.radius for k, r in leaves.items()}, reach)
@@ -249,29 +282,37 @@ def _links_of_width(heads: DataFrame, width: int, least: float) -> DataFrame:
         cuts[-1] = math.ceil(filled / BLOCK_ROWS)
     of_leaf = np.full(len(tree.leaves), -1)
     of_leaf[list(group)] = list(group.values())
-    pairs = np.unique(np.sort(of_leaf[near], axis=1), axis=0).tolist()
-    by_leaf = spark.createDataFrame([(k, g, cuts[g]) for k, g in group.items()], "leaf int, part bigint, cuts int")
+    first = np.cumsum(cuts) - cuts
+    by_leaf = [(k, g, cuts[g], int(first[g])) for k, g in group.items()]
+    by_leaf = spark.createDataFrame(by_leaf, "leaf int, part int, cuts int, first bigint")
     rows = placed.join(F.broadcast(by_leaf), "leaf").withColumn(
-        "block", (F.col("part") * (1 << 32)) + F.pmod(F.xxhash64("rep"), F.col("cuts"))
-    )
-    blocks = stored(
-        rows.groupBy("block").applyInArrow(
-            _blocked(width), "block bigint, ids binary, copies binary, leaves binary, units binary"
-        )
+        "block", F.col("first") + F.pmod(F.xxhash64("rep"), F.col("cuts"))
     )
-    spread = spark.createDataFrame([(a, b, cuts[a], cuts[b]) for a, b in pairs], "a bigint, b bigint, na int, nb int")
-    spread = spread.select("a", "b", F.explode(F.sequence(F.lit(0), F.col("na") - 1)).alias("i"), "nb").select(
-        "a", "b", "i", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("j")
+    blocks = rows.drop("gap", "cuts", "first").groupBy("block").applyInArrow(
+        _blocked(width, kept), "block bigint, part int, ids binary, copies binary, leaves binary, vectors binary"
     )
-    spread = spread.where("a < b or i <= j").select(
-        (F.col("a") * (1 << 32) + F.col("i")).alias("x"), (F.col("b") * (1 << 32) + F.col("j")).alias("y")
+    blocks = _stored(blocks)
+    dropped(placed)
+    met = [[] for _ in cuts]  # the groups of leaves that each may link with: at most as many as the sample has leaves
+    for a, b in np.unique(np.concatenate((of_leaf[near], of_leaf[near][:, ::-1])), axis=0).tolist():
+        met[a].append(b)
+    met = spark.createDataFrame(list(enumerate(met)), "part int, met array<int>")
+    size = sum(leaf.n for leaf in leaves.values()) * (width * np.dtype(kept).itemsize + 20)
+    parts = min(sum(cuts), max(PARTS, math.ceil(size / PART_BYTES)))
+    x, y = (blocks.repartition(parts).select(*[F.col(c).alias(f"{c}_{s}") for c in blocks.columns]) for s in "xy")
+    x = x.join(F.broadcast(met.withColumnRenamed("part", "part_x")), "part_x")
+    # each pair of blocks once, in either order alike; blocks are read where they lie and never sent once a pair
+    ordered = (F.col("block_x") < F.col("block_y")) == ((F.col("block_x") + F.col("block_y")) % 2 == 0)
+    meet = F.array_contains("met", F.col("part_y")) & ((F.col("block_x") == F.col("block_y")) | ordered)
+    pairs = x.join(y.hint("shuffle_replicate_nl"), meet).select(
+        *[f"{c}_{s}" for s in "xy" for c in ("block", "ids", "copies", "leaves", "vectors")]
     )
-    for side in "xy":
-        spread = spread.join(blocks.select(*[F.col(c).alias(side if c == "block" else f"{c}_{side}") for c in blocks.columns]), side)
     between = np.zeros((len(tree.leaves), len(tree.leaves)), bool)  # a byte for each pair of leaves of the sample
     between[near[:, 0], near[:, 1]] = between[near[:, 1], near[:, 0]] = True
     close = spark.sparkContext.broadcast(between)
-    return spread.mapInArrow(_linked(width, least, close), "rep bigint, links bigint, low bigint")
+    found = _stored(pairs.mapInArrow(_linked(width, kept, least, close), "rep bigint, links bigint, low bigint"))
+    dropped(blocks)
+    return found
 
 
 def near_vectors(rows: DataFrame, least: float = 0.9) -> DataFrame:
@@ -289,24 +330,24 @@ def near_vectors(rows: DataFrame, least: float = 0.9) -> DataFrame:
     covering radii are those of all rows.  Blocks of at most about BLOCK_ROWS vectors
     meet where the traversal leaves leaves of theirs as a pair, and only the vectors of
     such leaves are compared; a pair of blocks yields a count and a least id for each
-    vector, never its links.
+    vector, never its links.  A task reads the blocks of two parts where they lie: what
+    the disk holds grows with the vectors, not with the pairs of blocks.
     """
     rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     usable = F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
     heads = rows.where(usable).groupBy("vector").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     # one id may stand for several vectors, so a class has a number of its own
-    heads = stored(heads.withColumn("rep", F.monotonically_increasing_id()))
+    heads = _stored(heads.withColumn("rep", F.monotonically_increasing_id()))
     widths = [r[0] for r in heads.select(F.size("vector").alias("n")).distinct().collect()]
     found = heads.sparkSession.createDataFrame([], "rep bigint, links bigint, low bigint")
     for width in sorted(widths):
         found = found.union(_links_of_width(heads.drop("id"), width, least))
-    found = stored(found)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
 
     classes = heads.select(F.col("vector").alias("_vector"), "rep")
     members = rows.join(classes, usable & (F.col("vector") == F.col("_vector")), "left").select("vec_id", "rep")
-    members = stored(members)
+    members = _stored(members)
     several = members.groupBy("vec_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
     shared = members.join(several.select("vec_id", "low"), "vec_id").select("rep", "low")
     known = components(found.where("rep <> low").select("rep", "low").union(shared), "rep", "low")

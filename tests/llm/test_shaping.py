@@ -354,6 +354,32 @@ def test_rows_of_one_id_share_a_component_and_not_their_links(spark):
     assert got == [(3, 2, 3, True), (4, 2, 3, False), (5, 1, 3, False), (5, 2, 3, False), (7, 1, 7, True), (7, 1, 7, True), (8, 0, 8, True), (9, 1, 3, False)]
 
 
+def test_blocks_are_not_sent_once_a_pair(spark, monkeypatch):
+    """What shuffles leave on the disk does not grow with the pairs of blocks that meet."""
+    monkeypatch.setattr(cover_tree, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(cover_tree, "SAMPLE", 40)
+    monkeypatch.setattr(cover_tree, "PART_BYTES", 20_000, raising=False)
+    rng = np.random.default_rng(7)
+    vectors = dict(enumerate(rng.normal(size=(800, 64)).astype(np.float32).tolist()))
+    vectors |= {i: vectors[i - 800] for i in range(800, 810)} | {i: [2 * x for x in vectors[i - 800]] for i in range(810, 820)}
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id bigint, embedding array<float>")
+
+    def on_disk():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getPath(): files.apply(k).length() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_")}
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for blocks too large to broadcast
+    earlier = on_disk()
+    try:
+        made = cover_tree.near_vectors(frame)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    left = sum(size for path, size in on_disk().items() if path not in earlier)
+    assert left < 3 * 820 * 64 * 4
+    assert {r.vec_id: (r.n_links, r.component_id) for r in made.collect()} == links(vectors)
+
+
 def test_no_vectors(spark):
     assert cover_tree.near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).collect() == []
 
