@@ -161,7 +161,11 @@ def segment_timeline(
     """
     lower, upper = as_column(lo), as_column(hi)
     ticks = hour_ticks(keys.select(key), lo, hi, "start")
-    marks = [df.select(key, F.col(ts).alias("start")) for df, ts in edges]
+    of_frame: dict[int, tuple[DataFrame, list[str]]] = {}
+    for df, ts in edges:
+        of_frame.setdefault(id(df), (df, []))[1].append(ts)
+    # all edges of a frame from one pass over it, as it may be long in the making
+    marks = [df.select(key, F.explode(F.array(*columns)).alias("start")) for df, columns in of_frame.values()]
     instants = reduce(DataFrame.unionByName, marks, ticks).filter(
         (F.col("start") >= lower) & (F.col("start") < upper)
     )

@@ -69,9 +69,12 @@ def runs(df: DataFrame, keys: Sequence[str], bucket: str, order: str, value: str
     edges = edges.withColumn("__carried", F.lag("__last").over(across))
     fresh = F.col("__carried").isNull() | (F.col("__carried") != F.col("__first"))
     edges = edges.withColumn("__begins", F.when(fresh, F.col("__at")).otherwise(F.col("__inner")))
-    later = F.min("__begins").over(across.rowsBetween(1, Window.unboundedFollowing))
+    # from the end backwards: a frame up to the last row would be summed anew for each row
+    coming = Window.partitionBy(*keys).orderBy(F.desc(bucket)).rowsBetween(Window.unboundedPreceding, -1)
+    later = F.min("__begins").over(coming)
     edges = edges.select(*keys, bucket, "__carried", later.alias("__following"))
-    after = F.min("__begin").over(inside.rowsBetween(1, Window.unboundedFollowing))
+    coming = Window.partitionBy(*keys, bucket).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    after = F.min("__begin").over(coming)
     return (
         before.withColumn("__begin", begins)
         .withColumn("__after", after)

@@ -167,6 +167,26 @@ def test_segments_tile_the_window(random_feeds):
     assert gaps.count() == 0
 
 
+def test_a_run_looks_ahead_without_summing_all_that_follows(random_feeds):
+    """A frame that ends at the last row is summed anew for every row, squared work within a day."""
+    _, events, *_ = random_feeds
+    states = iv.state_intervals(events, "w", "t", iv.cluster_state(F.col("n")), LO, HI)
+    assert "unboundedfollowing" not in states._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_the_edges_of_a_frame_are_taken_in_one_pass(random_feeds, rows):
+    work, events, *_ = random_feeds
+    states = iv.state_intervals(events, "w", "t", iv.cluster_state(F.col("n")), LO, HI)
+    keys = work.select("w").distinct()
+
+    def leaves(*edges):
+        return iv.segment_timeline(keys, "w", edges, LO, HI)._jdf.queryExecution().optimizedPlan().collectLeaves().size()
+
+    assert leaves((states, "start"), (states, "end")) == leaves((states, "start"))
+    apart = [(states, "start"), (states.select("*"), "end")]
+    assert rows(iv.segment_timeline(keys, "w", apart, LO, HI)) == rows(iv.segment_timeline(keys, "w", [(states, "start"), (states, "end")], LO, HI))
+
+
 def test_hourly_utilization_is_null_where_all_is_off(frame, rows):
     periods = frame(
         "w string, hour timestamp, utilization_flag string, duration int",
