@@ -251,7 +251,9 @@ def classify_periods(
         _marks(activity, key, "queries_active"), allowMissingColumns=True
     )
     marks = (
+        # what the join below asks for is stated here, so that both uses of the marks share one shuffle
         marks.filter((F.col("at") >= as_column(lo)) & (F.col("at") < as_column(hi)))
+        .filter(F.col(key).isNotNull() & hour_of("at").isNotNull())
         .groupBy(key, F.col("at"))
         .agg(F.max("window_state").alias("window_state"), F.max("queries_active").alias("queries_active"))
         .withColumn("hour", hour_of("at"))

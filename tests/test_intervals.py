@@ -187,6 +187,20 @@ def test_the_edges_of_a_frame_are_taken_in_one_pass(random_feeds, rows):
     assert rows(iv.segment_timeline(keys, "w", apart, LO, HI)) == rows(iv.segment_timeline(keys, "w", [(states, "start"), (states, "end")], LO, HI))
 
 
+def test_marks_are_shuffled_once(random_feeds):
+    """Both uses of the marks, what hours leave behind and the line itself, share a shuffle."""
+    work, events, *_ = random_feeds
+    states = iv.state_intervals(events, "w", "t", iv.cluster_state(F.col("n")), LO, HI)
+    active = iv.active_intervals(work, "w", "s", "e", LO, HI)
+    periods = iv.classify_periods(work.select("w").distinct(), "w", states, active, LO, HI)
+    periods.collect()
+    final = periods._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the steps of the activity, and the marks of both tables
+    made = [x for x in final.splitlines() if re.search(r"Exchange hashpartitioning\(w#\d+, at#\d+", x) and "Reused" not in x]
+    values = [x for x in made if "plan_id" in x]
+    assert len(values) == 3
+
+
 def test_hourly_utilization_is_null_where_all_is_off(frame, rows):
     periods = frame(
         "w string, hour timestamp, utilization_flag string, duration int",
