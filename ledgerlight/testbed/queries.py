@@ -832,7 +832,8 @@ def messages_stream(feeds: Feeds) -> DataFrame:
     for part in (raw.filter(early), raw.filter(~early).unionByName(raw.filter(_one_in(4, "id"))), older):
         part.write.mode("append").parquet(landed)
         stream = spark.readStream.schema(raw.schema).parquet(landed)
-        messages.stream_messages(stream, feeds.users, f"{folder}/messages", f"{folder}/progress").awaitTermination()
+        kept = messages.stream_messages(stream, feeds.users, f"{folder}/messages", f"{folder}/progress", period="year")
+        kept.awaitTermination()
     return spark.read.parquet(f"{folder}/messages").drop(messages.DAY)
 
 

@@ -55,6 +55,23 @@ def test_replayed_and_duplicated_documents_change_nothing(spark, raw, tmp_path):
     assert sorted(map(str, stored.collect())) == sorted(map(str, batch.collect()))
 
 
+@pytest.mark.parametrize("period", ["day", "year"])
+def test_a_folder_of_streamed_messages_has_one_file(spark, tmp_path, period):
+    """A batch has no adaptive execution of its own, and each of its tasks would write into every folder."""
+    raw_schema, source, target = schemas.document("message"), str(tmp_path / "in"), str(tmp_path / "out")
+    users = spark.createDataFrame([("7", "a@x")], "user_id string, user_email string")
+    day = 86_400_000
+    rows = [{"id": f"m{i}", "created_timestamp": (i % 10) * 100 * day + i, "last_updated_timestamp": i + 1} for i in range(1, 200)]
+    spark.createDataFrame(rows, raw_schema).repartition(4).write.parquet(source)
+    options = {} if period == "day" else {"period": period}
+    stream = spark.readStream.schema(raw_schema).parquet(source)
+    messages.stream_messages(stream, users, target, str(tmp_path / "progress"), **options).awaitTermination()
+    folders = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "out").glob("created_day=*")}
+    assert set(folders.values()) == {1}
+    assert len(folders) == {"day": 10, "year": 3}[period]
+    assert spark.read.parquet(target).select("message_id").distinct().count() == 199
+
+
 @pytest.fixture
 def visits():
     rng = random.Random(5)
