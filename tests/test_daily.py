@@ -95,6 +95,27 @@ def test_many_batches_in_one_run(spark, landing):
     assert right() == [("a", 6, 65, 24), ("b", 6, 6, 1)]
 
 
+def test_open_days_are_kept_out_of_the_heap(spark, landing, tmp_path):
+    """The state stores keep their rows on disk, within a bound of memory; settings of the session come back."""
+    land, run, right = landing
+    names = [n for n in daily.STATE if spark.conf.get(n, None) is not None] if hasattr(daily, "STATE") else []
+    before = {n: spark.conf.get(n) for n in names}
+    land(("a", "2024-01-01 10:00:00", 1), ("a", "2024-01-20 10:00:00", 2))
+    run()
+    settings = (tmp_path / "out" / "progress-sums" / "offsets" / "0").read_text()
+    assert "RocksDBStateStoreProvider" in settings
+    assert {n: spark.conf.get(n) for n in names} == before
+    right()
+
+
+def test_a_folder_of_a_batch_has_one_file(spark, landing, tmp_path):
+    land, run, _ = landing
+    land(*[(f"k{i}", "2024-01-01 10:00:00", 1) for i in range(50)])
+    run()
+    folders = list((tmp_path / "out" / "parts").glob("event_*"))
+    assert [len(list(p.glob("*.parquet"))) for p in folders] == [1]
+
+
 def test_folders_of_months_hold_days(spark, landing, fact, tmp_path):
     from dataclasses import replace
 
